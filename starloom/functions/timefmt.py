@@ -40,8 +40,12 @@ def at_time_of_day(date_col, hours: int, minutes: int = 0, seconds: int = 0) ->
 
 
 def add_minutes(ts, n, step_minutes: int) -> Column:
-    """``ts + n * step`` minutes, n a column."""
-    return _c(ts) + F.make_dt_interval(F.lit(0), F.lit(0), (_c(n) * step_minutes).cast("int"))
+    """``ts + n * step`` minutes, n a column (64-bit minute count, split into
+    whole days and remaining minutes)."""
+    total = _c(n).cast("bigint") * F.lit(step_minutes).cast("bigint")
+    days = ((total - F.pmod(total, F.lit(1440))) / 1440).cast("int")
+    mins = F.pmod(total, F.lit(1440)).cast("int")
+    return _c(ts) + F.make_dt_interval(days, F.lit(0), mins)
 
 
 def spread_between(date_col, rn, n, start_hour: int = 18, end_hour: int = 23) -> Column:

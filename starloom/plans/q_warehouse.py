@@ -11,7 +11,7 @@ from starloom.plans.feeds import (
     party_source, wide_feed,
 )
 from starloom.plans.registry import query
-from starloom.plans.sqlfrag import initcap_word, pick, values
+from starloom.plans.sqlfrag import between, initcap_word, pick, values
 
 # ------------------------------------------------------------------ SQL CTEs
 LI_COLS = ", ".join(LINEITEM_ORDER)
@@ -158,3 +158,347 @@ LEFT JOIN dim_party dp ON f.party = dp.name
 """)
 def q_fact_table(spark, sf_dir):
     return build_fact(Tables(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ more SQL CTEs
+SQL_DIM_PERSON = """
+dim_person AS (
+  SELECT row_number() OVER (ORDER BY p.person_id, p.first_name, p.last_name) AS person_tk,
+         p.person_id, p.first_name, p.last_name, p.birth_year, p.title, CAST(c.country_tk AS BIGINT) AS party_id
+  FROM (SELECT CAST(s_suppkey AS INTEGER) AS person_id, trim(split_part(s_name, '#', 1)) AS first_name,
+               trim(split_part(s_name, '#', 2)) AS last_name, CAST(1950 + s_nationkey AS INTEGER) AS birth_year,
+               CASE WHEN s_acctbal >= 0 THEN 'Dr.' END AS title, CAST(s_nationkey AS INTEGER) AS party_id
+        FROM supplier) p
+  LEFT JOIN dim_country c ON p.party_id = c.country_id
+)"""
+
+SQL_HISTORY_SRC = """
+hsrc AS (
+  SELECT CAST(l_orderkey AS BIGINT) AS election_id,
+         CAST(count(*) FILTER (WHERE l_returnflag = 'R') AS INTEGER) AS pre_blank_votes,
+         CAST(count(*) FILTER (WHERE l_returnflag = 'A') AS INTEGER) AS pre_null_votes,
+         count(*) FILTER (WHERE l_linestatus = 'F') / nullif(count(*), 0) * 100 AS historical_turnout
+  FROM lineitem GROUP BY 1
+)"""
+
+SQL_DIM_HISTORY = """
+dim_election_history AS (
+  SELECT election_history_tk, election_id, pre_blank_votes, pre_null_votes, historical_turnout,
+         TIMESTAMP '2020-01-01 00:00:00' + to_minutes((election_history_tk - 1) * 60) AS date_from,
+         CASE WHEN election_history_tk = count(*) OVER () THEN TIMESTAMP '9999-12-31 23:59:59'
+              ELSE TIMESTAMP '2020-01-01 00:00:00' + to_minutes(election_history_tk * 60) END AS date_to
+  FROM (SELECT row_number() OVER (ORDER BY election_id, pre_blank_votes, pre_null_votes, historical_turnout)
+               AS election_history_tk, * FROM (SELECT DISTINCT * FROM hsrc) d) k
+)"""
+
+SQL_SCD2 = """
+SELECT user_id, event_id, event_type, value, row_number() OVER w AS version, ts AS date_from,
+       coalesce(lead(ts) OVER w, TIMESTAMP '9999-12-31 23:59:59') AS date_to, lead(ts) OVER w IS NULL AS is_current
+FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)"""
+
+SQL_NUMBERED_FEED = f"""
+nfeed AS (SELECT row_number() OVER (ORDER BY {LI_COLS}) AS election_id, * EXCLUDE (election_id) FROM feed)"""
+
+SQL_NORM_COUNTRY = f"""
+ncountry AS (SELECT row_number() OVER (ORDER BY name) AS id, name
+             FROM (SELECT DISTINCT {initcap_word('trim(territory_name)')} AS name FROM feed) x)"""
+SQL_NORM_PARTY = """
+nparty AS (SELECT row_number() OVER (ORDER BY name) AS id, name FROM (SELECT DISTINCT trim(party) AS name FROM feed) x)"""
+
+ELECTION_MEASURES = ["blank_votes", "null_votes", "subscribed_voters", "total_voters"]
+RESULT_MEASURES = ["mandates", "percentage", "valid_votes_percentage", "votes", "final_mandates"]
+
+
+def build_history_source(t: Tables):
+    from starloom.functions import safe_percentage
+    g = t.lineitem.groupBy("l_orderkey").agg(
+        F.count_if(F.col("l_returnflag") == "R").alias("_r"), F.count_if(F.col("l_returnflag") == "A").alias("_a"),
+        F.count_if(F.col("l_linestatus") == "F").alias("_f"), F.count(F.lit(1)).alias("_n"))
+    return g.select(F.col("l_orderkey").alias("election_id"), F.col("_r").alias("pre_blank_votes"),
+                    F.col("_a").alias("pre_null_votes"), safe_percentage("_f", "_n").alias("historical_turnout"))
+
+
+def build_dim_person(t: Tables, dim_country_df=None):
+    from starloom.plans.feeds import person_source
+    dc = dim_country_df if dim_country_df is not None else build_dim_country(t)
+    return dims.dim_person(person_source(t), dc, "country_id", "country_tk")
+
+
+def build_dim_history(t: Tables):
+    from starloom.plans.history import dim_election_history
+    return dim_election_history(build_history_source(t))
+
+
+def _events(t: Tables):
+    return t.events.select("user_id", "event_id", "ts", "event_type", "value")
+
+
+SCD2_COLS = ["user_id", "event_id", "event_type", "value", "version", "date_from", "date_to", "is_current"]
+
+
+# ------------------------------------------------------------------ W1-W8
+@query("surrogate_key", "SELECT row_number() OVER (ORDER BY n_name) AS nation_tk, n_nationkey, n_name FROM nation")
+def q_surrogate_key(spark, sf_dir):
+    from starloom.operators.keys import row_number_key
+    n = Tables(spark, sf_dir).nation.select("n_nationkey", "n_name")
+    return row_number_key(n, ["n_name"], "nation_tk")  # nations: bounded
+
+
+@query("surrogate_key_large", f"SELECT row_number() OVER (ORDER BY {LI_COLS}) AS line_tk, * FROM lineitem")
+def q_surrogate_key_large(spark, sf_dir):
+    from starloom.operators.keys import dense_key
+    return dense_key(Tables(spark, sf_dir).lineitem, LINEITEM_ORDER, "line_tk")
+
+
+@query("first_per_key", """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders
+  WHERE o_custkey IS NOT NULL) x WHERE rn = 1
+UNION ALL SELECT * FROM orders WHERE o_custkey IS NULL""")
+def q_first_per_key(spark, sf_dir):
+    from starloom.operators.dedupe import first_per_key
+    return first_per_key(Tables(spark, sf_dir).orders, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+
+
+@query("lead_interval", """
+SELECT event_id, user_id, ts AS date_from, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS date_to
+FROM events""")
+def q_lead_interval(spark, sf_dir):
+    from starloom.operators.sequence import sequence_per_key
+    e = Tables(spark, sf_dir).events.select("event_id", "user_id", "ts")
+    s = sequence_per_key(e, ["user_id"], ["ts", "event_id"], next_cols=["ts"])
+    return s.select("event_id", "user_id", F.col("ts").alias("date_from"), F.col("next_ts").alias("date_to"))
+
+
+@query("offset_key", """
+SELECT row_number() OVER (ORDER BY p_brand) + 1000 AS party_id, p_brand AS name FROM (SELECT DISTINCT p_brand FROM part) x""")
+def q_offset_key(spark, sf_dir):
+    from starloom.operators.keys import row_number_key
+    b = Tables(spark, sf_dir).part.select(F.col("p_brand").alias("name")).distinct()
+    return row_number_key(b, ["name"], "party_id", offset=1000)  # brands: bounded
+
+
+@query("continue_key", """
+WITH e AS (SELECT row_number() OVER (ORDER BY name) AS id, name
+           FROM (SELECT DISTINCT p_brand || ' ' || p_name AS name FROM part WHERE p_partkey < 1000) x
+           WHERE name IS NOT NULL),
+n AS (SELECT DISTINCT p_brand || ' ' || p_name AS name FROM part WHERE p_partkey >= 1000)
+SELECT (SELECT coalesce(max(id), 0) FROM e) + row_number() OVER (ORDER BY name) AS id, name
+FROM n WHERE name IS NOT NULL AND NOT EXISTS (SELECT 1 FROM e WHERE e.name = n.name)""")
+def q_continue_key(spark, sf_dir):
+    from starloom.operators.keys import continue_key, surrogate_key
+    from starloom.operators.lookup import anti_new
+    p = Tables(spark, sf_dir).part.select("p_partkey", F.concat_ws(" ", "p_brand", "p_name").alias("name"))
+    p = p.where(F.col("name").isNotNull())
+    existing = surrogate_key(p.where(F.col("p_partkey") < 1000).select("name").distinct(), ["name"], "id")
+    fresh = p.where(F.col("p_partkey") >= 1000).select("name").distinct()
+    return continue_key(anti_new(fresh, existing, ["name"]), existing, "id", ["name"], "id").select("id", "name")
+
+
+@query("spread_timestamps", """
+SELECT o_orderkey,
+       CAST(o_orderdate AS DATE) + INTERVAL 18 HOUR
+       + to_microseconds(CAST(18000000000 * (rn - 1) // greatest(n - 1, 1) AS BIGINT)) AS slot_ts
+FROM (SELECT o_orderkey, o_orderdate,
+             row_number() OVER (PARTITION BY CAST(o_orderdate AS DATE) ORDER BY o_orderkey) AS rn,
+             count(*) OVER (PARTITION BY CAST(o_orderdate AS DATE)) AS n
+      FROM orders) x""")
+def q_spread_timestamps(spark, sf_dir):
+    from starloom.plans.generate import spread_in_group
+    o = Tables(spark, sf_dir).orders.select("o_orderkey", F.col("o_orderdate").cast("date").alias("order_date"))
+    return spread_in_group(o, ["order_date"], ["o_orderkey"], "order_date").select("o_orderkey", "slot_ts")
+
+
+@query("latest_version", """
+SELECT user_id, event_id, ts, event_type, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events
+  WHERE user_id IS NOT NULL) x WHERE rn = 1""")
+def q_latest_version(spark, sf_dir):
+    from starloom.operators.dedupe import last_per_key
+    return last_per_key(_events(Tables(spark, sf_dir)), ["user_id"], ["ts", "event_id"])
+
+
+@query("result_type", """
+SELECT event_id, user_id,
+       CASE WHEN lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL THEN 'official' ELSE 'preliminary' END AS result_type
+FROM events""")
+def q_result_type(spark, sf_dir):
+    from starloom.operators.sequence import sequence_per_key
+    e = Tables(spark, sf_dir).events.select("event_id", "user_id", "ts")
+    s = sequence_per_key(e, ["user_id"], ["ts", "event_id"], is_last="_is_last")
+    return s.select("event_id", "user_id", F.when(F.col("_is_last"), K.RESULT_OFFICIAL)
+                    .otherwise(K.RESULT_PRELIMINARY).alias("result_type"))
+
+
+# ------------------------------------------------------------------ D4, D6-D8
+@query("dim_person", f"WITH {SQL_DIM_COUNTRY}, {SQL_DIM_PERSON} SELECT * FROM dim_person")
+def q_dim_person(spark, sf_dir):
+    return build_dim_person(Tables(spark, sf_dir))
+
+
+@query("date_ranges", """
+SELECT o_orderkey, TIMESTAMP '2020-01-01 00:00:00' + to_minutes((rn - 1) * 60) AS date_from,
+       CASE WHEN rn = n THEN TIMESTAMP '9999-12-31 23:59:59' ELSE TIMESTAMP '2020-01-01 00:00:00' + to_minutes(rn * 60) END AS date_to
+FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS rn, count(*) OVER () AS n FROM orders) x""")
+def q_date_ranges(spark, sf_dir):
+    from starloom.plans.history import date_ranges
+    o = Tables(spark, sf_dir).orders.select("o_orderkey")
+    return date_ranges(o, ["o_orderkey"])
+
+
+@query("dim_election_history", f"WITH {SQL_HISTORY_SRC}, {SQL_DIM_HISTORY} SELECT * FROM dim_election_history")
+def q_dim_election_history(spark, sf_dir):
+    return build_dim_history(Tables(spark, sf_dir))
+
+
+@query("scd2_history", SQL_SCD2)
+def q_scd2_history(spark, sf_dir):
+    from starloom.operators.scd2 import build_history
+    h = build_history(_events(Tables(spark, sf_dir)), "user_id", "ts", ["event_id"])
+    return h.select(*SCD2_COLS)
+
+
+@query("scd2_merge", SQL_SCD2)
+def q_scd2_merge(spark, sf_dir):
+    from starloom.operators.scd2 import build_history, merge_history
+    e = _events(Tables(spark, sf_dir))
+    cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    old = build_history(e.where(F.col("ts") < cut), "user_id", "ts", ["event_id"])
+    new = merge_history(old, e.where(F.col("ts") >= cut), "user_id", "ts", ["event_id"])
+    return new.select(*SCD2_COLS)
+
+
+# ------------------------------------------------------------------ D10 normalise
+def _numbered(t: Tables):
+    from starloom.plans.normalize import numbered_feed
+    return numbered_feed(wide_feed(t), LINEITEM_ORDER)
+
+
+@query("normalize_country", f"WITH {SQL_FEED}, {SQL_NORM_COUNTRY} SELECT * FROM ncountry")
+def q_normalize_country(spark, sf_dir):
+    from starloom.plans.normalize import countries
+    return countries(wide_feed(Tables(spark, sf_dir)))
+
+
+@query("normalize_party", f"WITH {SQL_FEED}, {SQL_NORM_PARTY} SELECT * FROM nparty")
+def q_normalize_party(spark, sf_dir):
+    from starloom.plans.normalize import parties
+    return parties(wide_feed(Tables(spark, sf_dir)))
+
+
+@query("normalize_election", f"""
+WITH {SQL_FEED}, {SQL_NUMBERED_FEED}, {SQL_NORM_COUNTRY}
+SELECT f.election_id AS id, f.time AS year, {', '.join('f.' + m for m in ELECTION_MEASURES)}, c.id AS country_id
+FROM nfeed f LEFT JOIN ncountry c ON {initcap_word('trim(f.territory_name)')} = c.name""")
+def q_normalize_election(spark, sf_dir):
+    from starloom.plans.normalize import countries, elections
+    t = Tables(spark, sf_dir)
+    return elections(_numbered(t), countries(wide_feed(t)), ELECTION_MEASURES)
+
+
+@query("normalize_result", f"""
+WITH {SQL_FEED}, {SQL_NUMBERED_FEED}, {SQL_NORM_PARTY}
+SELECT f.election_id AS id, f.election_id, p.id AS party_id, {', '.join('f.' + m for m in RESULT_MEASURES)}
+FROM nfeed f LEFT JOIN nparty p ON trim(f.party) = p.name""")
+def q_normalize_result(spark, sf_dir):
+    from starloom.plans.normalize import parties, results
+    t = Tables(spark, sf_dir)
+    return results(_numbered(t), parties(wide_feed(t)), RESULT_MEASURES)
+
+
+@query("normalize_history", f"""
+WITH {SQL_FEED}, {SQL_NUMBERED_FEED}
+SELECT election_id AS id, election_id, pre_blank_votes, pre_null_votes, historical_turnout FROM nfeed""")
+def q_normalize_history(spark, sf_dir):
+    from starloom.plans.normalize import histories
+    return histories(_numbered(Tables(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------ D11-D16
+@query("incremental_dim_load", """
+WITH p AS (SELECT p_partkey, p_brand || ' ' || p_name AS name FROM part),
+e AS (SELECT row_number() OVER (ORDER BY name) AS id, name
+      FROM (SELECT DISTINCT name FROM p WHERE p_partkey < 1000 AND name IS NOT NULL) x),
+n AS (SELECT DISTINCT name FROM p WHERE name IS NOT NULL AND name NOT IN (SELECT name FROM e))
+SELECT id, name FROM e
+UNION ALL
+SELECT (SELECT coalesce(max(id), 0) FROM e) + row_number() OVER (ORDER BY name) AS id, name FROM n""")
+def q_incremental_dim_load(spark, sf_dir):
+    from starloom.plans.generate import incremental_load
+    p = Tables(spark, sf_dir).part.select("p_partkey", F.concat_ws(" ", "p_brand", "p_name").alias("name"))
+    first = incremental_load(None, p.where(F.col("p_partkey") < 1000), "name")
+    return incremental_load(first, p, "name")
+
+
+@query("impute_from_pool", f"""
+SELECT n.n_nationkey, n.n_name, coalesce(r.r_name, {pick('n.n_name', 'region|', K.REGIONS)}) AS region
+FROM nation n LEFT JOIN (SELECT * FROM region WHERE r_regionkey < 3) r ON n.n_regionkey = r.r_regionkey""")
+def q_impute_from_pool(spark, sf_dir):
+    from starloom.plans.feeds import known_regions
+    from starloom.plans.generate import impute_from_pool
+    from starloom.operators.lookup import join_dim
+    t = Tables(spark, sf_dir)
+    r = known_regions(t)
+    j = join_dim(t.nation, r, t.nation["n_regionkey"] == r["r_regionkey"], "left", bounded=True)
+    j = j.select("n_nationkey", "n_name", F.col("r_name").alias("region"))
+    return impute_from_pool(j, "region", "n_name", K.REGIONS, "region|")
+
+
+SQL_SLOTS = """
+slots AS (
+  SELECT full_date, unnest(generate_series(full_date + INTERVAL 18 HOUR, full_date + INTERVAL 22 HOUR, INTERVAL 1 HOUR)) AS slot_ts
+  FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS full_date FROM orders) d)"""
+
+
+def _order_dates(t: Tables):
+    return t.orders.select(F.col("o_orderdate").cast("date").alias("full_date")).distinct()
+
+
+@query("hour_slots", f"WITH {SQL_SLOTS} SELECT full_date, CAST(slot_ts AS TIMESTAMP) AS slot_ts FROM slots")
+def q_hour_slots(spark, sf_dir):
+    from starloom.plans.generate import hour_slots
+    return hour_slots(_order_dates(Tables(spark, sf_dir)), "full_date")
+
+
+@query("last_slot", f"WITH {SQL_SLOTS} SELECT full_date, CAST(max(slot_ts) AS TIMESTAMP) AS last_slot_ts FROM slots GROUP BY 1")
+def q_last_slot(spark, sf_dir):
+    from starloom.plans.generate import hour_slots, last_slot
+    return last_slot(hour_slots(_order_dates(Tables(spark, sf_dir)), "full_date"))
+
+
+@query("generate_members", f"""
+SELECT row_number() OVER (ORDER BY s_suppkey) AS person_id,
+       CASE WHEN g = 'M' THEN {pick('s_suppkey', 'first|', K.MALE_NAMES)} ELSE {pick('s_suppkey', 'first|', K.FEMALE_NAMES)} END AS first_name,
+       {pick('s_suppkey', 'last|', K.LAST_NAMES)} AS last_name,
+       {between('s_suppkey', 'year|', *K.BIRTH_YEARS)} AS birth_year,
+       CASE WHEN g = 'M' THEN {pick('s_suppkey', 'title|', K.TITLES_MALE)} ELSE {pick('s_suppkey', 'title|', K.TITLES_FEMALE)} END AS title,
+       g AS gender, s_suppkey AS party_id
+FROM (SELECT s_suppkey, {pick('s_suppkey', 'gender|', ['M', 'F'])} AS g FROM supplier) s""")
+def q_generate_members(spark, sf_dir):
+    from starloom.plans.generate import generate_members
+    return generate_members(Tables(spark, sf_dir).supplier.select("s_suppkey"), "s_suppkey", ["s_suppkey"])
+
+
+@query("election_grid", """
+SELECT row_number() OVER (ORDER BY m.month, n.n_nationkey) AS election_id, m.month, CAST(n.n_nationkey AS BIGINT) AS country_id
+FROM nation n, (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders) m""")
+def q_election_grid(spark, sf_dir):
+    from starloom.operators.keys import dense_key
+    from starloom.plans.generate import month_grid
+    t = Tables(spark, sf_dir)
+    months = t.orders.select(F.trunc("o_orderdate", "month").alias("month"))
+    grid = month_grid(months, "month", t.nation.select(F.col("n_nationkey").cast("bigint").alias("country_id")),
+                      "country_id")
+    return dense_key(grid, ["month", "country_id"], "election_id").select("election_id", "month", "country_id")
+
+
+@query("hierarchy_paths", """
+SELECT s.s_suppkey, s.s_name, n.n_name, r.r_name
+FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""")
+def q_hierarchy_paths(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    geo = t.nation.join(t.region, t.nation["n_regionkey"] == t.region["r_regionkey"], "left") \
+        .select("n_nationkey", "n_name", "r_name")  # nations × regions: bounded
+    s = t.supplier.select("s_suppkey", "s_name", "s_nationkey")
+    return s.join(F.broadcast(geo), s["s_nationkey"] == geo["n_nationkey"], "left") \
+        .select("s_suppkey", "s_name", "n_name", "r_name")
