@@ -1,0 +1,26 @@
+"""Frames kept between two uses of the same plan.
+
+``keep`` persists (memory, spilling to local disk) and remembers the frame;
+``release`` drops everything kept so far.  A lost cached block is rebuilt
+from lineage, so every kept plan must be deterministic (all keys here are).
+"""
+
+from __future__ import annotations
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
+
+_KEPT: list[DataFrame] = []
+
+
+def keep(df: DataFrame) -> DataFrame:
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _KEPT.append(out)
+    return out
+
+
+def release() -> int:
+    n = len(_KEPT)
+    while _KEPT:
+        _KEPT.pop().unpersist()
+    return n

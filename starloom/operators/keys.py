@@ -17,10 +17,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.operators.cache import keep
+
 
 def _cols(order: Sequence) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
@@ -46,10 +47,7 @@ def dense_key(df: DataFrame, order: Sequence, name: str, offset: int = 0,
                 .sortWithinPartitions(*oc)
                 .withColumn("_sk_part", F.spark_partition_id())
                 .withColumn("_sk_pos", F.monotonically_increasing_id()))
-    if checkpoint:
-        ranged = ranged.checkpoint(eager=True)
-    else:
-        ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = ranged.checkpoint(eager=True) if checkpoint else keep(ranged)
     # one row per partition: bounded by n, safe to broadcast
     sizes = ranged.groupBy("_sk_part").agg(F.count(F.lit(1)).alias("_sk_n"))
     before = Window.orderBy("_sk_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -42,7 +42,7 @@ def build_history(feed: DataFrame, key: str, ts: str, tiebreak: Sequence[str] =
     order = [ts, *tiebreak]
     rows = feed
     if track:
-        prev = sequence_per_key(feed, [key], order, next_cols=list(track) + [ts], rn="_chg_rn",
+        prev = sequence_per_key(feed, [key], order, next_cols=list(track) + [ts],
                                 num_partitions=num_partitions)
         # a row repeats its successor's values -> the successor is no change;
         # mark successors by joining the "next" view back on (key, next ts)

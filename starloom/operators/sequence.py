@@ -27,29 +27,52 @@ from starloom.operators.keys import dense_key
 
 
 def sequence_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                     next_cols: Sequence[str] = (), rn: str = "_rn", size: str | None = None,
+                     next_cols: Sequence[str] = (), rn: str | None = None, size: str | None = None,
                      is_last: str | None = None, num_partitions: int | None = None) -> DataFrame:
-    """Add ``rn`` (1-based number inside the key, in ``order``), optionally
-    the group ``size``, an ``is_last`` flag and ``next_<c>`` for every column
-    of ``next_cols`` (null on the last row of a key).
+    """Add ``rn`` (1-based number inside the key, in ``order``), the group
+    ``size``, an ``is_last`` flag and ``next_<c>`` for every column of
+    ``next_cols`` (null on the last row of a key) — each only when asked.
 
     ``order`` must make rows unique inside a key (R1: add an id column)."""
     keys = list(keys)
     pos = dense_key(df, [*keys, *order], "_sq_pos", num_partitions=num_partitions)
-    bounds = pos.groupBy(*keys).agg(F.min("_sq_pos").alias("_sq_first"), F.max("_sq_pos").alias("_sq_last"))
-    # null keys group together in groupBy; join with null-safe equality
-    cond = [pos[k].eqNullSafe(bounds[k]) for k in keys]
-    out = pos.join(bounds, cond, "inner").select(pos["*"], bounds["_sq_first"], bounds["_sq_last"])
-    out = out.withColumn(rn, (F.col("_sq_pos") - F.col("_sq_first") + 1).cast("bigint"))
-    if size:
-        out = out.withColumn(size, (F.col("_sq_last") - F.col("_sq_first") + 1).cast("bigint"))
-    if is_last:
-        out = out.withColumn(is_last, F.col("_sq_pos") == F.col("_sq_last"))
-    if next_cols:
-        nxt = pos.select((F.col("_sq_pos") - 1).alias("_sq_pos"),
-                         *[F.col(c).alias(f"next_{c}") for c in next_cols])
+    out = pos
+    if rn or size:
+        bounds = pos.groupBy(*keys).agg(F.min("_sq_pos").alias("_sq_first"), F.max("_sq_pos").alias("_sq_last"))
+        # null keys group together in groupBy; join with null-safe equality
+        cond = [pos[k].eqNullSafe(bounds[k]) for k in keys]
+        out = pos.join(bounds, cond, "inner").select(pos["*"], bounds["_sq_first"], bounds["_sq_last"])
+        if rn:
+            out = out.withColumn(rn, (F.col("_sq_pos") - F.col("_sq_first") + 1).cast("bigint"))
+        if size:
+            out = out.withColumn(size, (F.col("_sq_last") - F.col("_sq_first") + 1).cast("bigint"))
+        out = out.drop("_sq_first", "_sq_last")
+    if next_cols or is_last:
+        # the row at position + 1, kept only when it belongs to the same key
+        nxt = pos.select((F.col("_sq_pos") - 1).alias("_sq_pos"), *[F.col(k).alias(f"_sq_k{i}") for i, k in enumerate(keys)],
+                         *[F.col(c).alias(f"next_{c}") for c in next_cols], F.lit(True).alias("_sq_has"))
         out = out.join(nxt, "_sq_pos", "left")
-        on_last = F.col("_sq_pos") == F.col("_sq_last")
+        same = F.col("_sq_has").isNotNull()
+        for i, k in enumerate(keys):
+            same = same & F.col(k).eqNullSafe(F.col(f"_sq_k{i}"))
         for c in next_cols:
-            out = out.withColumn(f"next_{c}", F.when(~on_last, F.col(f"next_{c}")))
-    return out.drop("_sq_pos", "_sq_first", "_sq_last")
+            out = out.withColumn(f"next_{c}", F.when(same, F.col(f"next_{c}")))
+        if is_last:
+            out = out.withColumn(is_last, ~same)
+        out = out.drop("_sq_has", *[f"_sq_k{i}" for i in range(len(keys))])
+    return out.drop("_sq_pos")
+
+
+def flag_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """``name`` is true on the last row of every key in ``order`` (a total
+    order inside the key).  The maximum of ``struct(order…)`` per key comes
+    from an aggregation (partial on the map side, so a hot key is reduced
+    before the shuffle) and is joined back; no numbering pass is needed."""
+    keys = list(keys)
+    tup = F.struct(*[F.col(c) for c in order])
+    last = df.groupBy(*keys).agg(F.max(tup).alias("_fl_max"))
+    last = last.select(*[F.col(k).alias(f"_fl_k{i}") for i, k in enumerate(keys)], "_fl_max")
+    cond = [df[k].eqNullSafe(last[f"_fl_k{i}"]) for i, k in enumerate(keys)]
+    out = df.join(last, cond, "left")
+    return out.withColumn(name, F.coalesce(tup.eqNullSafe(F.col("_fl_max")), F.lit(False))) \
+              .drop("_fl_max", *[f"_fl_k{i}" for i in range(len(keys))])

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from starloom.functions import clean_name
 from starloom.operators.keys import dense_key
 from starloom.operators.lookup import join_dim
-from starloom.operators.sequence import sequence_per_key
+from starloom.operators.sequence import flag_last
 from starloom.plans import constants as K
 
 
@@ -26,7 +26,7 @@ def fact_election_result(feed: DataFrame, dim_election_df: DataFrame, dim_countr
     (shuffle join, AQE may switch it)."""
     f = feed.withColumn("country_name", clean_name("territory_name")) \
             .withColumn("full_date", F.col("time").cast("date"))
-    seq = sequence_per_key(f, ["election_id"], ["time", *tiebreak], is_last="_is_last")
+    seq = flag_last(f, ["election_id"], ["time", *tiebreak], "_is_last")
     seq = seq.withColumn("result_type", F.when(F.col("_is_last"), F.lit(K.RESULT_OFFICIAL))
                          .otherwise(F.lit(K.RESULT_PRELIMINARY)))
     e = dim_election_df.select(F.col("election_id").alias("_eid"), "election_tk")

@@ -1 +1,187 @@
-"""Named queries (see registry)."""
+"""Source and sink queries: CSV feeds, table dicts, literal look-ups, catalog,
+write-and-read-back loads."""
+
+from __future__ import annotations
+
+from pyspark import StorageLevel
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from starloom.operators.lookup import join_dim
+from starloom.plans import constants as K
+from starloom.plans.dims import orientation_frame
+from starloom.plans.feeds import Tables
+from starloom.plans.registry import query
+from starloom.plans.sqlfrag import values
+from starloom.session import scratch_path
+from starloom.sources import catalog, files, sinks
+
+
+@query("csv_scan", "SELECT * FROM nation")
+def q_csv_scan(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    path = files.write_csv(t.nation, scratch_path(spark, "nation-csv"))
+    return files.read_csv(spark, path, schema=t.nation.schema)
+
+
+@query("csv_scan_limit", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 2000")
+def q_csv_scan_limit(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    path = files.write_csv(t.orders, scratch_path(spark, "orders-csv"))
+    return files.read_csv_head(spark, path, 2000, ["o_orderkey"], schema=t.orders.schema)
+
+
+@query("csv_scan_bom", "SELECT * FROM region")
+def q_csv_scan_bom(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    path = files.write_csv(t.region, scratch_path(spark, "region-bom-csv"), bom=True)
+    raw = files.read_csv(spark, path)  # header names as written, BOM dropped by the reader
+    return raw.select(F.col("r_regionkey").cast("int").alias("r_regionkey"), F.col("r_name"))
+
+
+@query("csv_dotted_columns", """
+SELECT c_custkey AS customer_id, c_name AS customer_name, c_acctbal AS pre_blank_votes FROM customer""")
+def q_csv_dotted_columns(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    feed = t.customer.select(F.col("c_custkey").alias("customer.id"), F.col("c_name").alias("customer.name"),
+                             F.col("c_acctbal").alias("pre.blankVotes"))
+    path = files.write_csv(feed, scratch_path(spark, "customer-dotted-csv"))
+    raw = files.read_csv(spark, path)
+    return raw.select(files.dotted("customer.id").cast("bigint").alias("customer_id"),
+                      files.dotted("customer.name").alias("customer_name"),
+                      files.dotted("pre.blankVotes").cast("double").alias(files.snake("pre.blankVotes")))
+
+
+@query("extract_all", """
+SELECT 'region' AS table_name, count(*) AS row_count FROM region
+UNION ALL SELECT 'nation', count(*) FROM nation
+UNION ALL SELECT 'customer', count(*) FROM customer
+UNION ALL SELECT 'supplier', count(*) FROM supplier""")
+def q_extract_all(spark, sf_dir):
+    srcs = files.read_tables(spark, sf_dir, ["region", "nation", "customer", "supplier", "person"],
+                             optional=["person"])
+    out = None
+    for name, df in srcs.items():
+        c = df.agg(F.count(F.lit(1)).alias("row_count")).withColumn("table_name", F.lit(name))
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+@query("inline_lookup", f"""
+SELECT p.p_partkey, CAST(split_part(p.p_brand, '#', 2) AS INTEGER) AS party_id, o.orientation
+FROM part p LEFT JOIN {values(K.PARTY_ORIENTATION, ['o_party_id', 'orientation'], 'o')}
+     ON CAST(split_part(p.p_brand, '#', 2) AS INTEGER) = o.o_party_id""")
+def q_inline_lookup(spark, sf_dir):
+    p = Tables(spark, sf_dir).part.select(
+        "p_partkey", F.substring_index("p_brand", "#", -1).cast("int").alias("party_id"))
+    return join_dim(p, orientation_frame(spark), "party_id", "left", bounded=True)  # 21 literal rows
+
+
+@query("catalog_columns", """
+SELECT 'region' AS table_name, column_name, row_number() OVER () AS position FROM (DESCRIBE region)
+UNION ALL SELECT 'nation', column_name, row_number() OVER () FROM (DESCRIBE nation)
+UNION ALL SELECT 'supplier', column_name, row_number() OVER () FROM (DESCRIBE supplier)""")
+def q_catalog_columns(spark, sf_dir):
+    srcs = files.read_tables(spark, sf_dir, ["region", "nation", "supplier"])
+    files.register_views(srcs)
+    return catalog.columns_frame(spark, list(srcs))
+
+
+@query("read_back", "SELECT * FROM region")
+def q_read_back(spark, sf_dir):
+    path = sinks.write_table(Tables(spark, sf_dir).region, scratch_path(spark, "region"))
+    return spark.read.parquet(path)
+
+
+@query("append_load", "SELECT * FROM region UNION ALL SELECT * FROM region")
+def q_append_load(spark, sf_dir):
+    r = Tables(spark, sf_dir).region
+    path = scratch_path(spark, "region-append")
+    sinks.append_table(r, path)
+    sinks.append_table(r, path)
+    return spark.read.parquet(path)
+
+
+def _star_counts_sql() -> str:
+    from starloom.plans import q_warehouse as W
+    ctes = ", ".join([W.SQL_DIM_COUNTRY, W.SQL_DIM_DATE, W.SQL_DIM_PARTY, W.SQL_DIM_PERSON, W.SQL_DIM_ELECTION,
+                      W.SQL_HISTORY_SRC, W.SQL_DIM_HISTORY, W.SQL_FEED])
+    return f"""WITH {ctes}
+SELECT 'dim_country' AS table_name, count(*) AS row_count FROM dim_country
+UNION ALL SELECT 'dim_date', count(*) FROM dim_date
+UNION ALL SELECT 'dim_party', count(*) FROM dim_party
+UNION ALL SELECT 'dim_person', count(*) FROM dim_person
+UNION ALL SELECT 'dim_election', count(*) FROM dim_election
+UNION ALL SELECT 'dim_election_history', count(*) FROM dim_election_history
+UNION ALL SELECT 'fact_election_result', count(*) FROM feed"""
+
+
+def _load_counts_sql() -> str:
+    from starloom.plans import q_warehouse as W
+    return f"""WITH {W.SQL_FEED}, {W.SQL_NORM_COUNTRY}, {W.SQL_NORM_PARTY}
+SELECT 'country' AS table_name, count(*) AS row_count FROM ncountry
+UNION ALL SELECT 'party', count(*) FROM nparty
+UNION ALL SELECT 'election', count(*) FROM feed
+UNION ALL SELECT 'result', count(*) FROM feed
+UNION ALL SELECT 'election_history', count(*) FROM feed"""
+
+
+def star_build(spark, sf_dir: str, base: str | None = None) -> dict[str, str]:
+    """Extract → six dimensions → fact → write, dimensions first.  The
+    dimensions are persisted once because the fact looks them all up."""
+    from starloom.plans import q_warehouse as W
+    t = Tables(spark, sf_dir)
+    keep = StorageLevel.MEMORY_AND_DISK
+    dc = W.build_dim_country(t).persist(keep)
+    dd = W.build_dim_date(t).persist(keep)
+    dp = W.build_dim_party(t).persist(keep)
+    de = W.build_dim_election(t, dd, dc).persist(keep)
+    outputs = {
+        "dim_country": dc, "dim_date": dd, "dim_party": dp,
+        "dim_person": W.build_dim_person(t, dc), "dim_election": de,
+        "dim_election_history": W.build_dim_history(t),
+        "fact_election_result": W.build_fact(t, dc, dd, dp, de),
+    }
+    base = base or scratch_path(spark, "star")
+    paths = sinks.load_all(spark, outputs, base, partition_by={})
+    for d in (dc, dd, dp, de):
+        d.unpersist()
+    return paths
+
+
+@query("star_build", _star_counts_sql())
+def q_star_build(spark, sf_dir):
+    return sinks.written_counts(spark, star_build(spark, sf_dir))
+
+
+@query("load_star", _load_counts_sql())
+def q_load_star(spark, sf_dir):
+    from starloom.plans import normalize as N
+    from starloom.plans import q_warehouse as W
+    t = Tables(spark, sf_dir)
+    feed = W.wide_feed(t)
+    numbered = N.numbered_feed(feed, W.LINEITEM_ORDER).persist(StorageLevel.MEMORY_AND_DISK)
+    country, party = N.countries(feed), N.parties(feed)
+    outputs = {"country": country, "party": party,
+               "election": N.elections(numbered, country, W.ELECTION_MEASURES),
+               "result": N.results(numbered, party, W.RESULT_MEASURES),
+               "election_history": N.histories(numbered)}
+    paths = sinks.load_all(spark, outputs, scratch_path(spark, "normalised"))
+    numbered.unpersist()
+    return sinks.written_counts(spark, paths)
+
+
+@query("create_tables")
+def q_create_tables(spark, sf_dir):
+    """Declared star tables created empty from their schemas, then the
+    calendar dimension (built from the tables) appended: rows-only check."""
+    from starloom.plans import q_warehouse as W
+    from starloom.plans.schemas import STAR_SCHEMAS
+    base = scratch_path(spark, "declared")
+    for name, schema in STAR_SCHEMAS.items():
+        sinks.create_empty(spark, schema, f"{base}/{name}")
+    sinks.append_table(W.build_dim_date(Tables(spark, sf_dir)), f"{base}/dim_date")
+    return spark.read.schema(STAR_SCHEMAS["dim_date"]).parquet(f"{base}/dim_date")
+
+
+_ = T  # schema types are used through starloom.plans.schemas

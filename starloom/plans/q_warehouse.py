@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from starloom.operators.cache import keep
 from starloom.plans import constants as K
 from starloom.plans import dims, facts
 from starloom.plans.feeds import (
@@ -114,8 +115,10 @@ def build_dim_election(t: Tables, dim_date_df=None, dim_country_df=None):
 
 
 def build_fact(t: Tables, dim_country_df=None, dim_date_df=None, dim_party_df=None, dim_election_df=None):
-    dc = dim_country_df if dim_country_df is not None else build_dim_country(t)
-    dd = dim_date_df if dim_date_df is not None else build_dim_date(t)
+    # the bounded dimensions are read by both the election dimension and the
+    # fact: build each once
+    dc = dim_country_df if dim_country_df is not None else keep(build_dim_country(t))
+    dd = dim_date_df if dim_date_df is not None else keep(build_dim_date(t))
     dp = dim_party_df if dim_party_df is not None else build_dim_party(t)
     de = dim_election_df if dim_election_df is not None else build_dim_election(t, dd, dc)
     return facts.fact_election_result(wide_feed(t), de, dc, dd, dp, FEED_MEASURES, LINEITEM_ORDER)
@@ -323,9 +326,9 @@ SELECT event_id, user_id,
        CASE WHEN lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL THEN 'official' ELSE 'preliminary' END AS result_type
 FROM events""")
 def q_result_type(spark, sf_dir):
-    from starloom.operators.sequence import sequence_per_key
+    from starloom.operators.sequence import flag_last
     e = Tables(spark, sf_dir).events.select("event_id", "user_id", "ts")
-    s = sequence_per_key(e, ["user_id"], ["ts", "event_id"], is_last="_is_last")
+    s = flag_last(e, ["user_id"], ["ts", "event_id"], "_is_last")
     return s.select("event_id", "user_id", F.when(F.col("_is_last"), K.RESULT_OFFICIAL)
                     .otherwise(K.RESULT_PRELIMINARY).alias("result_type"))
 

@@ -23,7 +23,7 @@ def between(key_sql: str, salt: str, lo: int, hi: int) -> str:
     return f"({lo} + {bucket(key_sql, salt, hi - lo + 1)})"
 
 
-def values(rows: Sequence[tuple], cols: Sequence[str]) -> str:
+def values(rows: Sequence[tuple], cols: Sequence[str], alias: str = "t") -> str:
     def lit(v):
         if v is None:
             return "NULL"
@@ -31,4 +31,4 @@ def values(rows: Sequence[tuple], cols: Sequence[str]) -> str:
             return "'" + v.replace("'", "''") + "'"
         return str(v)
     body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
-    return f"(VALUES {body}) AS t({', '.join(cols)})"
+    return f"(VALUES {body}) AS {alias}({', '.join(cols)})"
