@@ -37,9 +37,11 @@ def dense_key(df: DataFrame, order: Sequence, name: str, offset: int = 0,
               num_partitions: int | None = None, checkpoint: bool = False) -> DataFrame:
     """Distributed 1-based dense key over a total order, plus ``offset``.
 
-    ``checkpoint=True`` writes the ranged frame to the shared checkpoint
-    folder instead of persisting it (cuts lineage for very long plans).
-    """
+    Runs one small job now: it materialises the range-partitioned, sorted
+    frame (kept, or checkpointed to the shared folder with
+    ``checkpoint=True`` for very long lineages) and returns one row count per
+    partition — as many numbers as partitions, never rows.  The returned
+    plan then reads the kept frame once."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     oc = _cols(order)
@@ -48,14 +50,17 @@ def dense_key(df: DataFrame, order: Sequence, name: str, offset: int = 0,
                 .withColumn("_sk_part", F.spark_partition_id())
                 .withColumn("_sk_pos", F.monotonically_increasing_id()))
     ranged = ranged.checkpoint(eager=True) if checkpoint else keep(ranged)
-    # one row per partition: bounded by n, safe to broadcast
-    sizes = ranged.groupBy("_sk_part").agg(F.count(F.lit(1)).alias("_sk_n"))
-    before = Window.orderBy("_sk_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_sk_part", F.coalesce(F.sum("_sk_n").over(before), F.lit(0)).alias("_sk_off"))
+    sizes = dict(ranged.groupBy("_sk_part").agg(F.count(F.lit(1))).collect())
+    offsets, run = [], 0
+    for p in range(max(sizes, default=-1) + 1):
+        offsets.append(run)
+        run += sizes.get(p, 0)
+    if not offsets:
+        return ranged.withColumn(name, F.lit(None).cast("bigint")).drop("_sk_part", "_sk_pos")
+    before = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col("_sk_part") + 1)
     local = F.col("_sk_pos") - F.shiftleft(F.col("_sk_part").cast("bigint"), 33)
-    return (ranged.join(F.broadcast(offsets), "_sk_part")
-                  .withColumn(name, (F.col("_sk_off") + local + F.lit(1 + offset)).cast("bigint"))
-                  .drop("_sk_part", "_sk_pos", "_sk_off"))
+    return (ranged.withColumn(name, (before + local + F.lit(1 + offset)).cast("bigint"))
+                  .drop("_sk_part", "_sk_pos"))
 
 
 def surrogate_key(df: DataFrame, order: Sequence, name: str, offset: int = 0,

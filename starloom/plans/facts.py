@@ -26,15 +26,17 @@ def fact_election_result(feed: DataFrame, dim_election_df: DataFrame, dim_countr
     (shuffle join, AQE may switch it)."""
     f = feed.withColumn("country_name", clean_name("territory_name")) \
             .withColumn("full_date", F.col("time").cast("date"))
-    seq = flag_last(f, ["election_id"], ["time", *tiebreak], "_is_last")
-    seq = seq.withColumn("result_type", F.when(F.col("_is_last"), F.lit(K.RESULT_OFFICIAL))
-                         .otherwise(F.lit(K.RESULT_PRELIMINARY)))
     e = dim_election_df.select(F.col("election_id").alias("_eid"), "election_tk")
-    j = join_dim(seq, e, seq["election_id"] == e["_eid"], "left")
+    j = join_dim(f, e, f["election_id"] == e["_eid"], "left")
     j = join_dim(j, dim_country_df.select("country_name", "country_tk"), "country_name", "left", bounded=True)
     j = join_dim(j, dim_date_df.select("full_date", "date_tk"), "full_date", "left", bounded=True)
     j = join_dim(j, dim_party_df.select(F.col("name").alias("party"), "party_tk"), "party", "left", bounded=True)
-    j = j.select("election_tk", "country_tk", "date_tk", "party_tk", *measures, "result_type", *tiebreak)
+    j = j.select("election_id", "time", "election_tk", "country_tk", "date_tk", "party_tk", *measures, *tiebreak)
+    # number first: the numbered frame is kept, so the last-row flag below
+    # aggregates the kept rows instead of recomputing the joins
     keyed = dense_key(j, ["election_tk", "party_tk", *tiebreak], "fact_id")
-    return keyed.select("fact_id", "election_tk", "country_tk", "date_tk", "party_tk",
-                        *measures, "result_type")
+    flagged = flag_last(keyed, ["election_id"], ["time", *tiebreak], "_is_last")
+    flagged = flagged.withColumn("result_type", F.when(F.col("_is_last"), F.lit(K.RESULT_OFFICIAL))
+                                 .otherwise(F.lit(K.RESULT_PRELIMINARY)))
+    return flagged.select("fact_id", "election_tk", "country_tk", "date_tk", "party_tk",
+                          *measures, "result_type")
