@@ -505,3 +505,16 @@ def q_hierarchy_paths(spark, sf_dir):
     s = t.supplier.select("s_suppkey", "s_name", "s_nationkey")
     return s.join(F.broadcast(geo), s["s_nationkey"] == geo["n_nationkey"], "left") \
         .select("s_suppkey", "s_name", "n_name", "r_name")
+
+
+@query("scd2_stream", SQL_SCD2)
+def q_scd2_stream(spark, sf_dir):
+    """The events table consumed as a stream; each micro-batch is merged
+    into the SCD2 history snapshot (foreachBatch)."""
+    from starloom.session import scratch_path
+    from starloom.streaming.loaders import Scd2Sink, latest_snapshot, run_feed
+    schema = Tables(spark, sf_dir).events.schema
+    target = scratch_path(spark, "scd2-stream")
+    run_feed(spark, sf_dir, schema, Scd2Sink(target, "user_id", "ts", ["event_id"]), "scd2",
+             file_glob="events.parquet")
+    return latest_snapshot(spark, target).select(*SCD2_COLS)
