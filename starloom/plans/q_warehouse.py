@@ -518,3 +518,16 @@ def q_scd2_stream(spark, sf_dir):
     run_feed(spark, sf_dir, schema, Scd2Sink(target, "user_id", "ts", ["event_id"]), "scd2",
              file_glob="events.parquet")
     return latest_snapshot(spark, target).select(*SCD2_COLS)
+
+
+@query("join_on_calendar_date", f"""
+WITH {SQL_DIM_DATE}
+SELECT e.event_id, e.ts, d.date_tk, d.full_date
+FROM events e LEFT JOIN dim_date d ON CAST(e.ts AS DATE) = d.full_date""")
+def q_join_on_calendar_date(spark, sf_dir):
+    from starloom.operators.lookup import join_dim
+    t = Tables(spark, sf_dir)
+    e = t.events.select("event_id", "ts").withColumn("full_date", F.col("ts").cast("date"))
+    # a calendar has at most 366 rows a year: bounded, broadcast
+    return join_dim(e, build_dim_date(t).select("full_date", "date_tk"), "full_date", "left", bounded=True) \
+        .select("event_id", "ts", "date_tk", "full_date")
