@@ -30,3 +30,15 @@ def py_strip(c) -> Column:
 def fold_accents(c) -> Column:
     """Replace accented Latin letters by their base letter."""
     return F.translate(_c(c), ACCENTED, PLAIN)
+
+
+# Fixed value: text that can hold an integer (optional sign, digits, blanks around).
+INT_TEXT = r"^\s*[+-]?\d+\s*$"
+
+
+def try_int(c, type_name: str = "int") -> Column:
+    """Tolerant text → integer: null when the text is not a number or does
+    not fit.  The pattern test runs first so non-numeric text never reaches
+    the cast's error path (which is slow when most rows are dirty)."""
+    col = _c(c)
+    return F.when(col.rlike(INT_TEXT), col.try_cast(type_name))

@@ -33,7 +33,10 @@ def fact_election_result(feed: DataFrame, dim_election_df: DataFrame, dim_countr
     j = join_dim(j, dim_party_df.select(F.col("name").alias("party"), "party_tk"), "party", "left", bounded=True)
     j = j.select("election_id", "time", "election_tk", "country_tk", "date_tk", "party_tk", *measures, *tiebreak)
     # number first: the numbered frame is kept, so the last-row flag below
-    # aggregates the kept rows instead of recomputing the joins
+    # aggregates the kept rows instead of recomputing the joins.  The
+    # election join comes first: a feed partitioned by election id (see
+    # feeds.wide_feed) meets the election dimension without a new shuffle of
+    # its own side.
     keyed = dense_key(j, ["election_tk", "party_tk", *tiebreak], "fact_id")
     flagged = flag_last(keyed, ["election_id"], ["time", *tiebreak], "_is_last")
     flagged = flagged.withColumn("result_type", F.when(F.col("_is_last"), F.lit(K.RESULT_OFFICIAL))

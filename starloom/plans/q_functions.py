@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions import (
     add_minutes, at_time_of_day, clean_name, fold_accents, hash_between, hash_pick, parse_date,
-    parse_timestamp, py_strip, safe_percentage, valid_hms,
+    parse_timestamp, py_strip, safe_percentage, try_int, valid_hms,
 )
 from starloom.operators.scd2 import open_end
 from starloom.operators.sequence import sequence_per_key
@@ -45,7 +45,7 @@ def q_casts(spark, sf_dir):
     return o.select(F.col("o_orderkey").cast("int").alias("order_id"),
                     F.col("o_custkey").cast("string").alias("customer_text"),
                     F.col("o_orderdate").cast("date").alias("order_date"),
-                    F.col("o_orderpriority").try_cast("int").alias("priority_bad"),
+                    try_int("o_orderpriority").alias("priority_bad"),
                     F.substring("o_orderpriority", 1, 1).cast("int").alias("priority"))
 
 
