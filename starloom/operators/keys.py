@@ -42,10 +42,12 @@ def dense_key(df: DataFrame, order: Sequence, name: str, offset: int = 0,
     ``checkpoint=True`` for very long lineages) and returns one row count per
     partition — as many numbers as partitions, never rows.  The returned
     plan then reads the kept frame once."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     oc = _cols(order)
-    ranged = (df.repartitionByRange(n, *oc)
+    # without an explicit count the range exchange uses the session's shuffle
+    # partitions and AQE may merge neighbouring small ranges (positions are
+    # taken after the exchange, so merged ranges stay consistent)
+    ex = df.repartitionByRange(num_partitions, *oc) if num_partitions else df.repartitionByRange(*oc)
+    ranged = (ex
                 .sortWithinPartitions(*oc)
                 .withColumn("_sk_part", F.spark_partition_id())
                 .withColumn("_sk_pos", F.monotonically_increasing_id()))
