@@ -31,15 +31,14 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence,
     any_null = F.lit(False)
     for k in keys:
         any_null = any_null | F.col(k).isNull()
-    src = df
     if not keep_null_keys:
-        return (src.where(~any_null).groupBy(*keys).agg(F.min(payload).alias("_p"))
+        return (df.where(~any_null).groupBy(*keys).agg(F.min(payload).alias("_p"))
                    .select(*keys, *[F.col("_p")[c].alias(c) for c in rest]).select(*df.columns))
     # Null-key rows are not duplicates of each other: they are grouped by
     # their whole value (one group per distinct row, with its multiplicity)
     # and expanded again, so the input is read once and no row is lost.
     whole = F.when(any_null, F.struct(*[F.col(c) for c in df.columns]))
-    g = (src.groupBy(*keys, whole.alias("_dd_row"))
+    g = (df.groupBy(*keys, whole.alias("_dd_row"))
             .agg(F.min(payload).alias("_p"), F.count(F.lit(1)).alias("_dd_n")))
     g = g.withColumn("_dd_rep", F.explode(F.sequence(F.lit(1), F.when(F.col("_dd_row").isNull(), F.lit(1))
                                                      .otherwise(F.col("_dd_n").cast("int")))))

@@ -4,16 +4,18 @@ balanced when one key holds a large share of the rows.
 A ``Window.partitionBy(key)`` sends every row of a key to one task.  Here the
 rows are instead numbered by ``dense_key`` over ``(key, order…)``: the range
 partitioner cuts a hot key across many partitions, so each row gets a global
-position ``_pos``.  Then
+position.  Then
 
 * the first and last position of every key come from a ``groupBy`` with
-  map-side partial aggregation (one small row per key);
-* the row's number inside its key is ``_pos - first + 1``;
-* the next row is the row at ``_pos + 1`` (an equi-join on a unique key, so
-  the hash distribution is even) when it has the same key.
+  map-side partial aggregation (one small row per key) — only when a number
+  inside the key or the group size is asked for;
+* the row's number inside its key is ``position - first + 1``;
+* the next row is the row at ``position + 1`` (an equi-join on a unique key,
+  so the hash distribution is even) when it has the same key.
 
 The join back to the per-key table is a plain equi-join; AQE turns it into a
 broadcast when that table is small and splits a skewed key otherwise.
+``flag_last`` needs no numbering at all: a per-key maximum and one join.
 """
 
 from __future__ import annotations

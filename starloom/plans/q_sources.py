@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from starloom.operators.lookup import join_dim
 from starloom.plans import constants as K
@@ -183,5 +182,3 @@ def q_create_tables(spark, sf_dir):
     sinks.append_table(W.build_dim_date(Tables(spark, sf_dir)), f"{base}/dim_date")
     return spark.read.schema(STAR_SCHEMAS["dim_date"]).parquet(f"{base}/dim_date")
 
-
-_ = T  # schema types are used through starloom.plans.schemas
