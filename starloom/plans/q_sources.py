@@ -157,16 +157,14 @@ def q_star_build(spark, sf_dir):
 def q_load_star(spark, sf_dir):
     from starloom.plans import normalize as N
     from starloom.plans import q_warehouse as W
-    t = Tables(spark, sf_dir)
-    feed = W.wide_feed(t)
-    numbered = N.numbered_feed(feed, W.LINEITEM_ORDER).persist(StorageLevel.MEMORY_AND_DISK)
-    country, party = N.countries(feed), N.parties(feed)
+    # the numbered feed is kept by its dense key; every table reads it
+    numbered = N.numbered_feed(W.wide_feed(Tables(spark, sf_dir)), W.LINEITEM_ORDER)
+    country, party = N.countries(numbered), N.parties(numbered)
     outputs = {"country": country, "party": party,
                "election": N.elections(numbered, country, W.ELECTION_MEASURES),
                "result": N.results(numbered, party, W.RESULT_MEASURES),
                "election_history": N.histories(numbered)}
     paths = sinks.load_all(spark, outputs, scratch_path(spark, "normalised"))
-    numbered.unpersist()
     return sinks.written_counts(spark, paths)
 
 

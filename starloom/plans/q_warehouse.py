@@ -395,8 +395,8 @@ SELECT f.election_id AS id, f.time AS year, {', '.join('f.' + m for m in ELECTIO
 FROM nfeed f LEFT JOIN ncountry c ON {initcap_word('trim(f.territory_name)')} = c.name""")
 def q_normalize_election(spark, sf_dir):
     from starloom.plans.normalize import countries, elections
-    t = Tables(spark, sf_dir)
-    return elections(_numbered(t), countries(wide_feed(t)), ELECTION_MEASURES)
+    numbered = _numbered(Tables(spark, sf_dir))  # kept: the country list reads it too
+    return elections(numbered, countries(numbered), ELECTION_MEASURES)
 
 
 @query("normalize_result", f"""
@@ -405,8 +405,8 @@ SELECT f.election_id AS id, f.election_id, p.id AS party_id, {', '.join('f.' + m
 FROM nfeed f LEFT JOIN nparty p ON trim(f.party) = p.name""")
 def q_normalize_result(spark, sf_dir):
     from starloom.plans.normalize import parties, results
-    t = Tables(spark, sf_dir)
-    return results(_numbered(t), parties(wide_feed(t)), RESULT_MEASURES)
+    numbered = _numbered(Tables(spark, sf_dir))  # kept: the party list reads it too
+    return results(numbered, parties(numbered), RESULT_MEASURES)
 
 
 @query("normalize_history", f"""

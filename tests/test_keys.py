@@ -51,3 +51,18 @@ def test_continue_key_from_max(spark):
     assert rows(got, "id", "name") == [(8, "c"), (9, "d")]
     empty = spark.createDataFrame([], "id long, name string")
     assert rows(continue_key(new, empty, "id", ["name"], "id"), "id", "name") == [(1, "c"), (2, "d")]
+
+
+def test_dense_key_splits_hot_leading_value(spark):
+    # a third of the rows share the leading order value: the range partitions
+    # must still be balanced (the hot value is cut by the next column)
+    data = [(0 if i % 3 == 0 else i, i) for i in range(3000)]
+    df = spark.createDataFrame(data, "a int, b int")
+    got = dense_key(df, ["a", "b"], "k", num_partitions=6)
+    ks = sorted(r.k for r in got.collect())
+    assert ks == list(range(1, 3001))
+    ranged = df.repartitionByRange(6, "a", "b").withColumn("p", F.spark_partition_id())
+    sizes = [r["count"] for r in ranged.groupBy("p").count().collect()]
+    assert max(sizes) < 2 * (3000 / 6)
+    hot_parts = ranged.where("a = 0").select("p").distinct().count()
+    assert hot_parts >= 2
