@@ -61,11 +61,21 @@ def build_history(feed: DataFrame, key: str, ts: str, tiebreak: Sequence[str] =
 
 
 def merge_history(history: DataFrame, batch: DataFrame, key: str, ts: str,
-                  tiebreak: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
+                  tiebreak: Sequence[str] = (), num_partitions: int | None = None,
+                  load_ts=None) -> DataFrame:
     """New snapshot = closed old versions ∪ untouched current ∪ re-closed
     current ∪ batch versions.  ``history`` has the columns produced by
-    ``build_history``; ``batch`` the feed columns."""
+    ``build_history``; ``batch`` the feed columns.
+
+    Versions open and close at event time.  ``load_ts`` (a timestamp text,
+    a Column such as ``current_timestamp()``, or None) switches to load-time
+    stamping as the row-by-row loader does: every version written by this
+    batch opens at ``load_ts``, and the versions it supersedes close then."""
     fresh = build_history(batch, key, ts, tiebreak, num_partitions=num_partitions)
+    if load_ts is not None:
+        stamp = (load_ts if isinstance(load_ts, F.Column) else F.lit(load_ts)).cast("timestamp_ntz")
+        fresh = (fresh.withColumn("date_from", stamp)
+                      .withColumn("date_to", F.when(F.col("is_current"), open_end()).otherwise(stamp)))
     current = history.where(F.col("is_current"))
     older = history.where(~F.col("is_current"))
     opens = fresh.where(F.col("version") == 1).select(F.col(key).alias("_k"), F.col("date_from").alias("_close_at"))

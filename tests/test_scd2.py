@@ -68,3 +68,12 @@ def test_merge_empty_batch_is_identity(spark):
     old = build_history(_feed(spark, [("A", _h(0), 1, 1), ("A", _h(1), 2, 1)]), "territory", "ts", ["id"])
     new = merge_history(old, _feed(spark, []), "territory", "ts", ["id"])
     assert rows(new) == rows(old.select(*new.columns))
+
+
+def test_merge_with_load_time(spark):
+    old = build_history(_feed(spark, [("A", _h(0), 1, 1)]), "territory", "ts", ["id"])
+    new = merge_history(old, _feed(spark, [("A", _h(5), 2, 2), ("B", _h(6), 3, 3)]), "territory", "ts", ["id"],
+                        load_ts="2030-01-01 12:00:00")
+    at = dt.datetime(2030, 1, 1, 12)
+    assert rows(new, "territory", "version", "date_from", "date_to", "is_current") == [
+        ("A", 1, _h(0), at, False), ("A", 2, at, END, True), ("B", 1, at, END, True)]
