@@ -1,7 +1,9 @@
 """Dimension look-ups.
 
 A broadcast is requested only for a side whose size is bounded by
-construction (a literal list, regions, calendar days).  Everything else is
+construction (``bounded=True``: a literal list, regions, nations) or checked
+at run time (``max_rows=n``: at most n+1 rows are counted, cheap on a kept
+dimension).  Everything else — and a checked side that turns out larger — is
 left to the planner: with AQE on, a shuffle join whose build side turns out
 small at run time is switched to a broadcast join, so the size check is made
 on real shuffle statistics, and the sort-merge path remains for large sides.
@@ -15,11 +17,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Fixed design bound: the largest dimension broadcast after a run-time check.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (counts ≤ max_rows+1)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-             bounded: bool = False) -> DataFrame:
-    """Join ``fact`` to ``dim``; ``bounded=True`` marks a dimension whose
-    row count has a proven small bound and may be broadcast."""
-    return fact.join(F.broadcast(dim) if bounded else dim, on, how)
+             bounded: bool = False, max_rows: int | None = None) -> DataFrame:
+    """Join ``fact`` to ``dim``.  ``bounded=True`` marks a dimension whose
+    row count has a proven small bound; ``max_rows`` checks the bound now.
+    Either way the dimension is broadcast; otherwise the planner decides."""
+    small = bounded or (max_rows is not None and fits(dim, max_rows))
+    return fact.join(F.broadcast(dim) if small else dim, on, how)
 
 
 def replace_with_key(df: DataFrame, dim: DataFrame, natural: str, dim_natural: str,

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from starloom.functions import clean_name, hash_pick, parse_date
 from starloom.operators.dedupe import first_per_key, union_prefer
 from starloom.operators.keys import surrogate_key
-from starloom.operators.lookup import anti_new, join_dim
+from starloom.operators.lookup import BROADCAST_MAX_ROWS, anti_new, join_dim
 from starloom.plans import constants as K
 
 
@@ -149,9 +149,9 @@ def dim_election(elections: DataFrame, dim_date_df: DataFrame, dim_country_df: D
                   .dropna(subset=["election_id", "election_date"]))
     e = first_per_key(e, ["election_id"], ["election_date", "country_id"], keep_null_keys=False)
     dd = dim_date_df.select(F.col("full_date").alias("election_date"), "date_tk")
-    e = join_dim(e, dd, "election_date", "left", bounded=True)
+    e = join_dim(e, dd, "election_date", "left", max_rows=BROADCAST_MAX_ROWS)
     dc = dim_country_df.select(F.col("country_id").alias("_cid"), F.col("country_tk"))
-    e = join_dim(e, dc, e["country_id"] == dc["_cid"], "left", bounded=True)
+    e = join_dim(e, dc, e["country_id"] == dc["_cid"], "left", max_rows=BROADCAST_MAX_ROWS)
     e = e.select("election_id", "election_date", "date_tk", "country_tk")
     return surrogate_key(e, ["election_id", "election_date"], "election_tk", bounded=bounded) \
         .select("election_tk", "election_id", "date_tk", "country_tk")

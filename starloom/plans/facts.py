@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions import clean_name
 from starloom.operators.keys import dense_key
-from starloom.operators.lookup import join_dim
+from starloom.operators.lookup import BROADCAST_MAX_ROWS, join_dim
 from starloom.operators.sequence import flag_last
 from starloom.plans import constants as K
 
@@ -21,16 +21,18 @@ def fact_election_result(feed: DataFrame, dim_election_df: DataFrame, dim_countr
                          measures: Sequence[str], tiebreak: Sequence[str]) -> DataFrame:
     """``feed``: (election_id, time, territory_name, party, measures…, tiebreak…).
 
-    Country/date/party dimensions are bounded and broadcast; the election
+    Country, date and party dimensions are broadcast after a run-time row
+    count check (pass them kept, the check is then cheap); the election
     dimension grows with the feed, so its join is left to the planner
     (shuffle join, AQE may switch it)."""
     f = feed.withColumn("country_name", clean_name("territory_name")) \
             .withColumn("full_date", F.col("time").cast("date"))
     e = dim_election_df.select(F.col("election_id").alias("_eid"), "election_tk")
     j = join_dim(f, e, f["election_id"] == e["_eid"], "left")
-    j = join_dim(j, dim_country_df.select("country_name", "country_tk"), "country_name", "left", bounded=True)
-    j = join_dim(j, dim_date_df.select("full_date", "date_tk"), "full_date", "left", bounded=True)
-    j = join_dim(j, dim_party_df.select(F.col("name").alias("party"), "party_tk"), "party", "left", bounded=True)
+    cap = BROADCAST_MAX_ROWS
+    j = join_dim(j, dim_country_df.select("country_name", "country_tk"), "country_name", "left", max_rows=cap)
+    j = join_dim(j, dim_date_df.select("full_date", "date_tk"), "full_date", "left", max_rows=cap)
+    j = join_dim(j, dim_party_df.select(F.col("name").alias("party"), "party_tk"), "party", "left", max_rows=cap)
     j = j.select("election_id", "time", "election_tk", "country_tk", "date_tk", "party_tk", *measures, *tiebreak)
     # number first: the numbered frame is kept, so the last-row flag below
     # aggregates the kept rows instead of recomputing the joins.  The

@@ -109,9 +109,10 @@ def build_dim_party(t: Tables):
 
 
 def build_dim_election(t: Tables, dim_date_df=None, dim_country_df=None):
+    # both dimensions are size-checked before being broadcast: keep them
     return dims.dim_election(election_source(t),
-                             dim_date_df if dim_date_df is not None else build_dim_date(t),
-                             dim_country_df if dim_country_df is not None else build_dim_country(t))
+                             dim_date_df if dim_date_df is not None else keep(build_dim_date(t)),
+                             dim_country_df if dim_country_df is not None else keep(build_dim_country(t)))
 
 
 def build_fact(t: Tables, dim_country_df=None, dim_date_df=None, dim_party_df=None, dim_election_df=None):
@@ -119,7 +120,7 @@ def build_fact(t: Tables, dim_country_df=None, dim_date_df=None, dim_party_df=No
     # fact: build each once
     dc = dim_country_df if dim_country_df is not None else keep(build_dim_country(t))
     dd = dim_date_df if dim_date_df is not None else keep(build_dim_date(t))
-    dp = dim_party_df if dim_party_df is not None else build_dim_party(t)
+    dp = dim_party_df if dim_party_df is not None else keep(build_dim_party(t))
     de = dim_election_df if dim_election_df is not None else build_dim_election(t, dd, dc)
     return facts.fact_election_result(wide_feed(t), de, dc, dd, dp, FEED_MEASURES, LINEITEM_ORDER)
 
