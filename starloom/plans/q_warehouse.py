@@ -532,3 +532,57 @@ def q_join_on_calendar_date(spark, sf_dir):
     # a calendar has at most 366 rows a year: bounded, broadcast
     return join_dim(e, build_dim_date(t).select("full_date", "date_tk"), "full_date", "left", bounded=True) \
         .select("event_id", "ts", "date_tk", "full_date")
+
+
+def _name_key(c):
+    """Match key for territory names: blanks stripped, accents folded and
+    case ignored — the same on both sides of the look-up."""
+    from starloom.functions import fold_accents, py_strip
+    return F.lower(fold_accents(py_strip(c)))
+
+
+@query("election_feed_load", f"""
+WITH {SQL_DIM_COUNTRY}, {SQL_DIM_DATE}, {SQL_DIM_ELECTION},
+f AS (
+  SELECT o.o_orderkey, CAST(o.o_orderdate AS DATE) AS d, n.n_name AS territory
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey),
+m AS (
+  SELECT f.o_orderkey, f.d, dd.date_tk, dc.country_id
+  FROM f LEFT JOIN dim_date dd ON f.d = dd.full_date
+       LEFT JOIN dim_country dc
+         ON lower(strip_accents(regexp_replace(f.territory, '^\\s+|\\s+$', '', 'g')))
+          = lower(strip_accents(regexp_replace(dc.country_name, '^\\s+|\\s+$', '', 'g')))
+  WHERE dd.date_tk IS NOT NULL AND dc.country_id IS NOT NULL),
+s AS (
+  SELECT *, row_number() OVER (PARTITION BY date_tk, country_id ORDER BY o_orderkey) AS rn,
+         count(*) OVER (PARTITION BY date_tk, country_id) AS n
+  FROM m)
+SELECT (SELECT coalesce(max(election_tk), 0) FROM dim_election) + row_number() OVER (ORDER BY o_orderkey) AS election_tk,
+       o_orderkey AS source_id, date_tk, country_id,
+       d + INTERVAL 18 HOUR + to_microseconds(CAST(18000000000 * (rn - 1) // greatest(n - 1, 1) AS BIGINT)) AS slot_ts
+FROM s""")
+def q_election_feed_load(spark, sf_dir):
+    """The feed-side election load: map each feed row's date and territory
+    to the calendar and country keys (names folded on both sides), drop
+    unmapped rows, spread the rows of each (date, country) over election
+    night, and number them after the election dimension's current maximum."""
+    from starloom.operators.keys import continue_key
+    from starloom.plans.generate import spread_in_group
+    from starloom.operators.lookup import BROADCAST_MAX_ROWS, join_dim
+    t = Tables(spark, sf_dir)
+    dd, dc = keep(build_dim_date(t)), keep(build_dim_country(t))
+    n = t.nation.select("n_nationkey", "n_name")
+    c = t.customer.select("c_custkey", "c_nationkey")
+    feed = (t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+            .join(c, F.col("o_custkey") == c["c_custkey"])
+            .join(F.broadcast(n), F.col("c_nationkey") == n["n_nationkey"])  # nations: bounded
+            .select("o_orderkey", F.col("o_orderdate").cast("date").alias("d"), F.col("n_name").alias("territory")))
+    feed = feed.withColumn("_nk", _name_key("territory"))
+    date_map = dd.select(F.col("full_date").alias("d"), "date_tk")
+    country_map = dc.select(_name_key("country_name").alias("_nk"), "country_id")
+    m = join_dim(feed, date_map, "d", "left", max_rows=BROADCAST_MAX_ROWS)
+    m = join_dim(m, country_map, "_nk", "left", max_rows=BROADCAST_MAX_ROWS)
+    m = m.dropna(subset=["date_tk", "country_id"]).select("o_orderkey", "d", "date_tk", "country_id")
+    spread = spread_in_group(m, ["date_tk", "country_id"], ["o_orderkey"], "d")
+    keyed = continue_key(spread, build_dim_election(t, dd, dc), "election_tk", ["o_orderkey"], "election_tk")
+    return keyed.select("election_tk", F.col("o_orderkey").alias("source_id"), "date_tk", "country_id", "slot_ts")
