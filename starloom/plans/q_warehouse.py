@@ -586,3 +586,18 @@ def q_election_feed_load(spark, sf_dir):
     spread = spread_in_group(m, ["date_tk", "country_id"], ["o_orderkey"], "d")
     keyed = continue_key(spread, build_dim_election(t, dd, dc), "election_tk", ["o_orderkey"], "election_tk")
     return keyed.select("election_tk", F.col("o_orderkey").alias("source_id"), "date_tk", "country_id", "slot_ts")
+
+
+@query("member_category_counts", f"""
+WITH g AS (SELECT s_suppkey, {pick('s_suppkey', 'gender|', ['M', 'F'])} AS gender FROM supplier)
+SELECT gender,
+       CASE WHEN gender = 'M' THEN {pick('s_suppkey', 'title|', K.TITLES_MALE)}
+            ELSE {pick('s_suppkey', 'title|', K.TITLES_FEMALE)} END AS title,
+       count(*) AS n
+FROM g GROUP BY 1, 2""")
+def q_member_category_counts(spark, sf_dir):
+    """The report's gender × title frequencies over the generated people."""
+    from starloom.operators.profile import counts_by
+    from starloom.plans.generate import generate_members
+    m = generate_members(Tables(spark, sf_dir).supplier.select("s_suppkey"), "s_suppkey", ["s_suppkey"])
+    return counts_by(m, ["gender", "title"])
