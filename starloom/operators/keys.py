@@ -65,11 +65,21 @@ def dense_key(df: DataFrame, order: Sequence, name: str, offset: int = 0,
                   .drop("_sk_part", "_sk_pos"))
 
 
+# Fixed design bound: the largest frame numbered in one task after a check.
+SINGLE_TASK_MAX_ROWS = 100_000
+
+
 def surrogate_key(df: DataFrame, order: Sequence, name: str, offset: int = 0,
-                  bounded: bool = False) -> DataFrame:
-    """``row_number_key`` for bounded dimensions, ``dense_key`` otherwise."""
+                  bounded: bool = False, max_rows: int | None = None) -> DataFrame:
+    """``row_number_key`` for dimensions with a proven bound (``bounded``),
+    or — with ``max_rows`` — after checking at run time that the (kept) frame
+    has at most that many rows; ``dense_key`` otherwise."""
     if bounded:
         return row_number_key(df, order, name, offset)
+    if max_rows is not None:
+        df = keep(df)
+        if df.limit(max_rows + 1).count() <= max_rows:
+            return row_number_key(df, order, name, offset)
     return dense_key(df, order, name, offset)
 
 
