@@ -11,8 +11,9 @@ micro-batch is applied set-wise with ``foreachBatch``:
 Every batch writes a complete new snapshot to ``<target>/batch=<id>`` and
 never touches earlier ones, so a batch replayed after a failure (Spark
 re-runs the last uncommitted epoch with the same data) rewrites the same
-folder with the same rows: the sink is idempotent.  Readers take the
-highest batch folder (``latest_snapshot``).  The stream's own checkpoint
+folder with the same rows: the sink is idempotent.  A snapshot counts once
+its batch id is appended to ``<target>/_manifest``; readers take the highest
+committed batch (``latest_snapshot``).  The stream's own checkpoint
 lives under the shared ``spark.checkpoint.dir``.
 """
 
@@ -20,7 +21,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.operators.scd2 import build_history, merge_history
@@ -28,29 +31,22 @@ from starloom.plans.generate import incremental_load
 from starloom.session import scratch_path
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def _batches(spark: SparkSession, target: str) -> list[int]:
-    p, fs = _hadoop_path(spark, target)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("batch="):
-            if fs.exists(_hadoop_path(spark, f"{target}/{name}/_SUCCESS")[0]):
-                out.append(int(name.split("=", 1)[1]))
-    return sorted(out)
+def _commit(spark: SparkSession, target: str, batch_id: int) -> None:
+    """Record a finished snapshot (appending to the manifest is the commit)."""
+    spark.createDataFrame([(batch_id,)], "batch_id long").coalesce(1) \
+        .write.mode("append").parquet(f"{target}/_manifest")
 
 
 def latest_snapshot(spark: SparkSession, target: str, before: int | None = None) -> DataFrame | None:
-    """The newest complete snapshot (optionally older than batch ``before``)."""
-    ids = [b for b in _batches(spark, target) if before is None or b < before]
-    return spark.read.parquet(f"{target}/batch={ids[-1]}") if ids else None
+    """The newest committed snapshot (optionally older than batch ``before``)."""
+    try:
+        m = spark.read.parquet(f"{target}/_manifest")
+    except AnalysisException:  # nothing committed yet
+        return None
+    if before is not None:
+        m = m.where(F.col("batch_id") < before)
+    last = m.agg(F.max("batch_id")).first()[0]
+    return None if last is None else spark.read.parquet(f"{target}/batch={last}")
 
 
 class Scd2Sink:
@@ -67,6 +63,7 @@ class Scd2Sink:
         else:
             snap = merge_history(prev, batch, self.key, self.ts, self.tiebreak)
         snap.write.mode("overwrite").parquet(f"{self.target}/batch={batch_id}")
+        _commit(spark, self.target, batch_id)
 
 
 class DimSink:
@@ -80,6 +77,7 @@ class DimSink:
         prev = latest_snapshot(spark, self.target, before=batch_id)
         snap = incremental_load(prev, batch, self.natural, self.id_col)
         snap.write.mode("overwrite").parquet(f"{self.target}/batch={batch_id}")
+        _commit(spark, self.target, batch_id)
 
 
 def run_feed(spark: SparkSession, source_dir: str, schema: T.StructType, sink, name: str,
