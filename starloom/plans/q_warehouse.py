@@ -292,7 +292,7 @@ FROM n WHERE name IS NOT NULL AND NOT EXISTS (SELECT 1 FROM e WHERE e.name = n.n
 def q_continue_key(spark, sf_dir):
     from starloom.operators.keys import continue_key, surrogate_key
     from starloom.operators.lookup import anti_new
-    p = Tables(spark, sf_dir).part.select("p_partkey", F.concat_ws(" ", "p_brand", "p_name").alias("name"))
+    p = Tables(spark, sf_dir).part.select("p_partkey", F.concat("p_brand", F.lit(" "), "p_name").alias("name"))
     p = p.where(F.col("name").isNotNull())
     existing = surrogate_key(p.where(F.col("p_partkey") < 1000).select("name").distinct(), ["name"], "id")
     fresh = p.where(F.col("p_partkey") >= 1000).select("name").distinct()
@@ -429,7 +429,7 @@ UNION ALL
 SELECT (SELECT coalesce(max(id), 0) FROM e) + row_number() OVER (ORDER BY name) AS id, name FROM n""")
 def q_incremental_dim_load(spark, sf_dir):
     from starloom.plans.generate import incremental_load
-    p = Tables(spark, sf_dir).part.select("p_partkey", F.concat_ws(" ", "p_brand", "p_name").alias("name"))
+    p = Tables(spark, sf_dir).part.select("p_partkey", F.concat("p_brand", F.lit(" "), "p_name").alias("name"))
     first = incremental_load(None, p.where(F.col("p_partkey") < 1000), "name")
     return incremental_load(first, p, "name")
 
@@ -601,3 +601,22 @@ def q_member_category_counts(spark, sf_dir):
     from starloom.plans.generate import generate_members
     m = generate_members(Tables(spark, sf_dir).supplier.select("s_suppkey"), "s_suppkey", ["s_suppkey"])
     return counts_by(m, ["gender", "title"])
+
+
+@query("incremental_dim_stream", """
+SELECT row_number() OVER (ORDER BY name) AS id, name
+FROM (SELECT DISTINCT p_brand || ' ' || p_name AS name FROM part WHERE p_brand IS NOT NULL AND p_name IS NOT NULL) x""")
+def q_incremental_dim_stream(spark, sf_dir):
+    """The part table consumed as a stream; each micro-batch adds its unseen
+    names to the dimension with ids after the current maximum."""
+    from starloom.session import scratch_path
+    from starloom.streaming.loaders import DimSink, latest_snapshot, run_feed
+    schema = Tables(spark, sf_dir).part.schema
+    target = scratch_path(spark, "dim-stream")
+
+    class NamedDimSink(DimSink):
+        def __call__(self, batch, batch_id):
+            super().__call__(batch.select(F.concat("p_brand", F.lit(" "), "p_name").alias("name")), batch_id)
+
+    run_feed(spark, sf_dir, schema, NamedDimSink(target, "name"), "dim", file_glob="part.parquet")
+    return latest_snapshot(spark, target).select("id", "name")
