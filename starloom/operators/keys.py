@@ -33,6 +33,11 @@ def row_number_key(df: DataFrame, order: Sequence, name: str, offset: int = 0) -
     return df.withColumn(name, (F.row_number().over(w) + F.lit(offset)).cast("bigint"))
 
 
+# Fixed design bound: up to this many range offsets are inlined as a literal
+# array in the plan; more are shipped as a broadcast table.
+INLINE_OFFSETS_MAX = 4096
+
+
 def dense_key(df: DataFrame, order: Sequence, name: str, offset: int = 0,
               num_partitions: int | None = None, checkpoint: bool = False) -> DataFrame:
     """Distributed 1-based dense key over a total order, plus ``offset``.
@@ -59,10 +64,17 @@ def dense_key(df: DataFrame, order: Sequence, name: str, offset: int = 0,
         run += sizes.get(p, 0)
     if not offsets:
         return ranged.withColumn(name, F.lit(None).cast("bigint")).drop("_sk_part", "_sk_pos")
-    before = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col("_sk_part") + 1)
     local = F.col("_sk_pos") - F.shiftleft(F.col("_sk_part").cast("bigint"), 33)
-    return (ranged.withColumn(name, (before + local + F.lit(1 + offset)).cast("bigint"))
-                  .drop("_sk_part", "_sk_pos"))
+    if len(offsets) <= INLINE_OFFSETS_MAX:
+        before = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col("_sk_part") + 1)
+        return (ranged.withColumn(name, (before + local + F.lit(1 + offset)).cast("bigint"))
+                      .drop("_sk_part", "_sk_pos"))
+    # many ranges: the offsets travel as a broadcast table (one row per range)
+    spark = df.sparkSession
+    table = spark.createDataFrame(list(enumerate(offsets)), "_sk_part int, _sk_before long")
+    return (ranged.join(F.broadcast(table), "_sk_part")
+                  .withColumn(name, (F.col("_sk_before") + local + F.lit(1 + offset)).cast("bigint"))
+                  .drop("_sk_part", "_sk_pos", "_sk_before"))
 
 
 # Fixed design bound: the largest frame numbered in one task after a check.

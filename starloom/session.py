@@ -25,15 +25,34 @@ _BASE_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Partition sizing for a run over ``input_bytes`` of (compressed) input
+    on ``total_cores`` cores: shuffle partitions so that one partition is
+    about ``target_partition_bytes`` (at least two waves of tasks), input
+    splits of the same size, and AQE's coalescing target to match.
+    E.g. 100 TB on 1000 executors × 8 cores → ~400k partitions."""
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def get_session(master: str | None = None, app: str = "starloom",
                 shuffle_partitions: int | None = None,
-                extra: dict | None = None) -> SparkSession:
+                extra: dict | None = None, input_bytes: int | None = None,
+                total_cores: int | None = None) -> SparkSession:
     """Build (or reuse) the session. ``master`` is only set for local runs;
-    on a cluster the launcher decides."""
+    on a cluster the launcher decides.  ``input_bytes``/``total_cores`` size
+    the partitions with ``scale_conf``."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
     conf = dict(_BASE_CONF)
+    if input_bytes and total_cores:
+        conf.update(scale_conf(input_bytes, total_cores))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

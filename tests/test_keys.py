@@ -66,3 +66,12 @@ def test_dense_key_splits_hot_leading_value(spark):
     assert max(sizes) < 2 * (3000 / 6)
     hot_parts = ranged.where("a = 0").select("p").distinct().count()
     assert hot_parts >= 2
+
+
+def test_dense_key_many_ranges_uses_table(spark, monkeypatch):
+    import starloom.operators.keys as keys
+    monkeypatch.setattr(keys, "INLINE_OFFSETS_MAX", 2)
+    df = _frame(spark, 200)
+    expect = df.withColumn("k", F.row_number().over(Window.orderBy("id")).cast("bigint"))
+    got = keys.dense_key(df, ["id"], "k", num_partitions=7)
+    assert rows(got, "id", "k") == rows(expect, "id", "k")

@@ -44,3 +44,11 @@ def test_checkpoint_dir_from_session(spark):
     assert d == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(d.rstrip("/"))
     assert not os.path.exists(scratch_path(spark, "x"))
+
+
+def test_scale_conf():
+    from starloom.session import scale_conf
+    big = scale_conf(100 * 2**40, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    small = scale_conf(10 << 20, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
