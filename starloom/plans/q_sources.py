@@ -139,10 +139,13 @@ def star_build(spark, sf_dir: str, base: str | None = None) -> dict[str, str]:
         "dim_country": dc, "dim_date": dd, "dim_party": dp,
         "dim_person": W.build_dim_person(t, dc), "dim_election": de,
         "dim_election_history": W.build_dim_history(t),
-        "fact_election_result": W.build_fact(t, dc, dd, dp, de),
+        # the fact is laid out on disk by election year (from the calendar
+        # dimension, broadcast) so later reads prune by year
+        "fact_election_result": W.build_fact(t, dc, dd, dp, de).join(
+            F.broadcast(dd.select("date_tk", "year")), "date_tk", "left"),
     }
     base = base or scratch_path(spark, "star")
-    paths = sinks.load_all(spark, outputs, base, partition_by={})
+    paths = sinks.load_all(spark, outputs, base, partition_by={"fact_election_result": ["year"]})
     for d in (dc, dd, dp, de):
         d.unpersist()
     return paths
