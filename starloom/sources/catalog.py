@@ -24,3 +24,11 @@ def columns_frame(spark: SparkSession, names: Iterable[str]) -> DataFrame:
                            T.StructField("column_name", T.StringType()),
                            T.StructField("position", T.LongType())])
     return spark.createDataFrame(rows, schema)
+
+
+def tables_frame(spark: SparkSession) -> DataFrame:
+    """(table_name, is_temporary) of the current database's tables/views."""
+    rows = [(t.name, bool(t.isTemporary)) for t in spark.catalog.listTables()]
+    schema = T.StructType([T.StructField("table_name", T.StringType()),
+                           T.StructField("is_temporary", T.BooleanType())])
+    return spark.createDataFrame(rows, schema)

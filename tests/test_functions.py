@@ -71,3 +71,11 @@ def test_hash_pick_repeatable(spark):
     assert a == b
     assert {r[1] for r in a} == set(K.REGIONS)
     assert all(1950 <= r[2] <= 2000 for r in a)
+
+
+def test_fold_accents_unicode(spark):
+    from starloom.functions.text import fold_accents_unicode
+    df = spark.createDataFrame([("Ærø Ñandú",), ("Łódź",), ("Ἀθῆναι",), (None,)], "x string")
+    got = [r.f for r in df.select(fold_accents_unicode("x").alias("f")).collect()]
+    assert got[0] == "Ærø Nandu" and got[2] == "Αθηναι" and got[3] is None
+    assert [r.f for r in df.select(fold_accents("x").alias("f")).collect()][0] == "Ærø Nandu"

@@ -52,3 +52,10 @@ def test_scale_conf():
     assert int(big["spark.sql.shuffle.partitions"]) == 409600
     small = scale_conf(10 << 20, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_tables_frame(spark):
+    t = files.read_tables(spark, SF_SMALL, ["nation"])
+    files.register_views(t)
+    names = {r.table_name for r in catalog.tables_frame(spark).collect()}
+    assert "nation" in names
