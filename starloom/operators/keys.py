@@ -9,8 +9,7 @@ range-partition on the (total) order, sort inside each partition, count the
 rows of every partition (a tiny table), and add the running count of the
 partitions before it to each row's position.  The partition sizes and the
 positions must come from the same materialisation, so the ranged frame is
-persisted between the two uses; a lost block is rebuilt from lineage with the
-same result because the range bounds are fixed once and the order is total.
+checkpointed (default) or persisted between the two uses.
 """
 
 from __future__ import annotations
@@ -21,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.operators.cache import keep
+from starloom.session import checkpoint_dir
 
 
 def _cols(order: Sequence) -> list[Column]:
@@ -39,14 +39,19 @@ INLINE_OFFSETS_MAX = 4096
 
 
 def dense_key(df: DataFrame, order: Sequence, name: str, offset: int = 0,
-              num_partitions: int | None = None, checkpoint: bool = False) -> DataFrame:
+              num_partitions: int | None = None, checkpoint: bool = True) -> DataFrame:
     """Distributed 1-based dense key over a total order, plus ``offset``.
 
-    Runs one small job now: it materialises the range-partitioned, sorted
-    frame (kept, or checkpointed to the shared folder with
-    ``checkpoint=True`` for very long lineages) and returns one row count per
-    partition — as many numbers as partitions, never rows.  The returned
-    plan then reads the kept frame once."""
+    Runs one job now: it materialises the range-partitioned, sorted frame
+    and returns one row count per partition — as many numbers as partitions,
+    never rows.  The returned plan reads the materialised frame once.
+
+    By default the frame is checkpointed to the shared checkpoint folder:
+    the numbering then depends on stored columns only, so it survives lost
+    executors and cache eviction, and the lineage is cut.  ``checkpoint=False``
+    persists instead (faster on one machine); the frame must then stay cached
+    until the result is used, because re-planning would sample new range
+    bounds."""
     oc = _cols(order)
     # without an explicit count the range exchange uses the session's shuffle
     # partitions and AQE may merge neighbouring small ranges (positions are
@@ -56,7 +61,11 @@ def dense_key(df: DataFrame, order: Sequence, name: str, offset: int = 0,
                 .sortWithinPartitions(*oc)
                 .withColumn("_sk_part", F.spark_partition_id())
                 .withColumn("_sk_pos", F.monotonically_increasing_id()))
-    ranged = ranged.checkpoint(eager=True) if checkpoint else keep(ranged)
+    if checkpoint:
+        checkpoint_dir(df.sparkSession)  # the shared folder named by the session
+        ranged = ranged.checkpoint(eager=True)
+    else:
+        ranged = keep(ranged)
     sizes = dict(ranged.groupBy("_sk_part").agg(F.count(F.lit(1))).collect())
     offsets, run = [], 0
     for p in range(max(sizes, default=-1) + 1):

@@ -22,6 +22,8 @@ _BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # checkpoint files of dense keys are removed once their frames are gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
