@@ -75,3 +75,10 @@ def test_dense_key_many_ranges_uses_table(spark, monkeypatch):
     expect = df.withColumn("k", F.row_number().over(Window.orderBy("id")).cast("bigint"))
     got = keys.dense_key(df, ["id"], "k", num_partitions=7)
     assert rows(got, "id", "k") == rows(expect, "id", "k")
+
+
+def test_dense_key_persist_variant(spark):
+    df = _frame(spark, 300)
+    expect = df.withColumn("k", F.row_number().over(Window.orderBy("b", "id")).cast("bigint"))
+    got = dense_key(df, ["b", "id"], "k", num_partitions=4, checkpoint=False)
+    assert rows(got, "id", "k") == rows(expect, "id", "k")
