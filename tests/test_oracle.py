@@ -8,10 +8,12 @@ from conftest import SF_SMALL
 from tools.oracle_check import TABLES, digest
 import pandas as pd
 
-from __spark_entry__ import oracle_sql, queries
 
-QUERIES = queries()
-ORACLE = oracle_sql()
+
+from starloom.plans.registry import load
+
+QUERIES, ORACLE = load()
+
 
 
 @pytest.fixture(scope="module")
