@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.common import written
-from starloom.llm.tokens import ChunkEncoder
+from starloom.llm.tokens import encoder
 
 _TYPE = {8: np.dtype("u1"), 16: np.dtype("<u2"), 32: np.dtype("<u4")}
 _BLOCK = 512
@@ -100,7 +100,7 @@ def write_segments(docs: DataFrame, tokenizer: str, end_id: int, segment_tokens:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        part, seq, coder, end = TaskContext.get().partitionId(), 0, ChunkEncoder(tokenizer), struct.pack("<I", end_id)
+        part, seq, coder, end = TaskContext.get().partitionId(), 0, encoder(tokenizer), struct.pack("<I", end_id)
         ids: list[bytes] = []
         names: list[int | None] = []
         held = 0

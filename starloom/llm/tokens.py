@@ -16,7 +16,8 @@ import re
 import numpy as np
 
 _ODD = re.compile("[^\t\n\r\x20-\x7e\xa1-įı-ɏ]")
-_RUNS = re.compile(r"[\t\r]|\s\s|\A\s|\s\Z")
+_RUNS = ("\t", "\r", "  ", " \n", "\n ", "\n\n")
+_PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^`{|}~"
 
 
 def tokenizer_path(name: str) -> str:
@@ -28,11 +29,22 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+_ENCODERS: dict[str, ChunkEncoder] = {}
+
+
+def encoder(name: str) -> ChunkEncoder:
+    """This Python worker's encoder of ``name``: its cache serves every task
+    that the worker runs."""
+    if name not in _ENCODERS:
+        _ENCODERS[name] = ChunkEncoder(name)
+    return _ENCODERS[name]
+
+
 class ChunkEncoder:
     """Texts → ids as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, name: str, cache_entries: int = 1 << 20):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
         path = tokenizer_path(name)
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their strings are ordinary text
@@ -45,6 +57,10 @@ class ChunkEncoder:
             self._split = self._word_chunks
         else:
             self._split = lambda text: None
+        self.one_word = Tokenizer.from_file(path)
+        self.one_word.encode_special_tokens = True
+        self.one_word.normalizer = normalizers.Sequence([])
+        self.one_word.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.cache: dict[str, bytes] = {}
         self.cache_entries = cache_entries
 
@@ -56,7 +72,7 @@ class ChunkEncoder:
     def _byte_chunks(text: str) -> list[str] | None:
         """A single space belongs to the word after it, a single newline
         stands alone; longer runs of white space go to the library."""
-        if _ODD.search(text) or _RUNS.search(text):
+        if _ODD.search(text) or text[0] in " \n" or text[-1] in " \n" or any(run in text for run in _RUNS):
             return None
         out: list[str] = []
         for k, line in enumerate(text.split("\n")):
@@ -65,14 +81,32 @@ class ChunkEncoder:
             out += line.replace(" ", "\0 ").split("\0")
         return out
 
+    def _ids_of(self, words: list[str], library) -> None:
+        got = library.encode(words, is_pretokenized=True, add_special_tokens=False)
+        raw = np.array(got.ids, "<u4").tobytes()
+        cuts = (np.searchsorted(np.array(got.word_ids, np.int64), np.arange(len(words) + 1)) * 4).tolist()
+        self.cache.update((w, raw[a:b]) for w, a, b in zip(words, cuts, cuts[1:]))
+
     def _learn(self, missing: list[str]) -> None:
-        if len(self.cache) + len(missing) > self.cache_entries:
-            self.cache.clear()
-        got = self.library.encode(missing, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(got.ids, "<u4")
-        cuts = np.searchsorted(np.array(got.word_ids, np.int64), np.arange(len(missing) + 1)) * 4
-        raw = ids.tobytes()
-        self.cache.update((w, raw[a:b]) for w, a, b in zip(missing, cuts[:-1].tolist(), cuts[1:].tolist()))
+        """Letters and the punctuation after them are pre-tokens of their own:
+        they are learned apart and joined.  A chunk of letters alone is one
+        pre-token, already in its normal form."""
+        cache, letters, others, joined = self.cache, set(), set(), []
+        for w in missing:
+            head = w.rstrip(_PUNCTUATION)
+            if not head.lstrip(" ").isalpha() or head.startswith("  "):
+                others.add(w)
+                continue
+            letters.add(head)
+            if head != w:
+                others.add(w[len(head):])
+                joined.append((w, head, w[len(head):]))
+        letters, others = (sorted(x for x in part if x not in cache) for part in (letters, others))
+        if letters:
+            self._ids_of(letters, self.one_word)
+        if others:
+            self._ids_of(others, self.library)
+        cache.update((w, cache[a] + cache[b]) for w, a, b in joined)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -82,8 +116,9 @@ class ChunkEncoder:
             need = set().union(*(c for c in chunks if c))
             missing = need.difference(self.cache)
             if missing:
-                if len(self.cache) + len(missing) > self.cache_entries:
-                    missing = need  # the cache starts anew
+                if len(self.cache) + 2 * len(missing) > self.cache_entries:
+                    self.cache.clear()
+                    missing = need
                 self._learn(sorted(missing))
             pick = self.cache.__getitem__
             out += [np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
