@@ -29,5 +29,10 @@ def at(array: Column, zero_based: Column) -> Column:
     return F.get(array, zero_based)
 
 
+def text_hash() -> Column:
+    """Hash of the text, null as empty; with doc_id it names a row."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def documents(spark, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

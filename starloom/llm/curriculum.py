@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import written
+from starloom.llm.common import text_hash, written
 
 WORDS = r"[^\x20\x09-\x0D]+"
 #: Weights by rank of the source, repeating.
@@ -75,7 +75,7 @@ def training_time(share: Column, schedule: Column, schedules=SCHEDULES) -> Colum
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, max_repeats: int = 3) -> DataFrame:
-    """(doc_id, source, size, source_size, target, passes) for every row of
+    """(doc_id, text_hash, source, size, source_size, target, passes) for every row of
     ``docs`` (doc_id, source, text; others ignored); ``passes`` lists each time
     the mix takes the document: pass number, words taken, training time.
 
@@ -85,7 +85,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, max_repeats: int
     size 0 and is never taken; null sources form one source, ranked last.
     Running totals are kept per block of a source (4096 by hash), so that a
     source with a third of all rows is split over many tasks."""
-    rows = written(docs.select(F.col("doc_id").cast("bigint"), "source",
+    rows = written(docs.select(F.col("doc_id").cast("bigint"), text_hash().alias("text_hash"), "source",
                                F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORDS)).cast("bigint").alias("size"),
                                F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("turn")), "mix-sizes")
     rows = rows.withColumn("block", F.substring("turn", 1, 3))
@@ -109,7 +109,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, max_repeats: int
                         F.when(words > 0, training_time(share, F.pmod("rank", F.lit(len(schedules))), schedules)).alias("time"))
 
     passes = F.filter(F.array(*[one(k) for k in range(max_repeats)]), lambda p: p["words"] > 0)
-    return placed.select("doc_id", "source", "size", "source_size", "target", passes.alias("passes"))
+    return placed.select("doc_id", "text_hash", "source", "size", "source_size", "target", passes.alias("passes"))
 
 
 def in_training_order(df: DataFrame, time: str) -> DataFrame:

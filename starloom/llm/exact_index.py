@@ -53,7 +53,7 @@ def directory(keys: DataFrame, bucket_keys: int, max_depth: int = 40) -> tuple[D
 
 
 def exact_dedup(docs: DataFrame, bucket_keys: int = 4096, key_bits: int = 64) -> DataFrame:
-    """(doc_id, keep_id, group_size, kept, text_sha256, bucket, depth, chain)
+    """(doc_id, keep_id, group_size, kept, text_sha256, key, bucket, depth, chain)
     for every row of ``docs`` (doc_id, text; others ignored).
 
     ``keep_id`` is the smallest doc_id with an equal normalised text.  Rows
@@ -75,4 +75,4 @@ def exact_dedup(docs: DataFrame, bucket_keys: int = 4096, key_bits: int = 64) ->
     index = written(chained.join(slots, "slot"), "exact-index")
     return (entries.join(index, ["key", "text_sha256"])
                    .select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
-                           "text_sha256", "bucket", "depth", "chain"))
+                           "text_sha256", "key", "bucket", "depth", "chain"))

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.llm.common import written
 
@@ -92,7 +93,7 @@ class Model:
 
 
 #: Losses closer than this leave the language open.
-AMBIGUOUS_GAP = 0.005
+AMBIGUOUS_GAP = 0.02
 
 
 def train(rows: DataFrame, per_language: int = 4000, tasks: int = 16) -> Model:
@@ -127,19 +128,22 @@ def train(rows: DataFrame, per_language: int = 4000, tasks: int = 16) -> Model:
     return Model(languages, np.array([summed.get(k, np.zeros(1 << GRAM_BITS)) for k in range(len(languages))], np.float64))
 
 
-def identify(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
-    """The ``keep`` columns of ``docs`` with lang_pred, score and ambiguous,
-    read from ``text`` alone.  Null text, or text without a letter, is ``und``
-    with score 0."""
+def identify(docs: DataFrame, model: Model, *keep: str, prefix: str = "") -> DataFrame:
+    """The ``keep`` columns of ``docs`` with lang_pred, score and ambiguous
+    (names after ``prefix``), read from ``text`` alone.  Null text, or text
+    without a letter, is ``und`` with score 0; an empty ``docs`` gives an empty
+    result."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages × grams, not rows
     names = list(dict.fromkeys(keep))
+    text = names.index("text") if "text" in names else len(names)
+    found = [prefix + n for n in ("lang_pred", "score", "ambiguous")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [shared.value.predict(t) for t in batch.column(len(names)).to_pylist()]
+            got = [shared.value.predict(t) for t in batch.column(text).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:len(names)], pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()),
-                 pa.array([g[2] for g in got], pa.bool_())], [*names, "lang_pred", "score", "ambiguous"])
+                 pa.array([g[2] for g in got], pa.bool_())], [*names, *found])
 
-    schema = ", ".join([*(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names), "lang_pred string", "score double", "ambiguous boolean"])
-    return docs.select(*names, F.col("text").alias("_text")).mapInArrow(run, schema)
+    schema = T.StructType([*(docs.schema[n] for n in names), *map(T.StructField, found, (T.StringType(), T.DoubleType(), T.BooleanType()))])
+    return docs.select(*(F.col(f"`{n}`") for n in names), *([] if "text" in names else ["text"])).mapInArrow(run, schema)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import written
+from starloom.llm.common import text_hash, written
 from starloom.llm.components import components
 
 TUPLES, ROWS = 16, 4
@@ -61,7 +61,7 @@ def minima(shingles: np.ndarray) -> np.ndarray:
     return out >> np.uint64(32)
 
 
-FEATURES = "doc_id bigint, n bigint, hi bigint, lo bigint, a array<bigint>, b array<bigint>, sketch binary"
+FEATURES = "doc_id bigint, text_hash bigint, n bigint, hi bigint, lo bigint, a array<bigint>, b array<bigint>, sketch binary"
 
 
 def features(docs: DataFrame, words: int) -> DataFrame:
@@ -70,20 +70,20 @@ def features(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for name, hashed, text in zip(*(c.to_pylist() for c in batch.columns)):
                 s = shingle_set(text, words)
                 if not len(s):
-                    rows.append((name, 0, 0, 0, [], [], b""))
+                    rows.append((name, hashed, 0, 0, 0, [], [], b""))
                     continue
                 m = minima(s)
                 keys = np.array([xxhash.xxh3_64_intdigest(t.tobytes(), k) for k, t in enumerate(m.reshape(2 * TUPLES, ROWS))], np.uint64).view(np.int64)
                 digest = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64)
-                rows.append((name, len(s), int(digest[0]), int(digest[1]), keys[:TUPLES].tolist(), keys[TUPLES:].tolist(), m.astype(np.uint8).tobytes()))
-            cols = list(zip(*rows)) if rows else [[]] * 7
-            kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())] * 2 + [pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["doc_id", "n", "hi", "lo", "a", "b", "sketch"])
+                rows.append((name, hashed, len(s), int(digest[0]), int(digest[1]), keys[:TUPLES].tolist(), keys[TUPLES:].tolist(), m.astype(np.uint8).tobytes()))
+            cols = list(zip(*rows)) if rows else [[]] * 8
+            kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())] * 2 + [pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["doc_id", "text_hash", "n", "hi", "lo", "a", "b", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, FEATURES)
+    return docs.select(F.col("doc_id").cast("bigint"), text_hash().alias("text_hash"), "text").mapInArrow(run, FEATURES)
 
 
 def _agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -170,7 +170,7 @@ def _across(tables: DataFrame, parts: DataFrame, sketches: DataFrame) -> DataFra
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``
+    """(doc_id, n_shingles, component_id, kept, text_hash) for every row of ``docs``
     (doc_id, text; others ignored): documents are linked if their sets of
     ``words``-word shingles have a Jaccard similarity of ``percent`` / 100 or
     more; the component is the smallest doc_id reachable.
@@ -202,7 +202,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         parts = written(components(links), "near-components")
     named = written(classes.select("hi", "lo", "n", "node").join(parts, "node", "left")
                            .select(F.col("hi").alias("h"), F.col("lo").alias("l"), F.coalesce("component", "node").alias("component")), "near-named")
-    out = rows.select("doc_id", "n", "hi", "lo").join(named, (F.col("hi") == F.col("h")) & (F.col("lo") == F.col("l")) & (F.col("n") > 0), "left")
+    out = rows.select("doc_id", "text_hash", "n", "hi", "lo").join(named, (F.col("hi") == F.col("h")) & (F.col("lo") == F.col("l")) & (F.col("n") > 0), "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return (out.withColumn("component_id", component)
-               .select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
+               .select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_hash"))

@@ -69,7 +69,7 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, CAST(count(*) OVER g AS BIGINT) AS
 FROM d WINDOW g AS (PARTITION BY text_sha256)""")
 def op2_exact_index(spark, sf_dir):
     """Every document with the one that stays for its text."""
-    return exact_index.exact_dedup(documents(spark, sf_dir)).drop("bucket", "depth", "chain")
+    return exact_index.exact_dedup(documents(spark, sf_dir)).drop("key", "bucket", "depth", "chain")
 
 
 _ESCAPE = r"regexp_replace({0}, '([<\[])(\\*(?:s>|/s>|INST\]|/INST\]|<SYS>>|</SYS>>|<ROLE>>|</ROLE>>))', '\1\\\2', 'g')"
@@ -161,7 +161,7 @@ def op7_license_scan(spark, sf_dir):
 @query("op3_tensored_minhash")
 def op3_tensored_minhash(spark, sf_dir):
     """Near-duplicate components on 4-word shingles, Jaccard 0.8 or more."""
-    return near_dups.near_duplicates(documents(spark, sf_dir), words=4, percent=80)
+    return near_dups.near_duplicates(documents(spark, sf_dir), words=4, percent=80).drop("text_hash")
 
 
 @query("op6_suffix_merge")
@@ -169,3 +169,10 @@ def op6_suffix_merge(spark, sf_dir):
     """Bytes left of every document once strings of 50 bytes that also start
     in a document with a smaller doc_id are removed."""
     return suffix_dedup.remove_repeats(documents(spark, sf_dir)).drop("kept")
+
+
+@query("pipeline")
+def pipeline(spark, sf_dir):
+    """The corpus pipeline from documents to packed sequences."""
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
