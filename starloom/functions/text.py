@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 # Latin letters with diacritics and their plain forms, position by
 # position.  Folding with ``translate`` keeps the work inside generated code.
-ACCENTED = "ÀÁÂÃÄÅàáâãäåÇçÈÉÊËèéêëÌÍÎÏìíîïÑñÒÓÔÕÖòóôõöÙÚÛÜùúûüÝýÿ"
-PLAIN = "AAAAAAaaaaaaCcEEEEeeeeIIIIiiiiNnOOOOOoooooUUUUuuuuYyy"
+ACCENTED = ("ÀÁÂÃÄÅàáâãäåÇçÈÉÊËèéêëÌÍÎÏìíîïÑñÒÓÔÕÖØòóôõöøÙÚÛÜùúûüÝýÿÐðĀāĂăĄąĆćĈĉĊċČčĎďĐđĒēĔĕĖėĘęĚě"
+            "ĜĝĞğĠġĢģĤĥĦħĨĩĪīĬĭĮįİıĴĵĶķĹĺĻļĽľŁłŃńŅņŇňŌōŎŏŐőŔŕŖŗŘřŚśŜŝŞşŠšŢţŤťŦŧŨũŪūŬŭŮůŰűŲųŴŵŶŷŸŹźŻżŽžȘșȚț")
+PLAIN = ("AAAAAAaaaaaaCcEEEEeeeeIIIIiiiiNnOOOOOOooooooUUUUuuuuYyyDdAaAaAaCcCcCcCcDdDdEeEeEeEeEe"
+         "GgGgGgGgHhHhIiIiIiIiIiJjKkLlLlLlLlNnNnNnOoOoOoRrRrRrSsSsSsSsTtTtTtUuUuUuUuUuUuWwYyYZzZzZzSsTt")
+# Letters that fold to two.
+LIGATURES = {"Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe", "ß": "ss", "Þ": "Th", "þ": "th"}
 
 
 def _c(c) -> Column:
@@ -28,8 +32,12 @@ def py_strip(c) -> Column:
 
 
 def fold_accents(c) -> Column:
-    """Replace accented Latin letters by their base letter."""
-    return F.translate(_c(c), ACCENTED, PLAIN)
+    """Replace accented Latin letters (Latin-1, Latin Extended-A, Romanian
+    comma letters) by their base letter, ligatures by two."""
+    out = F.translate(_c(c), ACCENTED, PLAIN)
+    for letter, two in LIGATURES.items():
+        out = F.replace(out, F.lit(letter), F.lit(two))
+    return out
 
 
 # Fixed value: text that can hold an integer (optional sign, digits, blanks around).
@@ -42,35 +50,3 @@ def try_int(c, type_name: str = "int") -> Column:
     the cast's error path (which is slow when most rows are dirty)."""
     col = _c(c)
     return F.when(col.rlike(INT_TEXT), col.try_cast(type_name))
-
-
-def fold_accents_unicode(c) -> Column:
-    """Accent folding for any script (Unicode NFKD, combining marks dropped),
-    for text outside the Latin table of ``fold_accents``.  An Arrow-batched
-    pandas UDF: use it only where the native ``translate`` table does not
-    cover the data."""
-    return _fold_unicode_udf()(_c(c))
-
-
-_FOLD_UDF = None
-
-
-def _fold_unicode_udf():
-    global _FOLD_UDF
-    if _FOLD_UDF is None:
-        import unicodedata
-
-        import pandas as pd
-        from pyspark.sql.functions import pandas_udf
-
-        def fold(s):
-            def one(x):
-                if x is None:
-                    return None
-                return "".join(ch for ch in unicodedata.normalize("NFKD", x) if not unicodedata.combining(ch))
-            return s.map(one)
-
-        # real (not postponed) hints: the UDF kind is read from them
-        fold.__annotations__ = {"s": pd.Series, "return": pd.Series}
-        _FOLD_UDF = pandas_udf(fold, "string")
-    return _FOLD_UDF

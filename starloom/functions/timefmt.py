@@ -28,9 +28,11 @@ def parse_date(c, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
 
 
 def valid_hms(c) -> Column:
-    """``HH:MM:SS`` text kept as is when valid, else null."""
+    """Valid time-of-day text as ``HH:MM:SS``, each part padded to two digits;
+    null when it is not valid."""
     col = _c(c)
-    return F.when(col.rlike(HMS_PATTERN), col)
+    parts = F.transform(F.split(col, ":"), lambda x: F.lpad(x, 2, "0"))
+    return F.when(col.rlike(HMS_PATTERN), F.array_join(parts, ":"))
 
 
 def at_time_of_day(date_col, hours: int, minutes: int = 0, seconds: int = 0) -> Column:
@@ -53,8 +55,9 @@ def spread_between(date_col, rn, n, start_hour: int = 18, end_hour: int = 23) ->
     hours of the same day; a lone member goes to the start.  Integer
     microseconds keep the rounding identical in every engine."""
     span_us = (end_hour - start_hour) * 3600 * 1_000_000
-    num = F.lit(span_us).cast("bigint") * (_c(rn).cast("bigint") - 1)
-    den = F.greatest(_c(n).cast("bigint") - 1, F.lit(1).cast("bigint"))
-    micros = ((num - F.pmod(num, den)) / den).cast("bigint")  # exact: values < 2^53
+    # the product has up to 38 digits, so a group may have any number of members
+    num = F.lit(span_us).cast("decimal(11,0)") * (_c(rn).cast("bigint") - 1).cast("decimal(19,0)")
+    den = F.greatest(_c(n).cast("bigint") - 1, F.lit(1).cast("bigint")).cast("decimal(19,0)")
+    micros = ((num - F.pmod(num, den)) / den).cast("bigint")
     secs = (micros.cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
     return at_time_of_day(date_col, start_hour) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)

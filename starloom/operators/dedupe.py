@@ -4,14 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _cols(order):
-    return [F.col(c) if isinstance(c, str) else c for c in order]
-
-
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence,
                   keep_null_keys: bool = True) -> DataFrame:
     """Keep the first row of every key in ``order`` (ascending column names;
@@ -21,10 +17,10 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence,
     aggregation shrinks a hot key before the shuffle, where a window would
     send all its rows to one task.  Rows whose key is null are all kept when
     ``keep_null_keys`` (they are not duplicates of each other), else dropped.
-    Orders with other directions fall back to a window."""
+    ``order`` takes column names only; ``last_per_key`` has the other end."""
     keys = list(keys)
     if not all(isinstance(o, str) for o in order):
-        return _first_per_key_window(df, keys, order, keep_null_keys)
+        raise TypeError("order takes column names")
     rest = [c for c in df.columns if c not in keys]
     payload = F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
                        *[F.col(c) for c in rest])
@@ -45,17 +41,6 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence,
     return g.select(*keys, *[F.col("_p")[c].alias(c) for c in rest]).select(*df.columns)
 
 
-def _first_per_key_window(df, keys, order, keep_null_keys):
-    w = Window.partitionBy(*keys).orderBy(*_cols(order))
-    ranked = df.withColumn("_dd_rn", F.row_number().over(w))
-    any_null = F.lit(False)
-    for k in keys:
-        any_null = any_null | F.col(k).isNull()
-    keep = (F.col("_dd_rn") == 1)
-    keep = (keep | any_null) if keep_null_keys else (keep & ~any_null)
-    return ranked.where(keep).drop("_dd_rn")
-
-
 def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Keep the last row of every non-null key in ascending ``order``
     (``ORDER BY … DESC LIMIT 1`` per key), as ``max(struct(order…, rest…))``."""

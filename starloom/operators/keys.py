@@ -1,15 +1,10 @@
-"""Surrogate keys.
-
-``row_number_key`` numbers rows over one global order.  Spark evaluates a
-window without PARTITION BY in a single task, so it is only for dimensions
-whose size has a known bound (calendar days, regions, a literal list).
-
-``dense_key`` gives the same 1..n numbering without that single task:
-range-partition on the (total) order, sort inside each partition, count the
-rows of every partition (a tiny table), and add the running count of the
-partitions before it to each row's position.  The partition sizes and the
-positions must come from the same materialisation, so the ranged frame is
-checkpointed (default) or persisted between the two uses.
+"""Surrogate keys over a total order, numbered without a single task.
+
+``ranged`` range-partitions a frame on its order, sorts inside the ranges and
+writes it as Parquet to the shared folder with each row's range and place.
+Everything else reads that table, column by column: range sizes from the range
+column alone, their running sum from a table with one row per range.  The
+numbers depend on stored columns only, so they survive lost executors.
 """
 
 from __future__ import annotations
@@ -19,8 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.operators.cache import keep
-from starloom.session import checkpoint_dir
+from starloom.session import scratch_path
+
+PART, PLACE = "_sk_part", "_sk_place"
 
 
 def _cols(order: Sequence) -> list[Column]:
@@ -28,80 +24,50 @@ def _cols(order: Sequence) -> list[Column]:
 
 
 def row_number_key(df: DataFrame, order: Sequence, name: str, offset: int = 0) -> DataFrame:
-    """1-based key over a global order, plus ``offset``.  Bounded inputs only."""
+    """1-based key over a global order, plus ``offset``, in one task: for
+    literal lists only."""
     w = Window.orderBy(*_cols(order))
     return df.withColumn(name, (F.row_number().over(w) + F.lit(offset)).cast("bigint"))
 
 
-# Fixed design bound: up to this many range offsets are inlined as a literal
-# array in the plan; more are shipped as a broadcast table.
-INLINE_OFFSETS_MAX = 4096
+def ranged(df: DataFrame, order: Sequence, num_partitions: int | None = None) -> DataFrame:
+    """``df`` stored in ranges of ``order``, with the range and the 0-based
+    place inside it."""
+    oc = _cols(order)
+    ex = df.repartitionByRange(num_partitions, *oc) if num_partitions else df.repartitionByRange(*oc)
+    part = F.spark_partition_id()
+    rows = ex.sortWithinPartitions(*oc).withColumn(PART, part).withColumn(
+        PLACE, F.monotonically_increasing_id() - F.shiftleft(part.cast("bigint"), 33))
+    path = scratch_path(df.sparkSession, "ranged")
+    rows.write.parquet(path)
+    return df.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def range_starts(stored: DataFrame) -> DataFrame:
+    """One row per range: rows in the ranges before it, rows in all ranges."""
+    sizes = stored.groupBy(PART).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy(PART)) - F.col("_n")
+    return sizes.select(PART, before.alias("_sk_before"), F.sum("_n").over(Window.partitionBy()).alias("_sk_total"))
+
+
+def numbered(stored: DataFrame, name: str, offset: int = 0, total: str | None = None) -> DataFrame:
+    """Stored ranges with a dense 1-based number, plus ``offset``; ``total``
+    names a column for the number of all rows."""
+    # as many rows as ranges, that is at most spark.sql.shuffle.partitions
+    out = stored.join(F.broadcast(range_starts(stored)), PART)
+    out = out.withColumn(name, F.col("_sk_before") + F.col(PLACE) + F.lit(1 + offset).cast("bigint"))
+    if total:
+        out = out.withColumn(total, F.col("_sk_total"))
+    return out.drop("_sk_before", "_sk_total")
 
 
 def dense_key(df: DataFrame, order: Sequence, name: str, offset: int = 0,
-              num_partitions: int | None = None, checkpoint: bool = True) -> DataFrame:
+              num_partitions: int | None = None, total: str | None = None) -> DataFrame:
     """Distributed 1-based dense key over a total order, plus ``offset``.
 
-    Runs one job now: it materialises the range-partitioned, sorted frame
-    and returns one row count per partition — as many numbers as partitions,
-    never rows.  The returned plan reads the materialised frame once.
-
-    By default the frame is checkpointed to the shared checkpoint folder:
-    the numbering then depends on stored columns only, so it survives lost
-    executors and cache eviction, and the lineage is cut.  ``checkpoint=False``
-    persists instead (faster on one machine); the frame must then stay cached
-    until the result is used, because re-planning would sample new range
-    bounds."""
-    oc = _cols(order)
-    # without an explicit count the range exchange uses the session's shuffle
-    # partitions and AQE may merge neighbouring small ranges (positions are
-    # taken after the exchange, so merged ranges stay consistent)
-    ex = df.repartitionByRange(num_partitions, *oc) if num_partitions else df.repartitionByRange(*oc)
-    ranged = (ex
-                .sortWithinPartitions(*oc)
-                .withColumn("_sk_part", F.spark_partition_id())
-                .withColumn("_sk_pos", F.monotonically_increasing_id()))
-    if checkpoint:
-        checkpoint_dir(df.sparkSession)  # the shared folder named by the session
-        ranged = ranged.checkpoint(eager=True)
-    else:
-        ranged = keep(ranged)
-    sizes = dict(ranged.groupBy("_sk_part").agg(F.count(F.lit(1))).collect())
-    offsets, run = [], 0
-    for p in range(max(sizes, default=-1) + 1):
-        offsets.append(run)
-        run += sizes.get(p, 0)
-    if not offsets:
-        return ranged.withColumn(name, F.lit(None).cast("bigint")).drop("_sk_part", "_sk_pos")
-    local = F.col("_sk_pos") - F.shiftleft(F.col("_sk_part").cast("bigint"), 33)
-    if len(offsets) <= INLINE_OFFSETS_MAX:
-        before = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col("_sk_part") + 1)
-        return (ranged.withColumn(name, (before + local + F.lit(1 + offset)).cast("bigint"))
-                      .drop("_sk_part", "_sk_pos"))
-    # many ranges: the offsets travel as a broadcast table (one row per range)
-    spark = df.sparkSession
-    table = spark.createDataFrame(list(enumerate(offsets)), "_sk_part int, _sk_before long")
-    return (ranged.join(F.broadcast(table), "_sk_part")
-                  .withColumn(name, (F.col("_sk_before") + local + F.lit(1 + offset)).cast("bigint"))
-                  .drop("_sk_part", "_sk_pos", "_sk_before"))
-
-
-# Fixed design bound: the largest frame numbered in one task after a check.
-SINGLE_TASK_MAX_ROWS = 100_000
-
-
-def surrogate_key(df: DataFrame, order: Sequence, name: str, offset: int = 0,
-                  bounded: bool = False, max_rows: int | None = None) -> DataFrame:
-    """``row_number_key`` for dimensions with a proven bound (``bounded``),
-    or — with ``max_rows`` — after checking at run time that the (kept) frame
-    has at most that many rows; ``dense_key`` otherwise."""
-    if bounded:
-        return row_number_key(df, order, name, offset)
-    if max_rows is not None:
-        df = keep(df)
-        if df.limit(max_rows + 1).count() <= max_rows:
-            return row_number_key(df, order, name, offset)
-    return dense_key(df, order, name, offset)
+    Runs one job now, which writes ``df`` once in range order; the returned
+    plan reads that table.  ``total`` names a column for the row count."""
+    return numbered(ranged(df, order, num_partitions), name, offset, total).drop(PART, PLACE)
 
 
 def max_key(df: DataFrame, col: str) -> int:
@@ -109,8 +75,6 @@ def max_key(df: DataFrame, col: str) -> int:
     return int(df.agg(F.coalesce(F.max(col), F.lit(0)).cast("bigint")).first()[0])
 
 
-def continue_key(new_rows: DataFrame, existing: DataFrame, id_col: str, order: Sequence,
-                 name: str, bounded: bool = False) -> DataFrame:
+def continue_key(new_rows: DataFrame, existing: DataFrame, id_col: str, order: Sequence, name: str) -> DataFrame:
     """Number ``new_rows`` from ``max(existing.id_col) + 1`` on."""
-    base = max_key(existing, id_col)
-    return surrogate_key(new_rows, order, name, offset=base, bounded=bounded)
+    return dense_key(new_rows, order, name, offset=max_key(existing, id_col))

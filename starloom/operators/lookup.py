@@ -1,13 +1,8 @@
 """Dimension look-ups.
 
-A broadcast is requested only for a side whose size is bounded by
-construction (``bounded=True``: a literal list, regions, nations) or checked
-at run time (``max_rows=n``: at most n+1 rows are counted, cheap on a kept
-dimension).  Everything else — and a checked side that turns out larger — is
-left to the planner: with AQE on, a shuffle join whose build side turns out
-small at run time is switched to a broadcast join, so the size check is made
-on real shuffle statistics, and the sort-merge path remains for large sides.
-"""
+No join carries a hint: the planner broadcasts a side whose bytes are known to
+be small, AQE does so on measured shuffle sizes, and splits a skewed side of a
+sort-merge join otherwise."""
 
 from __future__ import annotations
 
@@ -17,36 +12,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-# Fixed design bound: the largest dimension broadcast after a run-time check.
-BROADCAST_MAX_ROWS = 1_000_000
+def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
+    return fact.join(dim, on, how)
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (counts ≤ max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-             bounded: bool = False, max_rows: int | None = None) -> DataFrame:
-    """Join ``fact`` to ``dim``.  ``bounded=True`` marks a dimension whose
-    row count has a proven small bound; ``max_rows`` checks the bound now.
-    Either way the dimension is broadcast; otherwise the planner decides."""
-    small = bounded or (max_rows is not None and fits(dim, max_rows))
-    return fact.join(F.broadcast(dim) if small else dim, on, how)
+def unique_lookup(dim: DataFrame, natural: str, key: str, natural_as: str | None = None) -> DataFrame:
+    """(natural, key) with one row per non-null natural key, the smallest
+    surrogate: a look-up by it cannot multiply rows."""
+    return (dim.where(F.col(natural).isNotNull()).groupBy(F.col(natural).alias(natural_as or natural))
+               .agg(F.min(key).alias(key)))
 
 
 def replace_with_key(df: DataFrame, dim: DataFrame, natural: str, dim_natural: str,
-                     dim_key: str, out: str, bounded: bool = False) -> DataFrame:
+                     dim_key: str, out: str) -> DataFrame:
     """Left look-up that swaps a natural key for the dimension's surrogate."""
     d = dim.select(F.col(dim_natural).alias("_rk_nat"), F.col(dim_key).alias(out))
-    j = join_dim(df, d, df[natural] == d["_rk_nat"], "left", bounded)
+    j = join_dim(df, d, df[natural] == d["_rk_nat"], "left")
     return j.drop("_rk_nat", natural) if natural != out else j.drop("_rk_nat")
 
 
 def anti_new(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key is not in ``existing`` (null keys are kept,
     unlike ``NOT IN``)."""
-    return df.join(existing.select(*keys).distinct(), list(keys), "left_anti")
+    return df.join(existing.select(*keys), list(keys), "left_anti")
 
 
 def semi_exists(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -26,7 +26,7 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """Child rows whose non-null FK has no parent (null FKs are allowed)."""
-    p = parent.select(F.col(parent_key).alias("_pk")).distinct()
+    p = parent.select(F.col(parent_key).alias("_pk"))
     return child.where(F.col(child_key).isNotNull()).join(p, child[child_key] == p["_pk"], "left_anti")
 
 

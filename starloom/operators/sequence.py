@@ -1,75 +1,88 @@
-"""Per-key sequences (version number, next row, last-row flag) that stay
+"""Per-key sequences (number in the key, neighbours, last-row flag) that stay
 balanced when one key holds a large share of the rows.
 
 A ``Window.partitionBy(key)`` sends every row of a key to one task.  Here the
-rows are instead numbered by ``dense_key`` over ``(key, order…)``: the range
-partitioner cuts a hot key across many partitions, so each row gets a global
-position.  Then
-
-* the first and last position of every key come from a ``groupBy`` with
-  map-side partial aggregation (one small row per key) — only when a number
-  inside the key or the group size is asked for;
-* the row's number inside its key is ``position - first + 1``;
-* the next row is the row at ``position + 1`` (an equi-join on a unique key,
-  so the hash distribution is even) when it has the same key.
-
-The join back to the per-key table is a plain equi-join; AQE turns it into a
-broadcast when that table is small and splits a skewed key otherwise.
-``flag_last`` needs no numbering at all: a per-key maximum and one join.
+rows are stored in ranges of ``(key, order…)``, which cut a hot key across many
+ranges.  Windows run inside a range; what a key has in other ranges comes from
+tables with one row per range: its head and tail row, and first and last
+position of the keys that cross a border.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.operators.keys import dense_key
+from starloom.operators.keys import PART, PLACE, numbered, ranged
 
 
 def sequence_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                     next_cols: Sequence[str] = (), rn: str | None = None, size: str | None = None,
-                     is_last: str | None = None, num_partitions: int | None = None) -> DataFrame:
-    """Add ``rn`` (1-based number inside the key, in ``order``), the group
-    ``size``, an ``is_last`` flag and ``next_<c>`` for every column of
-    ``next_cols`` (null on the last row of a key) — each only when asked.
-
-    ``order`` must make rows unique inside a key (R1: add an id column)."""
+                     next_cols: Sequence[str] = (), prev_cols: Sequence[str] = (), rn: str | None = None,
+                     size: str | None = None, is_last: str | None = None, is_first: str | None = None,
+                     num_partitions: int | None = None) -> DataFrame:
+    """Add, each only when asked: ``rn`` (1-based number inside the key, in
+    ``order``), the group ``size``, ``is_first`` and ``is_last`` flags,
+    ``next_<c>`` / ``prev_<c>`` for ``next_cols`` / ``prev_cols`` (null at the
+    key's end / start).  Null keys are one key.  Rows that tie in ``order``
+    are numbered once, in the stored order."""
     keys = list(keys)
-    pos = dense_key(df, [*keys, *order], "_sq_pos", num_partitions=num_partitions)
-    out = pos
+    stored = numbered(ranged(df, [*keys, *order], num_partitions), "_sq_pos")
+    carried = list(dict.fromkeys([*keys, *next_cols, *prev_cols]))
+    row = F.struct(*[F.col(c).alias(c) for c in carried])
+    inside = Window.partitionBy(PART).orderBy(PLACE)
+    edges = stored.groupBy(PART).agg(F.min_by(row, F.col(PLACE)).alias("head"), F.max_by(row, F.col(PLACE)).alias("tail"))
+    by_range = Window.orderBy(PART)
+    edges = edges.select(PART, F.col("head").alias("_sq_head"), F.col("tail").alias("_sq_tail"),
+                         F.lag("tail").over(by_range).alias("_sq_before"), F.lead("head").over(by_range).alias("_sq_after"))
+    # edges: as many rows as ranges, that is at most spark.sql.shuffle.partitions
+    out = (stored.withColumn("_sq_prev", F.lag(row).over(inside)).withColumn("_sq_next", F.lead(row).over(inside))
+                 .join(F.broadcast(edges.select(PART, "_sq_before", "_sq_after")), PART)
+                 .withColumn("_sq_prev", F.coalesce("_sq_prev", "_sq_before"))
+                 .withColumn("_sq_next", F.coalesce("_sq_next", "_sq_after")))
+
+    def same(other: str):
+        out = F.col(other).isNotNull()
+        for k in keys:
+            out = out & F.col(k).eqNullSafe(F.col(other)[k])
+        return out
+
+    for c in next_cols:
+        out = out.withColumn(f"next_{c}", F.when(same("_sq_next"), F.col("_sq_next")[c]))
+    for c in prev_cols:
+        out = out.withColumn(f"prev_{c}", F.when(same("_sq_prev"), F.col("_sq_prev")[c]))
+    if is_last:
+        out = out.withColumn(is_last, ~same("_sq_next"))
+    if is_first:
+        out = out.withColumn(is_first, ~same("_sq_prev"))
     if rn or size:
-        bounds = pos.groupBy(*keys).agg(F.min("_sq_pos").alias("_sq_first"), F.max("_sq_pos").alias("_sq_last"))
-        # null keys group together in groupBy; join with null-safe equality
-        cond = [pos[k].eqNullSafe(bounds[k]) for k in keys]
-        out = pos.join(bounds, cond, "inner").select(pos["*"], bounds["_sq_first"], bounds["_sq_last"])
+        of_key = Window.partitionBy(PART, *keys)
+        out = out.withColumn("_sq_lo", F.min("_sq_pos").over(of_key)).withColumn("_sq_hi", F.max("_sq_pos").over(of_key))
+        crossing = edges.where(F.struct(*[F.col("_sq_head")[k] for k in keys]).eqNullSafe(F.struct(*[F.col("_sq_before")[k] for k in keys])))
+        crossing = crossing.select(*[F.col("_sq_head")[k].alias(f"_sq_k{i}") for i, k in enumerate(keys)]).distinct()
+        cond = F.lit(True)
+        for i, k in enumerate(keys):
+            cond = cond & F.col(k).eqNullSafe(F.col(f"_sq_k{i}"))
+        # at most one key per border
+        whole = (stored.select(*keys, "_sq_pos").join(F.broadcast(crossing), cond)
+                       .groupBy(*[f"_sq_k{i}" for i in range(len(keys))])
+                       .agg(F.min("_sq_pos").alias("_sq_first"), F.max("_sq_pos").alias("_sq_last")))
+        out = out.join(F.broadcast(whole), cond, "left")
+        first, last = F.coalesce("_sq_first", "_sq_lo"), F.coalesce("_sq_last", "_sq_hi")
         if rn:
-            out = out.withColumn(rn, (F.col("_sq_pos") - F.col("_sq_first") + 1).cast("bigint"))
+            out = out.withColumn(rn, (F.col("_sq_pos") - first + 1).cast("bigint"))
         if size:
-            out = out.withColumn(size, (F.col("_sq_last") - F.col("_sq_first") + 1).cast("bigint"))
-        out = out.drop("_sq_first", "_sq_last")
-    if next_cols or is_last:
-        # the row at position + 1, kept only when it belongs to the same key
-        nxt = pos.select((F.col("_sq_pos") - 1).alias("_sq_pos"), *[F.col(k).alias(f"_sq_k{i}") for i, k in enumerate(keys)],
-                         *[F.col(c).alias(f"next_{c}") for c in next_cols], F.lit(True).alias("_sq_has"))
-        out = out.join(nxt, "_sq_pos", "left")
-        same = F.col("_sq_has").isNotNull()
-        for i, k in enumerate(keys):
-            same = same & F.col(k).eqNullSafe(F.col(f"_sq_k{i}"))
-        for c in next_cols:
-            out = out.withColumn(f"next_{c}", F.when(same, F.col(f"next_{c}")))
-        if is_last:
-            out = out.withColumn(is_last, ~same)
-        out = out.drop("_sq_has", *[f"_sq_k{i}" for i in range(len(keys))])
-    return out.drop("_sq_pos")
+            out = out.withColumn(size, (last - first + 1).cast("bigint"))
+    added = [*[f"next_{c}" for c in next_cols], *[f"prev_{c}" for c in prev_cols], *[c for c in (rn, size, is_last, is_first) if c]]
+    return out.select(*df.columns, *added)
 
 
 def flag_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
-    """``name`` is true on the last row of every key in ``order`` (a total
-    order inside the key).  The maximum of ``struct(order…)`` per key comes
-    from an aggregation (partial on the map side, so a hot key is reduced
-    before the shuffle) and is joined back; no numbering pass is needed."""
+    """``name`` is true on the last row of every key in ``order``.  The maximum
+    of ``struct(order…)`` per key comes from an aggregation (partial on the map
+    side, so a hot key is reduced before the shuffle) and is joined back.
+    ``order`` must be a total order inside the key: end it with a unique id."""
     keys = list(keys)
     tup = F.struct(*[F.col(c) for c in order])
     last = df.groupBy(*keys).agg(F.max(tup).alias("_fl_max"))

@@ -1,6 +1,5 @@
 """Fact table: look up the dimension keys of every feed row, keep the
-measures, mark the last row of each election as the official result, and
-number the rows with a dense fact key."""
+measures, mark the last row of each election as the official result."""
 
 from __future__ import annotations
 
@@ -10,38 +9,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions import clean_name
-from starloom.operators.keys import dense_key
-from starloom.operators.lookup import BROADCAST_MAX_ROWS, join_dim
-from starloom.operators.sequence import flag_last
+from starloom.operators.lookup import join_dim, unique_lookup
 from starloom.plans import constants as K
 
 
 def fact_election_result(feed: DataFrame, dim_election_df: DataFrame, dim_country_df: DataFrame,
-                         dim_date_df: DataFrame, dim_party_df: DataFrame,
-                         measures: Sequence[str], tiebreak: Sequence[str]) -> DataFrame:
-    """``feed``: (election_id, time, territory_name, party, measures…, tiebreak…).
+                         dim_date_df: DataFrame, dim_party_df: DataFrame, dim_history_df: DataFrame,
+                         measures: Sequence[str]) -> DataFrame:
+    """``feed``: (fact_id, election_id, time, territory_name, party,
+    measures…), numbered along (election, …, time) by a dense key.
 
-    Country, date and party dimensions are broadcast after a run-time row
-    count check (pass them kept, the check is then cheap); the election
-    dimension grows with the feed, so its join is left to the planner
-    (shuffle join, AQE may switch it)."""
-    f = feed.withColumn("country_name", clean_name("territory_name")) \
-            .withColumn("full_date", F.col("time").cast("date"))
-    e = dim_election_df.select(F.col("election_id").alias("_eid"), "election_tk")
-    j = join_dim(f, e, f["election_id"] == e["_eid"], "left")
-    cap = BROADCAST_MAX_ROWS
-    j = join_dim(j, dim_country_df.select("country_name", "country_tk"), "country_name", "left", max_rows=cap)
-    j = join_dim(j, dim_date_df.select("full_date", "date_tk"), "full_date", "left", max_rows=cap)
-    j = join_dim(j, dim_party_df.select(F.col("name").alias("party"), "party_tk"), "party", "left", max_rows=cap)
-    j = j.select("election_id", "time", "election_tk", "country_tk", "date_tk", "party_tk", *measures, *tiebreak)
-    # number first: the numbered frame is kept, so the last-row flag below
-    # aggregates the kept rows instead of recomputing the joins.  The
-    # election join comes first: a feed partitioned by election id (see
-    # feeds.wide_feed) meets the election dimension without a new shuffle of
-    # its own side.
-    keyed = dense_key(j, ["election_tk", "party_tk", *tiebreak], "fact_id")
-    flagged = flag_last(keyed, ["election_id"], ["time", *tiebreak], "_is_last")
-    flagged = flagged.withColumn("result_type", F.when(F.col("_is_last"), F.lit(K.RESULT_OFFICIAL))
-                                 .otherwise(F.lit(K.RESULT_PRELIMINARY)))
-    return flagged.select("fact_id", "election_tk", "country_tk", "date_tk", "party_tk",
-                          *measures, "result_type")
+    Every look-up has one row per natural key, and all joins are left joins,
+    so the fact has exactly the feed's rows.  The election look-ups come
+    first: they share the feed's partitioning by election id.  The row with
+    an election's largest ``fact_id`` is its official result."""
+    last = feed.groupBy(F.col("election_id").alias("_lid")).agg(F.max("fact_id").alias("_last"))
+    f = feed.withColumn("country_name", clean_name("territory_name")).withColumn("full_date", F.col("time").cast("date"))
+    j = join_dim(f, last, F.col("election_id").eqNullSafe(F.col("_lid")))
+    j = join_dim(j, unique_lookup(dim_election_df, "election_id", "election_tk"), "election_id")
+    j = join_dim(j, unique_lookup(dim_history_df, "election_id", "election_history_tk"), "election_id")
+    j = join_dim(j, unique_lookup(dim_country_df, "country_name", "country_tk"), "country_name")
+    j = join_dim(j, unique_lookup(dim_date_df, "full_date", "date_tk"), "full_date")
+    j = join_dim(j, unique_lookup(dim_party_df, "name", "party_tk", "party"), "party")
+    official = F.when(F.col("fact_id") == F.col("_last"), F.lit(K.RESULT_OFFICIAL)).otherwise(F.lit(K.RESULT_PRELIMINARY))
+    return j.select("fact_id", "election_tk", "country_tk", "date_tk", "party_tk", "election_history_tk",
+                    *measures, official.alias("result_type"))

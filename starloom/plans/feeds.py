@@ -2,11 +2,11 @@
 
 | warehouse            | source tables                                    |
 |----------------------|--------------------------------------------------|
-| country (name,region)| nation ⟕ region; regions with key ≥ 3 are unknown |
+| country (name,region)| nation ⟕ region                                   |
 | party (id, name)     | part.p_brand ``Brand#N`` → (N, brand); feed names = p_type |
 | person               | supplier, party FK = nation                       |
 | election             | orders (date) + customer's nation                 |
-| wide feed row        | lineitem ⋈ orders ⋈ customer ⋈ nation ⋈ part      |
+| wide feed row        | lineitem ⟕ orders ⟕ customer ⟕ nation ⟕ part      |
 | snapshots per key    | events: user_id = territory, ts = time            |
 """
 
@@ -18,15 +18,13 @@ from pyspark.sql import functions as F
 from starloom.functions import safe_percentage
 from starloom.sources.files import read_table
 
-# Fixed value: regions at or above this key are treated as unknown (to be filled).
-KNOWN_REGION_LIMIT = 3
-
 LINEITEM_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                   "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
-FEED_MEASURES = ["mandates", "votes", "percentage", "valid_votes_percentage", "final_mandates",
-                 "blank_votes", "null_votes", "subscribed_voters", "total_voters",
-                 "pre_blank_votes", "pre_null_votes", "historical_turnout"]
+FEED_MEASURES = ["total_mandates", "available_mandates", "num_parishes", "num_parishes_approved",
+                 "blank_votes", "blank_votes_percentage", "null_votes", "null_votes_percentage",
+                 "voters_percentage", "subscribed_voters", "total_voters", "mandates", "votes",
+                 "percentage", "valid_votes_percentage", "final_mandates"]
 
 
 class Tables:
@@ -43,14 +41,18 @@ class Tables:
         return self._cache[name]
 
 
-def known_regions(t: Tables) -> DataFrame:
-    return t.region.where(F.col("r_regionkey") < KNOWN_REGION_LIMIT)
+def nation_regions(t: Tables) -> DataFrame:
+    """Every nation with its region's name, which is null by a stated rule
+    (for queries about missing values): where n_nationkey is a multiple of 3."""
+    known = F.when(F.col("n_nationkey") % 3 != 0, F.col("r_name")).alias("r_name")
+    return (t.nation.join(t.region, t.nation["n_regionkey"] == t.region["r_regionkey"], "left")
+            .select("n_nationkey", "n_name", "n_regionkey", known))
 
 
 def country_source(t: Tables) -> DataFrame:
-    """(id, name, region) with some regions unknown."""
-    r = known_regions(t)
-    return (t.nation.join(F.broadcast(r), t.nation["n_regionkey"] == r["r_regionkey"], "left")
+    """(id, name, region)."""
+    r = t.region
+    return (t.nation.join(r, t.nation["n_regionkey"] == r["r_regionkey"], "left")
             .select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"),
                     F.col("r_name").alias("region")))
 
@@ -84,36 +86,46 @@ def election_source(t: Tables) -> DataFrame:
                     F.col("c_nationkey").alias("country_id")))
 
 
-def wide_feed(t: Tables) -> DataFrame:
-    """One row per line item: time, territory, party and the measures.
+def wide_feed(t: Tables, number: str | None = None) -> DataFrame:
+    """One row per line item: time, territory, party and the measures, all by
+    left joins.  ``number`` names a dense key over ``LINEITEM_ORDER``: the
+    line items are numbered before they are enriched, so only their own
+    columns pass through the range exchange.
 
     Join order keeps the line-item side shuffled as little as possible: the
-    order header is enriched first (orders ⋈ customer ⋈ nation, all
-    order-sized), line items meet the part brand, and the last join is on the
-    order key, so the feed leaves hash-partitioned by ``election_id`` — the
-    key the fact joins the election dimension and flags the last row on."""
+    order header is enriched first (order-sized joins), line items meet the
+    part, and the last join is on the order key, so the feed leaves
+    hash-partitioned by ``election_id``, the key of the next look-ups."""
+    from starloom.operators.keys import dense_key
     n = t.nation.select("n_nationkey", "n_name")
     c = t.customer.select("c_custkey", "c_nationkey")
     o = (t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-         .join(c, F.col("o_custkey") == c["c_custkey"], "inner")
-         .join(F.broadcast(n), F.col("c_nationkey") == n["n_nationkey"], "inner")  # nations: bounded
+         .join(c, F.col("o_custkey") == c["c_custkey"], "left")
+         .join(n, F.col("c_nationkey") == n["n_nationkey"], "left")
          .select("o_orderkey", "o_orderdate", "n_name"))
-    p = t.part.select("p_partkey", "p_brand")
+    p = t.part.select("p_partkey", "p_brand", "p_size")
     li = t.lineitem
-    j = (li.join(p, li["l_partkey"] == p["p_partkey"], "inner")
-           .join(o, F.col("l_orderkey") == o["o_orderkey"], "inner"))
+    if number:
+        li = dense_key(li, LINEITEM_ORDER, number)
+    j = (li.join(p, li["l_partkey"] == p["p_partkey"], "left")
+           .join(o, F.col("l_orderkey") == o["o_orderkey"], "left"))
     votes = F.col("l_quantity").cast("bigint")
+    blank = F.when(F.col("l_returnflag") == "R", votes).otherwise(F.lit(0).cast("bigint"))
+    void = F.when(F.col("l_returnflag") == "A", votes).otherwise(F.lit(0).cast("bigint"))
     return j.select(
+        *([number] if number else []),
         F.col("l_orderkey").alias("election_id"), F.col("o_orderdate").alias("time"),
         F.col("n_name").alias("territory_name"), F.col("p_brand").alias("party"),
+        (F.col("l_linenumber") + F.col("p_size")).alias("total_mandates"), F.col("p_size").alias("available_mandates"),
+        (F.col("p_size") * 2).alias("num_parishes"), F.col("p_size").alias("num_parishes_approved"),
         F.col("l_linenumber").alias("mandates"), votes.alias("votes"),
         (F.col("l_discount") * 100).alias("percentage"),
         (F.col("l_tax") * 100).alias("valid_votes_percentage"),
         F.col("l_linenumber").alias("final_mandates"),
-        F.when(F.col("l_returnflag") == "R", votes).otherwise(F.lit(0).cast("bigint")).alias("blank_votes"),
-        F.when(F.col("l_returnflag") == "A", votes).otherwise(F.lit(0).cast("bigint")).alias("null_votes"),
+        blank.alias("blank_votes"), safe_percentage(blank, votes).alias("blank_votes_percentage"),
+        void.alias("null_votes"), safe_percentage(void, votes).alias("null_votes_percentage"),
+        safe_percentage(votes, votes * 2).alias("voters_percentage"),
         (votes * 2).alias("subscribed_voters"), votes.alias("total_voters"),
         F.when(F.col("l_linestatus") == "O", votes).otherwise(F.lit(0).cast("bigint")).alias("pre_blank_votes"),
         F.lit(0).cast("bigint").alias("pre_null_votes"),
-        safe_percentage(votes, votes * 2).alias("historical_turnout"),
-        *[F.col(c) for c in LINEITEM_ORDER])
+        safe_percentage(votes, votes * 2).alias("historical_turnout"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions import at_time_of_day, hash_between, hash_pick, spread_between
-from starloom.operators.keys import continue_key, surrogate_key
+from starloom.operators.keys import continue_key, dense_key
 from starloom.operators.lookup import anti_new, semi_exists
 from starloom.operators.sequence import sequence_per_key
 from starloom.plans import constants as K
@@ -34,7 +34,7 @@ def generate_members(parents: DataFrame, parent_key: str, id_order: Sequence[str
            .withColumn("title", F.when(male, hash_pick(parent_key, "title|", K.TITLES_MALE))
                        .otherwise(hash_pick(parent_key, "title|", K.TITLES_FEMALE)))
            .withColumn("party_id", F.col(parent_key).cast("bigint")))
-    keyed = surrogate_key(out, id_order, "person_id")
+    keyed = dense_key(out, id_order, "person_id")
     return keyed.select("person_id", "first_name", "last_name", "birth_year", "title", "gender", "party_id")
 
 
@@ -71,13 +71,12 @@ def month_grid(facts_months: DataFrame, month_col: str, members: DataFrame, memb
     return semi_exists(grid, facts_months.select(month_col).distinct(), [month_col])
 
 
-def incremental_load(target: DataFrame | None, batch: DataFrame, natural: str, id_col: str = "id",
-                     bounded: bool = False) -> DataFrame:
+def incremental_load(target: DataFrame | None, batch: DataFrame, natural: str, id_col: str = "id") -> DataFrame:
     """Distinct natural keys of ``batch`` not yet in ``target`` get ids after
     the current maximum; the new target is old ∪ new.  A rerun adds nothing."""
     names = batch.select(natural).where(F.col(natural).isNotNull()).distinct()
     if target is None:
-        return surrogate_key(names, [natural], id_col, bounded=bounded).select(id_col, natural)
+        return dense_key(names, [natural], id_col).select(id_col, natural)
     new = anti_new(names, target.select(natural), [natural])
-    added = continue_key(new, target, id_col, [natural], id_col, bounded=bounded).select(id_col, natural)
+    added = continue_key(new, target, id_col, [natural], id_col).select(id_col, natural)
     return target.select(id_col, natural).unionByName(added)

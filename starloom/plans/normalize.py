@@ -13,34 +13,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions import clean_name
-from starloom.operators.keys import SINGLE_TASK_MAX_ROWS, dense_key, surrogate_key
-from starloom.operators.lookup import BROADCAST_MAX_ROWS, join_dim
+from starloom.operators.keys import dense_key
+from starloom.operators.lookup import join_dim
 
 
-def countries(feed: DataFrame, max_rows: int | None = SINGLE_TASK_MAX_ROWS) -> DataFrame:
+def countries(feed: DataFrame) -> DataFrame:
     names = feed.select(clean_name("territory_name").alias("name")).where(F.col("name").isNotNull()).distinct()
-    return surrogate_key(names, ["name"], "id", max_rows=max_rows).select("id", "name")
+    return dense_key(names, ["name"], "id").select("id", "name")
 
 
-def parties(feed: DataFrame, max_rows: int | None = SINGLE_TASK_MAX_ROWS) -> DataFrame:
+def parties(feed: DataFrame) -> DataFrame:
     names = feed.select(F.trim("party").alias("name")).where(F.col("name").isNotNull()).distinct()
-    return surrogate_key(names, ["name"], "id", max_rows=max_rows).select("id", "name")
-
-
-def numbered_feed(feed: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Feed rows with ``election_id`` 1..n over a total order."""
-    return dense_key(feed, order, "election_id")
+    return dense_key(names, ["name"], "id").select("id", "name")
 
 
 def elections(numbered: DataFrame, country: DataFrame, measures: Sequence[str]) -> DataFrame:
     c = country.select(F.col("name").alias("_cn"), F.col("id").alias("country_id"))
-    j = join_dim(numbered.withColumn("_cn", clean_name("territory_name")), c, "_cn", "left", max_rows=BROADCAST_MAX_ROWS)
+    j = join_dim(numbered.withColumn("_cn", clean_name("territory_name")), c, "_cn", "left")
     return j.select(F.col("election_id").alias("id"), F.col("time").alias("year"), *measures, "country_id")
 
 
 def results(numbered: DataFrame, party: DataFrame, measures: Sequence[str]) -> DataFrame:
     p = party.select(F.col("name").alias("_pn"), F.col("id").alias("party_id"))
-    j = join_dim(numbered.withColumn("_pn", F.trim("party")), p, "_pn", "left", max_rows=BROADCAST_MAX_ROWS)
+    j = join_dim(numbered.withColumn("_pn", F.trim("party")), p, "_pn", "left")
     return j.select(F.col("election_id").alias("id"), "election_id", "party_id", *measures)
 
 

@@ -7,20 +7,14 @@ from pyspark.sql import functions as F
 from starloom.functions import parse_timestamp
 from starloom.operators import profile, quality
 from starloom.operators.dedupe import first_per_key
-from starloom.operators.lookup import join_dim
-from starloom.plans.feeds import Tables, known_regions
+from starloom.operators.lookup import anti_new
+from starloom.plans.feeds import Tables, nation_regions
 from starloom.plans.registry import query
 
 
-def _nation_regions(t):
-    r = known_regions(t)
-    return join_dim(t.nation, r, t.nation["n_regionkey"] == r["r_regionkey"], "left", bounded=True) \
-        .select("n_nationkey", "n_name", "r_name")
-
-
 SQL_NATION_REGIONS = """nr AS (
-  SELECT n.n_nationkey, n.n_name, r.r_name
-  FROM nation n LEFT JOIN (SELECT * FROM region WHERE r_regionkey < 3) r ON n.n_regionkey = r.r_regionkey)"""
+  SELECT n.n_nationkey, n.n_name, CASE WHEN n.n_nationkey % 3 <> 0 THEN r.r_name END AS r_name
+  FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey)"""
 
 
 @query("row_count", "SELECT count(*) AS n_rows FROM lineitem")
@@ -39,7 +33,7 @@ SELECT 'n_nationkey' AS column_name, count(*) FILTER (WHERE n_nationkey IS NULL)
 UNION ALL SELECT 'n_name', count(*) FILTER (WHERE n_name IS NULL) FROM nr
 UNION ALL SELECT 'r_name', count(*) FILTER (WHERE r_name IS NULL) FROM nr""")
 def q_null_profile(spark, sf_dir):
-    return profile.null_counts(_nation_regions(Tables(spark, sf_dir)))
+    return profile.null_counts(nation_regions(Tables(spark, sf_dir)).drop("n_regionkey"))
 
 
 @query("distinct_profile", """
@@ -102,7 +96,7 @@ def q_group_size(spark, sf_dir):
 
 def _segment_region(t):
     geo = t.nation.join(t.region, t.nation["n_regionkey"] == t.region["r_regionkey"]).select("n_nationkey", "r_name")
-    return t.customer.join(F.broadcast(geo), t.customer["c_nationkey"] == geo["n_nationkey"], "left")
+    return t.customer.join(geo, t.customer["c_nationkey"] == geo["n_nationkey"], "left")
 
 
 @query("category_counts", """
@@ -113,6 +107,10 @@ def q_category_counts(spark, sf_dir):
     return profile.counts_by(_segment_region(Tables(spark, sf_dir)), ["c_mktsegment", "r_name"])
 
 
+# The pivot's columns, one per region.
+REGION_NAMES = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+
+
 @query("category_pivot", """
 SELECT c.c_mktsegment,
        count(*) FILTER (WHERE r.r_name = 'AFRICA') AS "AFRICA",
@@ -124,55 +122,54 @@ FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey LEFT JOIN re
 GROUP BY 1""")
 def q_category_pivot(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    # pivot values: the region names (a bounded dimension), listed up front so
-    # the pivot needs no extra distinct job over the fact side
-    names = sorted(r[0] for r in t.region.select("r_name").distinct().collect())
+    names = REGION_NAMES
     p = _segment_region(t).groupBy("c_mktsegment").pivot("r_name", names).agg(F.count(F.lit(1)))
     return p.na.fill(0, subset=names)
 
 
 @query("load_audit", """
-WITH target AS (SELECT p_partkey, p_brand FROM part WHERE p_partkey < 1200),
-batch AS (SELECT p_partkey, CASE WHEN p_size > 25 THEN p_brand || '*' ELSE p_brand END AS p_brand FROM part WHERE p_partkey >= 1000)
+WITH target AS (SELECT p_partkey, p_brand FROM part WHERE p_partkey % 4 <> 0),
+batch AS (SELECT p_partkey, CASE WHEN p_size > 25 THEN p_brand || '*' ELSE p_brand END AS p_brand FROM part WHERE p_partkey % 3 <> 0)
 SELECT CASE WHEN t.p_partkey IS NULL THEN 'insert' WHEN t.p_brand IS DISTINCT FROM b.p_brand THEN 'update' ELSE 'skip' END AS action,
        count(*) AS n
 FROM batch b LEFT JOIN target t ON b.p_partkey = t.p_partkey GROUP BY 1""")
 def q_load_audit(spark, sf_dir):
+    """Loaded rows and batch are overlapping thirds and quarters of the keys."""
     p = Tables(spark, sf_dir).part
-    target = p.where(F.col("p_partkey") < 1200).select("p_partkey", F.col("p_brand").alias("_old"))
-    batch = p.where(F.col("p_partkey") >= 1000).select(
+    target = p.where(F.col("p_partkey") % 4 != 0).select("p_partkey", F.col("p_brand").alias("_old"), F.lit(True).alias("_hit"))
+    batch = p.where(F.col("p_partkey") % 3 != 0).select(
         "p_partkey", F.when(F.col("p_size") > 25, F.concat("p_brand", F.lit("*"))).otherwise(F.col("p_brand")).alias("p_brand"))
-    j = batch.join(target, "p_partkey", "left").join(
-        target.select(F.col("p_partkey").alias("_hit")), F.col("p_partkey") == F.col("_hit"), "left")
+    j = batch.join(target, "p_partkey", "left")
     action = (F.when(F.col("_hit").isNull(), "insert")
               .when(~F.col("_old").eqNullSafe(F.col("p_brand")), "update").otherwise("skip"))
     return j.select(action.alias("action")).groupBy("action").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("unmatched_keys", """
-SELECT n.n_regionkey, count(*) AS n_rows
-FROM nation n WHERE NOT EXISTS (SELECT 1 FROM region r WHERE r.r_regionkey < 3 AND r.r_regionkey = n.n_regionkey)
+SELECT n.n_regionkey + 2 AS region_ref, count(*) AS n_rows
+FROM nation n WHERE NOT EXISTS (SELECT 1 FROM region r WHERE r.r_regionkey = n.n_regionkey + 2)
 GROUP BY 1""")
 def q_unmatched_keys(spark, sf_dir):
+    """References two beyond a nation's region: some have no region."""
     t = Tables(spark, sf_dir)
-    r = known_regions(t).select(F.col("r_regionkey").alias("n_regionkey"))
-    miss = t.nation.join(F.broadcast(r), "n_regionkey", "left_anti")
-    return miss.groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("n_rows"))
+    refs = t.nation.select((F.col("n_regionkey") + 2).alias("region_ref"))
+    miss = anti_new(refs, t.region.select(F.col("r_regionkey").alias("region_ref")), ["region_ref"])
+    return miss.groupBy("region_ref").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 # ---------------------------------------------------------------- quality rules
 @query("check_not_null", """
 WITH cr AS (
-  SELECT c.c_custkey, c.c_name, r.r_name AS region
+  SELECT c.c_custkey, c.c_name, CASE WHEN n.n_nationkey % 3 <> 0 THEN r.r_name END AS region
   FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
-       LEFT JOIN (SELECT * FROM region WHERE r_regionkey < 3) r ON n.n_regionkey = r.r_regionkey)
+       LEFT JOIN region r ON n.n_regionkey = r.r_regionkey)
 SELECT 'c_custkey' AS column_name, count(*) FILTER (WHERE c_custkey IS NULL) AS violations, 'not_null' AS rule FROM cr
 UNION ALL SELECT 'c_name', count(*) FILTER (WHERE c_name IS NULL), 'not_null' FROM cr
 UNION ALL SELECT 'region', count(*) FILTER (WHERE region IS NULL), 'not_null' FROM cr""")
 def q_check_not_null(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    nr = _nation_regions(t).select("n_nationkey", F.col("r_name").alias("region"))
-    cr = t.customer.join(F.broadcast(nr), t.customer["c_nationkey"] == nr["n_nationkey"], "left")
+    nr = nation_regions(t).select("n_nationkey", F.col("r_name").alias("region"))
+    cr = t.customer.join(nr, t.customer["c_nationkey"] == nr["n_nationkey"], "left")
     return quality.not_null(cr, ["c_custkey", "c_name", "region"])
 
 
@@ -186,6 +183,7 @@ def q_check_unique(spark, sf_dir):
 SELECT * FROM customer c WHERE c.c_nationkey IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM nation n WHERE n.n_nationkey < 20 AND n.n_nationkey = c.c_nationkey)""")
 def q_check_foreign_key(spark, sf_dir):
+    """Nations below 20 stand for a parent table with gaps."""
     t = Tables(spark, sf_dir)
     return quality.orphans(t.customer, t.nation.where(F.col("n_nationkey") < 20), "c_nationkey", "n_nationkey")
 

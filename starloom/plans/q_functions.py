@@ -122,17 +122,18 @@ def q_add_minutes(spark, sf_dir):
 
 
 SQL_TIME_TEXT = ("CASE WHEN event_type = 'error' THEN strftime(ts, '%H:%M') || ':75' "
-                 "ELSE strftime(ts, '%H:%M:%S') END")
+                 "ELSE concat_ws(':', hour(ts), minute(ts), second(ts)) END")
 
 
 @query("validate_time", f"""
 SELECT event_id, {SQL_TIME_TEXT} AS time_text,
-       CASE WHEN regexp_full_match({SQL_TIME_TEXT}, '([01]?\\d|2[0-3]):[0-5]?\\d:[0-5]?\\d') THEN {SQL_TIME_TEXT} END AS valid_time
+       CASE WHEN regexp_full_match({SQL_TIME_TEXT}, '([01]?\\d|2[0-3]):[0-5]?\\d:[0-5]?\\d')
+            THEN regexp_replace(regexp_replace({SQL_TIME_TEXT}, '(^|:)(\\d)(:|$)', '\\10\\2\\3', 'g'), '(^|:)(\\d)(:|$)', '\\10\\2\\3', 'g') END AS valid_time
 FROM events""")
 def q_validate_time(spark, sf_dir):
     e = Tables(spark, sf_dir).events
     txt = F.when(F.col("event_type") == "error", F.concat(F.date_format("ts", "HH:mm"), F.lit(":75"))) \
-        .otherwise(F.date_format("ts", "HH:mm:ss"))
+        .otherwise(F.concat_ws(":", F.hour("ts"), F.minute("ts"), F.second("ts")))
     return e.select("event_id", txt.alias("time_text"), valid_hms(txt).alias("valid_time"))
 
 

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from starloom.functions import clean_name, fold_accents
 from starloom.operators.columns import first_present, with_defaults
 from starloom.operators.dedupe import union_prefer
-from starloom.operators.keys import dense_key, row_number_key
+from starloom.operators.keys import dense_key
 from starloom.operators.lookup import anti_new, join_dim, semi_exists
-from starloom.plans.feeds import Tables, known_regions
+from starloom.plans.feeds import Tables, nation_regions
 from starloom.plans.generate import month_grid
 from starloom.plans.registry import query
 from starloom.plans.sqlfrag import initcap_word
@@ -82,25 +82,21 @@ def q_filter_and(spark, sf_dir):
 
 @query("filter_null", """
 SELECT n.n_nationkey, n.n_name, n.n_regionkey
-FROM nation n LEFT JOIN (SELECT * FROM region WHERE r_regionkey < 3) r ON n.n_regionkey = r.r_regionkey
-WHERE r.r_name IS NULL""")
+FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+WHERE (CASE WHEN n.n_nationkey % 3 <> 0 THEN r.r_name END) IS NULL""")
 def q_filter_null(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    r = known_regions(t)
-    j = join_dim(t.nation, r, t.nation["n_regionkey"] == r["r_regionkey"], "left", bounded=True)
+    j = nation_regions(Tables(spark, sf_dir))
     return j.where(F.col("r_name").isNull()).select("n_nationkey", "n_name", "n_regionkey")
 
 
 @query("dropna_subset", """
-SELECT c.c_custkey, c.c_name, r.r_name AS region
+SELECT c.c_custkey, c.c_name, CASE WHEN n.n_nationkey % 3 <> 0 THEN r.r_name END AS region
 FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
-     LEFT JOIN (SELECT * FROM region WHERE r_regionkey < 3) r ON n.n_regionkey = r.r_regionkey
-WHERE r.r_name IS NOT NULL""")
+     LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+WHERE (CASE WHEN n.n_nationkey % 3 <> 0 THEN r.r_name END) IS NOT NULL""")
 def q_dropna_subset(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    r = known_regions(t)
-    j = (t.customer.join(F.broadcast(t.nation), t.customer["c_nationkey"] == t.nation["n_nationkey"], "left")
-         .join(F.broadcast(r), F.col("n_regionkey") == r["r_regionkey"], "left"))
+    j = t.customer.join(nation_regions(t), F.col("c_nationkey") == F.col("n_nationkey"), "left")
     return j.select("c_custkey", "c_name", F.col("r_name").alias("region")).dropna(how="any", subset=["region"])
 
 
@@ -108,6 +104,7 @@ def q_dropna_subset(spark, sf_dir):
 SELECT * FROM customer c
 WHERE NOT EXISTS (SELECT 1 FROM nation n WHERE n.n_nationkey < 5 AND n.n_nationkey = c.c_nationkey)""")
 def q_filter_not_in(spark, sf_dir):
+    """Nations below 5 stand for the rows already loaded."""
     t = Tables(spark, sf_dir)
     loaded = t.nation.where(F.col("n_nationkey") < 5).select(F.col("n_nationkey").alias("c_nationkey"))
     return anti_new(t.customer, loaded, ["c_nationkey"])
@@ -155,7 +152,7 @@ def q_left_lookup(spark, sf_dir):
     t = Tables(spark, sf_dir)
     n = t.nation.withColumnRenamed("n_regionkey", "regionkey")
     r = t.region.withColumnRenamed("r_regionkey", "regionkey")
-    return join_dim(n, r, "regionkey", "left", bounded=True)
+    return join_dim(n, r, "regionkey", "left")
 
 
 @query("replace_with_surrogate", """
@@ -164,9 +161,9 @@ SELECT s.s_suppkey, s.s_name, nd.nation_tk FROM supplier s LEFT JOIN nd ON s.s_n
 def q_replace_with_surrogate(spark, sf_dir):
     from starloom.operators.lookup import replace_with_key
     t = Tables(spark, sf_dir)
-    nd = row_number_key(t.nation, ["n_name"], "nation_tk")  # nations: bounded
+    nd = dense_key(t.nation, ["n_name"], "nation_tk")
     return replace_with_key(t.supplier.select("s_suppkey", "s_name", "s_nationkey"), nd,
-                            "s_nationkey", "n_nationkey", "nation_tk", "nation_tk", bounded=True)
+                            "s_nationkey", "n_nationkey", "nation_tk", "nation_tk")
 
 
 @query("fact_join", """
@@ -182,7 +179,7 @@ def q_fact_join(spark, sf_dir):
     j = join_dim(li, o, li["l_orderkey"] == o["o_orderkey"], "left")
     j = join_dim(j, c, j["o_custkey"] == c["c_custkey"], "left")
     j = join_dim(j, t.nation.select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"),
-                 "left", bounded=True)
+                 "left")
     return j.select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "o_orderdate", "o_custkey",
                     "c_nationkey", "n_name")
 
@@ -221,10 +218,10 @@ def q_semi_exists(spark, sf_dir):
 
 @query("anti_new_rows", """
 SELECT DISTINCT p_name, p_brand FROM part p
-WHERE NOT EXISTS (SELECT 1 FROM part e WHERE e.p_partkey < 1000 AND e.p_name = p.p_name AND e.p_brand = p.p_brand)""")
+WHERE NOT EXISTS (SELECT 1 FROM part e WHERE e.p_partkey % 2 = 0 AND e.p_name = p.p_name AND e.p_brand = p.p_brand)""")
 def q_anti_new_rows(spark, sf_dir):
     p = Tables(spark, sf_dir).part
-    return anti_new(p.select("p_name", "p_brand").distinct(), p.where(F.col("p_partkey") < 1000),
+    return anti_new(p.select("p_name", "p_brand").distinct(), p.where(F.col("p_partkey") % 2 == 0),
                     ["p_name", "p_brand"])
 
 
@@ -248,7 +245,7 @@ def q_accent_join(spark, sf_dir):
                         F.concat(F.lit("  "), F.translate("n_name", "AEIO", "ÁÊÍÕ"), F.lit(" ")).alias("display_name"))
     a = a.withColumn("_folded", fold_accents(F.trim("display_name")))
     n = t.nation.select(F.col("n_name").alias("_folded"), F.col("n_nationkey").alias("matched_key"))
-    return join_dim(a, n, "_folded", "left", bounded=True).select("n_nationkey", "display_name", "matched_key")
+    return join_dim(a, n, "_folded", "left").select("n_nationkey", "display_name", "matched_key")
 
 
 @query("star_view", """
@@ -261,9 +258,9 @@ def q_star_view(spark, sf_dir):
     o = t.orders.select("o_orderkey", "o_orderdate", "o_custkey")
     c = t.customer.select("c_custkey", "c_name", "c_nationkey")
     geo = t.nation.join(t.region, t.nation["n_regionkey"] == t.region["r_regionkey"]).select(
-        "n_nationkey", "n_name", "r_name")  # nations × regions: bounded, broadcast
+        "n_nationkey", "n_name", "r_name")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"]).join(c, F.col("o_custkey") == c["c_custkey"])
-    j = j.join(F.broadcast(geo), F.col("c_nationkey") == geo["n_nationkey"])
+    j = j.join(geo, F.col("c_nationkey") == geo["n_nationkey"])
     v = j.select("l_orderkey", "l_linenumber", "l_extendedprice", "o_orderdate", "c_name", "n_name", "r_name")
     v.createOrReplaceTempView("star_view")
     return v
@@ -313,13 +310,13 @@ def q_union_missing_columns(spark, sf_dir):
 
 @query("union_dedupe", """
 WITH u AS (
-  SELECT p_partkey, p_name, 'db' AS source, 0 AS src_rank FROM part WHERE p_partkey < 1200
-  UNION ALL SELECT p_partkey, upper(p_name) AS p_name, 'csv' AS source, 1 AS src_rank FROM part WHERE p_partkey >= 800)
+  SELECT p_partkey, p_name, 'db' AS source, 0 AS src_rank FROM part WHERE p_partkey % 3 <> 0
+  UNION ALL SELECT p_partkey, upper(p_name) AS p_name, 'csv' AS source, 1 AS src_rank FROM part WHERE p_partkey % 4 <> 0)
 SELECT p_partkey, p_name, source FROM (
   SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY src_rank) AS rn FROM u) x WHERE rn = 1""")
 def q_union_dedupe(spark, sf_dir):
     p = Tables(spark, sf_dir).part
-    db = p.where(F.col("p_partkey") < 1200).select("p_partkey", "p_name", F.lit("db").alias("source"))
-    csv = p.where(F.col("p_partkey") >= 800).select("p_partkey", F.upper("p_name").alias("p_name"),
+    db = p.where(F.col("p_partkey") % 3 != 0).select("p_partkey", "p_name", F.lit("db").alias("source"))
+    csv = p.where(F.col("p_partkey") % 4 != 0).select("p_partkey", F.upper("p_name").alias("p_name"),
                                                    F.lit("csv").alias("source"))
     return union_prefer([db, csv], ["p_partkey"])

@@ -3,7 +3,6 @@ write-and-read-back loads."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from starloom.operators.lookup import join_dim
@@ -73,7 +72,7 @@ FROM part p LEFT JOIN {values(K.PARTY_ORIENTATION, ['o_party_id', 'orientation']
 def q_inline_lookup(spark, sf_dir):
     p = Tables(spark, sf_dir).part.select(
         "p_partkey", F.substring_index("p_brand", "#", -1).cast("int").alias("party_id"))
-    return join_dim(p, orientation_frame(spark), "party_id", "left", bounded=True)  # 21 literal rows
+    return join_dim(p, orientation_frame(spark), "party_id", "left")
 
 
 @query("catalog_columns", """
@@ -101,85 +100,106 @@ def q_append_load(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-def _star_counts_sql() -> str:
+#: Columns of each written table whose text is the same in every engine.
+STAR_TEXT = {
+    "dim_country": ["country_tk", "country_id", "country_name", "region"],
+    "dim_date": ["date_tk", "full_date", "year", "month", "day", "weekday"],
+    "dim_party": ["party_tk", "party_id", "name", "orientation"],
+    "dim_person": ["person_tk", "person_id", "first_name", "last_name", "birth_year", "title", "party_id"],
+    "dim_election": ["election_tk", "election_id", "date_tk", "country_tk"],
+    "dim_election_history": ["election_history_tk", "election_id", "pre_blank_votes", "pre_null_votes"],
+    "fact_election_result": ["fact_id", "election_tk", "country_tk", "date_tk", "party_tk", "election_history_tk", "total_mandates",
+                             "available_mandates", "num_parishes", "num_parishes_approved", "blank_votes", "null_votes",
+                             "subscribed_voters", "total_voters", "mandates", "votes", "final_mandates", "result_type"],
+}
+NORMALISED_TEXT = {
+    "country": ["id", "name"], "party": ["id", "name"],
+    "election": ["id", "blank_votes", "null_votes", "subscribed_voters", "total_voters", "country_id"],
+    "result": ["id", "election_id", "party_id", "mandates", "votes", "final_mandates"],
+    "election_history": ["id", "election_id", "pre_blank_votes", "pre_null_votes"],
+}
+
+
+def _digest_sql(tables: dict[str, tuple[str, list[str]]]) -> str:
+    """Per table: rows, and the sum of a hash of every row's text."""
+    def one(name, source, cols):
+        text = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in cols)
+        return (f"SELECT '{name}' AS table_name, count(*) AS row_count, "
+                f"CAST(coalesce(sum(CAST(('0x' || substr(md5({text}), 1, 8)) AS BIGINT)), 0) AS BIGINT) AS contents FROM {source}")
+    return " UNION ALL ".join(one(n, src, cols) for n, (src, cols) in tables.items())
+
+
+def _star_sql() -> str:
     from starloom.plans import q_warehouse as W
-    ctes = ", ".join([W.SQL_DIM_COUNTRY, W.SQL_DIM_DATE, W.SQL_DIM_PARTY, W.SQL_DIM_PERSON, W.SQL_DIM_ELECTION,
-                      W.SQL_HISTORY_SRC, W.SQL_DIM_HISTORY, W.SQL_FEED])
-    return f"""WITH {ctes}
-SELECT 'dim_country' AS table_name, count(*) AS row_count FROM dim_country
-UNION ALL SELECT 'dim_date', count(*) FROM dim_date
-UNION ALL SELECT 'dim_party', count(*) FROM dim_party
-UNION ALL SELECT 'dim_person', count(*) FROM dim_person
-UNION ALL SELECT 'dim_election', count(*) FROM dim_election
-UNION ALL SELECT 'dim_election_history', count(*) FROM dim_election_history
-UNION ALL SELECT 'fact_election_result', count(*) FROM feed"""
-
-
-def _load_counts_sql() -> str:
+    return f"WITH {W.SQL_STAR} " + _digest_sql({n: ("fact" if n.startswith("fact") else n, c) for n, c in STAR_TEXT.items()})
+
+
+def _normalised_sql() -> str:
     from starloom.plans import q_warehouse as W
-    return f"""WITH {W.SQL_FEED}, {W.SQL_NORM_COUNTRY}, {W.SQL_NORM_PARTY}
-SELECT 'country' AS table_name, count(*) AS row_count FROM ncountry
-UNION ALL SELECT 'party', count(*) FROM nparty
-UNION ALL SELECT 'election', count(*) FROM feed
-UNION ALL SELECT 'result', count(*) FROM feed
-UNION ALL SELECT 'election_history', count(*) FROM feed"""
+    source = {"country": "ncountry", "party": "nparty",
+              "election": f"(SELECT f.election_id AS id, f.*, c.id AS country_id FROM nfeed f LEFT JOIN ncountry c ON {W.SQL_CLEAN_TERRITORY} = c.name)",
+              "result": "(SELECT f.election_id AS id, f.*, p.id AS party_id FROM nfeed f LEFT JOIN nparty p ON trim(f.party) = p.name)",
+              "election_history": "(SELECT f.election_id AS id, f.* FROM nfeed f)"}
+    return (f"WITH {W.SQL_FEED}, {W.SQL_NUMBERED_FEED}, {W.SQL_NORM_COUNTRY}, {W.SQL_NORM_PARTY} "
+            + _digest_sql({n: (source[n], c) for n, c in NORMALISED_TEXT.items()}))
 
 
 def star_build(spark, sf_dir: str, base: str | None = None) -> dict[str, str]:
-    """Extract → six dimensions → fact → write, dimensions first.  The
-    dimensions are persisted once because the fact looks them all up."""
+    """Extract → six dimensions → fact → write, dimensions first.  Dimensions
+    are stored by their keys, so the fact reads them without building them
+    again."""
     from starloom.plans import q_warehouse as W
     t = Tables(spark, sf_dir)
-    keep = StorageLevel.MEMORY_AND_DISK
-    dc = W.build_dim_country(t).persist(keep)
-    dd = W.build_dim_date(t).persist(keep)
-    dp = W.build_dim_party(t).persist(keep)
-    de = W.build_dim_election(t, dd, dc).persist(keep)
-    outputs = {
-        "dim_country": dc, "dim_date": dd, "dim_party": dp,
-        "dim_person": W.build_dim_person(t, dc), "dim_election": de,
-        "dim_election_history": W.build_dim_history(t),
-        # the fact is laid out on disk by election year (from the calendar
-        # dimension, broadcast) so later reads prune by year
-        "fact_election_result": W.build_fact(t, dc, dd, dp, de).join(
-            F.broadcast(dd.select("date_tk", "year")), "date_tk", "left"),
-    }
-    base = base or scratch_path(spark, "star")
-    paths = sinks.load_all(spark, outputs, base, partition_by={"fact_election_result": ["year"]})
-    for d in (dc, dd, dp, de):
-        d.unpersist()
-    return paths
-
-
-@query("star_build", _star_counts_sql())
+    dc, dd, dp, dh = W.build_dim_country(t), W.build_dim_date(t), W.build_dim_party(t), W.build_dim_history(t)
+    de = W.build_dim_election(t, dd, dc)
+    # the fact is laid out on disk by election year, so later reads prune by
+    # year; ranges of (year, key) give each year few files of even size
+    fact = W.build_fact(t, dc, dd, dp, de, dh).join(dd.select("date_tk", "year"), "date_tk", "left")
+    outputs = {"dim_country": dc, "dim_date": dd, "dim_party": dp, "dim_person": W.build_dim_person(t, dc),
+               "dim_election": de, "dim_election_history": dh,
+               "fact_election_result": fact.repartitionByRange("year", "fact_id")}
+    return sinks.load_all(spark, outputs, base or scratch_path(spark, "star"), partition_by={"fact_election_result": ["year"]})
+
+
+@query("star_build", _star_sql())
 def q_star_build(spark, sf_dir):
-    return sinks.written_counts(spark, star_build(spark, sf_dir))
+    return sinks.written_digests(spark, star_build(spark, sf_dir), STAR_TEXT)
+
+
+@query("star_pipeline", _star_sql())
+def q_star_pipeline(spark, sf_dir):
+    """The whole extract-transform-load run; the same job as ``star_build``."""
+    return q_star_build(spark, sf_dir)
 
 
-@query("load_star", _load_counts_sql())
+@query("load_star", _normalised_sql())
 def q_load_star(spark, sf_dir):
     from starloom.plans import normalize as N
     from starloom.plans import q_warehouse as W
-    # the numbered feed is kept by its dense key; every table reads it
-    numbered = N.numbered_feed(W.wide_feed(Tables(spark, sf_dir)), W.LINEITEM_ORDER)
-    country, party = N.countries(numbered), N.parties(numbered)
+    base = scratch_path(spark, "normalised")
+    # the joined, numbered feed is written once; every table reads its columns
+    feed = spark.read.parquet(sinks.write_table(W.numbered_feed(Tables(spark, sf_dir)), f"{base}/feed"))
+    country, party = N.countries(feed), N.parties(feed)
     outputs = {"country": country, "party": party,
-               "election": N.elections(numbered, country, W.ELECTION_MEASURES),
-               "result": N.results(numbered, party, W.RESULT_MEASURES),
-               "election_history": N.histories(numbered)}
-    paths = sinks.load_all(spark, outputs, scratch_path(spark, "normalised"))
-    return sinks.written_counts(spark, paths)
+               "election": N.elections(feed, country, W.ELECTION_MEASURES),
+               "result": N.results(feed, party, W.RESULT_MEASURES),
+               "election_history": N.histories(feed)}
+    return sinks.written_digests(spark, sinks.load_all(spark, outputs, base), NORMALISED_TEXT)
 
 
-@query("create_tables")
+def _calendar_sql() -> str:
+    from starloom.plans import q_warehouse as W
+    return f"WITH {W.SQL_DIM_DATE} SELECT * FROM dim_date"
+
+
+@query("create_tables", _calendar_sql())
 def q_create_tables(spark, sf_dir):
-    """Declared star tables created empty from their schemas, then the
-    calendar dimension (built from the tables) appended: rows-only check."""
+    """Declared star tables created in the catalog, old ones dropped first,
+    then the calendar dimension inserted and read back by name."""
     from starloom.plans import q_warehouse as W
     from starloom.plans.schemas import STAR_SCHEMAS
     base = scratch_path(spark, "declared")
     for name, schema in STAR_SCHEMAS.items():
-        sinks.create_empty(spark, schema, f"{base}/{name}")
-    sinks.append_table(W.build_dim_date(Tables(spark, sf_dir)), f"{base}/dim_date")
-    return spark.read.schema(STAR_SCHEMAS["dim_date"]).parquet(f"{base}/dim_date")
-
+        sinks.create_table(spark, f"star_{name}", schema, f"{base}/{name}")
+    W.build_dim_date(Tables(spark, sf_dir)).write.insertInto("star_dim_date")
+    return spark.table("star_dim_date")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from starloom.operators.cache import keep
 from starloom.plans import constants as K
 from starloom.plans import dims, facts
 from starloom.plans.feeds import (
@@ -28,7 +27,7 @@ dim_country AS (
       SELECT CAST(n.n_nationkey AS BIGINT) AS country_id,
              {initcap_word('trim(n.n_name)')} AS country_name,
              {initcap_word('trim(r.r_name)')} AS region
-      FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey AND r.r_regionkey < 3
+      FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey 
     ) s
   ) f
 )"""
@@ -45,29 +44,32 @@ dim_date AS (
 SQL_DIM_PARTY = f"""
 orientation AS (SELECT * FROM {values(K.PARTY_ORIENTATION, ['party_id', 'orientation'])}),
 party_db AS (
-  SELECT DISTINCT CAST(split_part(p_brand, '#', 2) AS INTEGER) AS party_id, trim(p_brand) AS name FROM part
+  SELECT min(CAST(split_part(p_brand, '#', 2) AS INTEGER)) AS party_id, trim(p_brand) AS name FROM part
+  WHERE p_brand IS NOT NULL GROUP BY trim(p_brand)
 ),
 party_csv AS (
-  SELECT CAST(1000 + row_number() OVER (ORDER BY name) AS INTEGER) AS party_id, name, 'unknown' AS orientation
+  SELECT CAST((SELECT greatest(1000, max(party_id)) FROM party_db) + row_number() OVER (ORDER BY name) AS INTEGER) AS party_id,
+         name, 'unknown' AS orientation
   FROM (SELECT DISTINCT trim(p_type) AS name FROM part WHERE p_type IS NOT NULL) x
+  WHERE name NOT IN (SELECT name FROM party_db)
 ),
 party_all AS (
-  SELECT DISTINCT * FROM (
-    SELECT d.party_id, d.name, o.orientation FROM party_db d LEFT JOIN orientation o ON d.party_id = o.party_id
-    UNION ALL SELECT party_id, name, orientation FROM party_csv) u
+  SELECT d.party_id, d.name, o.orientation FROM party_db d LEFT JOIN orientation o ON d.party_id = o.party_id
+  UNION ALL SELECT party_id, name, orientation FROM party_csv
 ),
 dim_party AS (
-  SELECT row_number() OVER (ORDER BY party_id, name, orientation NULLS FIRST) AS party_tk, party_id, name, orientation
+  SELECT row_number() OVER (ORDER BY party_id, name) AS party_tk, party_id, name, orientation
   FROM party_all
 )"""
 
 SQL_DIM_ELECTION = """
 dim_election AS (
-  SELECT row_number() OVER (ORDER BY e.election_id, e.election_date) AS election_tk, e.election_id, d.date_tk, c.country_tk
+  SELECT row_number() OVER (ORDER BY e.election_id, e.election_date, e.country_id) AS election_tk, e.election_id, d.date_tk, c.country_tk
   FROM (
-    SELECT CAST(o.o_orderkey AS BIGINT) AS election_id, CAST(o.o_orderdate AS DATE) AS election_date,
+    SELECT DISTINCT CAST(o.o_orderkey AS BIGINT) AS election_id, CAST(o.o_orderdate AS DATE) AS election_date,
            CAST(cu.c_nationkey AS BIGINT) AS country_id
-    FROM orders o LEFT JOIN customer cu ON o.o_custkey = cu.c_custkey
+    FROM orders o JOIN customer cu ON o.o_custkey = cu.c_custkey
+    WHERE o.o_orderkey IS NOT NULL AND o.o_orderdate IS NOT NULL AND cu.c_nationkey IS NOT NULL
   ) e
   LEFT JOIN dim_date d ON e.election_date = d.full_date
   LEFT JOIN dim_country c ON e.country_id = c.country_id
@@ -76,6 +78,11 @@ dim_election AS (
 SQL_FEED = f"""
 feed AS (
   SELECT l.l_orderkey AS election_id, o.o_orderdate AS time, n.n_name AS territory_name, p.p_brand AS party,
+         l.l_linenumber + p.p_size AS total_mandates, p.p_size AS available_mandates,
+         p.p_size * 2 AS num_parishes, p.p_size AS num_parishes_approved,
+         CASE WHEN l.l_returnflag = 'R' THEN CAST(l.l_quantity AS BIGINT) ELSE 0 END / nullif(CAST(l.l_quantity AS BIGINT), 0) * 100 AS blank_votes_percentage,
+         CASE WHEN l.l_returnflag = 'A' THEN CAST(l.l_quantity AS BIGINT) ELSE 0 END / nullif(CAST(l.l_quantity AS BIGINT), 0) * 100 AS null_votes_percentage,
+         CAST(l.l_quantity AS BIGINT) / nullif(CAST(l.l_quantity AS BIGINT) * 2, 0) * 100 AS voters_percentage,
          l.l_linenumber AS mandates, CAST(l.l_quantity AS BIGINT) AS votes,
          l.l_discount * 100 AS percentage, l.l_tax * 100 AS valid_votes_percentage,
          l.l_linenumber AS final_mandates,
@@ -86,10 +93,10 @@ feed AS (
          CAST(0 AS BIGINT) AS pre_null_votes,
          CAST(l.l_quantity AS BIGINT) / nullif(CAST(l.l_quantity AS BIGINT) * 2, 0) * 100 AS historical_turnout,
          {', '.join('l.' + c for c in LINEITEM_ORDER)}
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-       JOIN customer c ON o.o_custkey = c.c_custkey
-       JOIN nation n ON c.c_nationkey = n.n_nationkey
-       JOIN part p ON l.l_partkey = p.p_partkey
+  FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
+       LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+       LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+       LEFT JOIN part p ON l.l_partkey = p.p_partkey
 )"""
 
 MEASURE_SQL = ", ".join(f"f.{m}" for m in FEED_MEASURES)
@@ -109,20 +116,19 @@ def build_dim_party(t: Tables):
 
 
 def build_dim_election(t: Tables, dim_date_df=None, dim_country_df=None):
-    # both dimensions are size-checked before being broadcast: keep them
     return dims.dim_election(election_source(t),
-                             dim_date_df if dim_date_df is not None else keep(build_dim_date(t)),
-                             dim_country_df if dim_country_df is not None else keep(build_dim_country(t)))
+                             dim_date_df if dim_date_df is not None else build_dim_date(t),
+                             dim_country_df if dim_country_df is not None else build_dim_country(t))
 
 
-def build_fact(t: Tables, dim_country_df=None, dim_date_df=None, dim_party_df=None, dim_election_df=None):
-    # the bounded dimensions are read by both the election dimension and the
-    # fact: build each once
-    dc = dim_country_df if dim_country_df is not None else keep(build_dim_country(t))
-    dd = dim_date_df if dim_date_df is not None else keep(build_dim_date(t))
-    dp = dim_party_df if dim_party_df is not None else keep(build_dim_party(t))
+def build_fact(t: Tables, dim_country_df=None, dim_date_df=None, dim_party_df=None, dim_election_df=None, dim_history_df=None):
+    # a dimension's dense key has stored it: each is built once and read again
+    dc = dim_country_df if dim_country_df is not None else build_dim_country(t)
+    dd = dim_date_df if dim_date_df is not None else build_dim_date(t)
+    dp = dim_party_df if dim_party_df is not None else build_dim_party(t)
     de = dim_election_df if dim_election_df is not None else build_dim_election(t, dd, dc)
-    return facts.fact_election_result(wide_feed(t), de, dc, dd, dp, FEED_MEASURES, LINEITEM_ORDER)
+    dh = dim_history_df if dim_history_df is not None else build_dim_history(t)
+    return facts.fact_election_result(wide_feed(t, "fact_id"), de, dc, dd, dp, dh, FEED_MEASURES)
 
 
 # ------------------------------------------------------------------ D1-D5, D9
@@ -146,22 +152,19 @@ def q_dim_election(spark, sf_dir):
     return build_dim_election(Tables(spark, sf_dir))
 
 
-@query("fact_table", f"""
-WITH {SQL_DIM_COUNTRY}, {SQL_DIM_DATE}, {SQL_DIM_PARTY}, {SQL_DIM_ELECTION}, {SQL_FEED},
-seq AS (
-  SELECT *, row_number() OVER (PARTITION BY election_id ORDER BY time DESC, {LI_ORDER_DESC}) AS rn_desc FROM feed
-)
-SELECT row_number() OVER (ORDER BY e.election_tk NULLS FIRST, dp.party_tk NULLS FIRST, {', '.join('f.' + c for c in LINEITEM_ORDER)}) AS fact_id,
-       e.election_tk, dc.country_tk, dd.date_tk, dp.party_tk, {MEASURE_SQL},
-       CASE WHEN f.rn_desc = 1 THEN 'official' ELSE 'preliminary' END AS result_type
-FROM seq f
-LEFT JOIN dim_election e ON f.election_id = e.election_id
-LEFT JOIN dim_country dc ON {initcap_word('trim(f.territory_name)')} = dc.country_name
-LEFT JOIN dim_date dd ON CAST(f.time AS DATE) = dd.full_date
-LEFT JOIN dim_party dp ON f.party = dp.name
-""")
-def q_fact_table(spark, sf_dir):
-    return build_fact(Tables(spark, sf_dir))
+SQL_FACT = f"""
+fact AS (
+  SELECT f.fact_id, e.election_tk, dc.country_tk, dd.date_tk, dp.party_tk, eh.election_history_tk, {MEASURE_SQL},
+         CASE WHEN f.fact_id = max(f.fact_id) OVER (PARTITION BY f.election_id) THEN 'official' ELSE 'preliminary' END AS result_type
+  FROM (SELECT *, row_number() OVER (ORDER BY {LI_COLS}) AS fact_id FROM feed) f
+  LEFT JOIN (SELECT election_id, min(election_tk) AS election_tk FROM dim_election GROUP BY 1) e ON f.election_id = e.election_id
+  LEFT JOIN (SELECT election_id, min(election_history_tk) AS election_history_tk FROM dim_election_history GROUP BY 1) eh
+         ON f.election_id = eh.election_id
+  LEFT JOIN dim_country dc ON {initcap_word('trim(f.territory_name)')} = dc.country_name
+  LEFT JOIN dim_date dd ON CAST(f.time AS DATE) = dd.full_date
+  LEFT JOIN dim_party dp ON f.party = dp.name
+)"""
+
 
 
 # ------------------------------------------------------------------ more SQL CTEs
@@ -195,6 +198,14 @@ dim_election_history AS (
                AS election_history_tk, * FROM (SELECT DISTINCT * FROM hsrc) d) k
 )"""
 
+SQL_STAR = ", ".join([SQL_DIM_COUNTRY, SQL_DIM_DATE, SQL_DIM_PARTY, SQL_DIM_PERSON, SQL_DIM_ELECTION, SQL_HISTORY_SRC, SQL_DIM_HISTORY, SQL_FEED, SQL_FACT])
+
+
+@query("fact_table", f"WITH {SQL_STAR} SELECT * FROM fact")
+def q_fact_table(spark, sf_dir):
+    return build_fact(Tables(spark, sf_dir))
+
+
 SQL_SCD2 = """
 SELECT user_id, event_id, event_type, value, row_number() OVER w AS version, ts AS date_from,
        coalesce(lead(ts) OVER w, TIMESTAMP '9999-12-31 23:59:59') AS date_to, lead(ts) OVER w IS NULL AS is_current
@@ -243,9 +254,9 @@ SCD2_COLS = ["user_id", "event_id", "event_type", "value", "version", "date_from
 # ------------------------------------------------------------------ W1-W8
 @query("surrogate_key", "SELECT row_number() OVER (ORDER BY n_name) AS nation_tk, n_nationkey, n_name FROM nation")
 def q_surrogate_key(spark, sf_dir):
-    from starloom.operators.keys import row_number_key
+    from starloom.operators.keys import dense_key
     n = Tables(spark, sf_dir).nation.select("n_nationkey", "n_name")
-    return row_number_key(n, ["n_name"], "nation_tk")  # nations: bounded
+    return dense_key(n, ["n_name"], "nation_tk")
 
 
 @query("surrogate_key_large", f"SELECT row_number() OVER (ORDER BY {LI_COLS}) AS line_tk, * FROM lineitem")
@@ -277,25 +288,25 @@ def q_lead_interval(spark, sf_dir):
 @query("offset_key", """
 SELECT row_number() OVER (ORDER BY p_brand) + 1000 AS party_id, p_brand AS name FROM (SELECT DISTINCT p_brand FROM part) x""")
 def q_offset_key(spark, sf_dir):
-    from starloom.operators.keys import row_number_key
+    from starloom.operators.keys import dense_key
     b = Tables(spark, sf_dir).part.select(F.col("p_brand").alias("name")).distinct()
-    return row_number_key(b, ["name"], "party_id", offset=1000)  # brands: bounded
+    return dense_key(b, ["name"], "party_id", offset=1000)
 
 
 @query("continue_key", """
 WITH e AS (SELECT row_number() OVER (ORDER BY name) AS id, name
-           FROM (SELECT DISTINCT p_brand || ' ' || p_name AS name FROM part WHERE p_partkey < 1000) x
+           FROM (SELECT DISTINCT p_brand || ' ' || p_name AS name FROM part WHERE p_partkey % 3 = 0) x
            WHERE name IS NOT NULL),
-n AS (SELECT DISTINCT p_brand || ' ' || p_name AS name FROM part WHERE p_partkey >= 1000)
+n AS (SELECT DISTINCT p_brand || ' ' || p_name AS name FROM part WHERE p_partkey % 3 <> 0)
 SELECT (SELECT coalesce(max(id), 0) FROM e) + row_number() OVER (ORDER BY name) AS id, name
 FROM n WHERE name IS NOT NULL AND NOT EXISTS (SELECT 1 FROM e WHERE e.name = n.name)""")
 def q_continue_key(spark, sf_dir):
-    from starloom.operators.keys import continue_key, surrogate_key
+    from starloom.operators.keys import continue_key, dense_key
     from starloom.operators.lookup import anti_new
     p = Tables(spark, sf_dir).part.select("p_partkey", F.concat("p_brand", F.lit(" "), "p_name").alias("name"))
     p = p.where(F.col("name").isNotNull())
-    existing = surrogate_key(p.where(F.col("p_partkey") < 1000).select("name").distinct(), ["name"], "id")
-    fresh = p.where(F.col("p_partkey") >= 1000).select("name").distinct()
+    existing = dense_key(p.where(F.col("p_partkey") % 3 == 0).select("name").distinct(), ["name"], "id")
+    fresh = p.where(F.col("p_partkey") % 3 != 0).select("name").distinct()
     return continue_key(anti_new(fresh, existing, ["name"]), existing, "id", ["name"], "id").select("id", "name")
 
 
@@ -372,10 +383,71 @@ def q_scd2_merge(spark, sf_dir):
     return new.select(*SCD2_COLS)
 
 
+SQL_TRACKED = """
+SELECT user_id, event_id, event_type, value, row_number() OVER w AS version, hour AS date_from,
+       coalesce(lead(hour) OVER w, TIMESTAMP '9999-12-31 23:59:59') AS date_to, lead(event_id) OVER w IS NULL AS is_current
+FROM (SELECT * FROM (SELECT user_id, event_id, event_type, value, date_trunc('hour', ts) AS hour,
+                            lag(event_type) OVER (PARTITION BY user_id ORDER BY date_trunc('hour', ts), event_id) AS before,
+                            row_number() OVER (PARTITION BY user_id ORDER BY date_trunc('hour', ts), event_id) AS rn FROM events) x
+      WHERE rn = 1 OR before IS DISTINCT FROM event_type) y
+WINDOW w AS (PARTITION BY user_id ORDER BY hour, event_id)"""
+
+
+@query("scd2_track", SQL_TRACKED)
+def q_scd2_track(spark, sf_dir):
+    """History of each user's event type: repeated values are no versions,
+    and times cut to the hour make many rows tie."""
+    from starloom.operators.scd2 import build_history
+    e = _events(Tables(spark, sf_dir)).withColumn("ts", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+    return build_history(e, "user_id", "ts", ["event_id"], track=["event_type"]).select(*SCD2_COLS)
+
+
+@query("scd2_late", SQL_SCD2)
+def q_scd2_late(spark, sf_dir):
+    """Three batches out of order: the first third of the month comes last."""
+    from starloom.operators.scd2 import build_history, merge_history
+    e = _events(Tables(spark, sf_dir))
+    third = F.dayofmonth("ts") % 3
+    history = build_history(e.where(third == 1), "user_id", "ts", ["event_id"])
+    for k in (2, 0):
+        history = merge_history(history, e.where(third == k), "user_id", "ts", ["event_id"])
+    return history.select(*SCD2_COLS)
+
+
+@query("scd2_load_time", """
+WITH o AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY load, date_from, ts, event_id) AS version,
+                  lead(date_from) OVER (PARTITION BY user_id ORDER BY load, date_from, ts, event_id) AS upto
+           FROM (SELECT user_id, event_id, event_type, value, ts, CASE WHEN event_id % 2 = 0 THEN ts ELSE TIMESTAMP '2030-01-01 00:00:00' END AS date_from,
+                        CAST(event_id % 2 AS INTEGER) AS load FROM events) x)
+SELECT user_id, event_id, event_type, value, version, date_from, coalesce(upto, TIMESTAMP '9999-12-31 23:59:59') AS date_to,
+       upto IS NULL AS is_current FROM o""")
+def q_scd2_load_time(spark, sf_dir):
+    """Load-time stamping: the second batch opens at its load time and closes
+    what was current then."""
+    from starloom.operators.scd2 import build_history, merge_history
+    e = _events(Tables(spark, sf_dir))
+    old = build_history(e.where(F.col("event_id") % 2 == 0), "user_id", "ts", ["event_id"])
+    new = merge_history(old, e.where(F.col("event_id") % 2 != 0), "user_id", "ts", ["event_id"], load_ts="2030-01-01 00:00:00")
+    return new.select(*SCD2_COLS)
+
+
+@query("dim_election_two_sources", f"WITH {SQL_DIM_COUNTRY}, {SQL_DIM_DATE}, {SQL_DIM_ELECTION} SELECT * FROM dim_election")
+def q_dim_election_two_sources(spark, sf_dir):
+    """The election dimension from two overlapping slices of the orders."""
+    t = Tables(spark, sf_dir)
+    e = election_source(t)
+    return dims.dim_election(e.where(F.col("election_id") % 3 != 0), build_dim_date(t), build_dim_country(t),
+                             csv=e.where(F.col("election_id") % 3 != 1))
+
+
 # ------------------------------------------------------------------ D10 normalise
-def _numbered(t: Tables):
-    from starloom.plans.normalize import numbered_feed
-    return numbered_feed(wide_feed(t), LINEITEM_ORDER)
+SQL_CLEAN_TERRITORY = initcap_word('trim(f.territory_name)')
+
+
+def numbered_feed(t: Tables):
+    """The feed with one election per row, numbered in line-item order."""
+    f = wide_feed(t, "_line")
+    return f.withColumn("election_id", F.col("_line")).drop("_line")
 
 
 @query("normalize_country", f"WITH {SQL_FEED}, {SQL_NORM_COUNTRY} SELECT * FROM ncountry")
@@ -396,7 +468,7 @@ SELECT f.election_id AS id, f.time AS year, {', '.join('f.' + m for m in ELECTIO
 FROM nfeed f LEFT JOIN ncountry c ON {initcap_word('trim(f.territory_name)')} = c.name""")
 def q_normalize_election(spark, sf_dir):
     from starloom.plans.normalize import countries, elections
-    numbered = _numbered(Tables(spark, sf_dir))  # kept: the country list reads it too
+    numbered = numbered_feed(Tables(spark, sf_dir))
     return elections(numbered, countries(numbered), ELECTION_MEASURES)
 
 
@@ -406,7 +478,7 @@ SELECT f.election_id AS id, f.election_id, p.id AS party_id, {', '.join('f.' + m
 FROM nfeed f LEFT JOIN nparty p ON trim(f.party) = p.name""")
 def q_normalize_result(spark, sf_dir):
     from starloom.plans.normalize import parties, results
-    numbered = _numbered(Tables(spark, sf_dir))  # kept: the party list reads it too
+    numbered = numbered_feed(Tables(spark, sf_dir))
     return results(numbered, parties(numbered), RESULT_MEASURES)
 
 
@@ -415,14 +487,14 @@ WITH {SQL_FEED}, {SQL_NUMBERED_FEED}
 SELECT election_id AS id, election_id, pre_blank_votes, pre_null_votes, historical_turnout FROM nfeed""")
 def q_normalize_history(spark, sf_dir):
     from starloom.plans.normalize import histories
-    return histories(_numbered(Tables(spark, sf_dir)))
+    return histories(numbered_feed(Tables(spark, sf_dir)))
 
 
 # ------------------------------------------------------------------ D11-D16
 @query("incremental_dim_load", """
 WITH p AS (SELECT p_partkey, p_brand || ' ' || p_name AS name FROM part),
 e AS (SELECT row_number() OVER (ORDER BY name) AS id, name
-      FROM (SELECT DISTINCT name FROM p WHERE p_partkey < 1000 AND name IS NOT NULL) x),
+      FROM (SELECT DISTINCT name FROM p WHERE p_partkey % 3 = 0 AND name IS NOT NULL) x),
 n AS (SELECT DISTINCT name FROM p WHERE name IS NOT NULL AND name NOT IN (SELECT name FROM e))
 SELECT id, name FROM e
 UNION ALL
@@ -430,21 +502,17 @@ SELECT (SELECT coalesce(max(id), 0) FROM e) + row_number() OVER (ORDER BY name)
 def q_incremental_dim_load(spark, sf_dir):
     from starloom.plans.generate import incremental_load
     p = Tables(spark, sf_dir).part.select("p_partkey", F.concat("p_brand", F.lit(" "), "p_name").alias("name"))
-    first = incremental_load(None, p.where(F.col("p_partkey") < 1000), "name")
+    first = incremental_load(None, p.where(F.col("p_partkey") % 3 == 0), "name")
     return incremental_load(first, p, "name")
 
 
 @query("impute_from_pool", f"""
-SELECT n.n_nationkey, n.n_name, coalesce(r.r_name, {pick('n.n_name', 'region|', K.REGIONS)}) AS region
-FROM nation n LEFT JOIN (SELECT * FROM region WHERE r_regionkey < 3) r ON n.n_regionkey = r.r_regionkey""")
+SELECT n.n_nationkey, n.n_name, coalesce(CASE WHEN n.n_nationkey % 3 <> 0 THEN r.r_name END, {pick('n.n_name', 'region|', K.REGIONS)}) AS region
+FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""")
 def q_impute_from_pool(spark, sf_dir):
-    from starloom.plans.feeds import known_regions
+    from starloom.plans.feeds import nation_regions
     from starloom.plans.generate import impute_from_pool
-    from starloom.operators.lookup import join_dim
-    t = Tables(spark, sf_dir)
-    r = known_regions(t)
-    j = join_dim(t.nation, r, t.nation["n_regionkey"] == r["r_regionkey"], "left", bounded=True)
-    j = j.select("n_nationkey", "n_name", F.col("r_name").alias("region"))
+    j = nation_regions(Tables(spark, sf_dir)).select("n_nationkey", "n_name", F.col("r_name").alias("region"))
     return impute_from_pool(j, "region", "n_name", K.REGIONS, "region|")
 
 
@@ -502,9 +570,9 @@ FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey LEFT JOIN re
 def q_hierarchy_paths(spark, sf_dir):
     t = Tables(spark, sf_dir)
     geo = t.nation.join(t.region, t.nation["n_regionkey"] == t.region["r_regionkey"], "left") \
-        .select("n_nationkey", "n_name", "r_name")  # nations × regions: bounded
+        .select("n_nationkey", "n_name", "r_name")
     s = t.supplier.select("s_suppkey", "s_name", "s_nationkey")
-    return s.join(F.broadcast(geo), s["s_nationkey"] == geo["n_nationkey"], "left") \
+    return s.join(geo, s["s_nationkey"] == geo["n_nationkey"], "left") \
         .select("s_suppkey", "s_name", "n_name", "r_name")
 
 
@@ -529,8 +597,7 @@ def q_join_on_calendar_date(spark, sf_dir):
     from starloom.operators.lookup import join_dim
     t = Tables(spark, sf_dir)
     e = t.events.select("event_id", "ts").withColumn("full_date", F.col("ts").cast("date"))
-    # a calendar has at most 366 rows a year: bounded, broadcast
-    return join_dim(e, build_dim_date(t).select("full_date", "date_tk"), "full_date", "left", bounded=True) \
+    return join_dim(e, build_dim_date(t).select("full_date", "date_tk"), "full_date", "left") \
         .select("event_id", "ts", "date_tk", "full_date")
 
 
@@ -568,20 +635,20 @@ def q_election_feed_load(spark, sf_dir):
     night, and number them after the election dimension's current maximum."""
     from starloom.operators.keys import continue_key
     from starloom.plans.generate import spread_in_group
-    from starloom.operators.lookup import BROADCAST_MAX_ROWS, join_dim
+    from starloom.operators.lookup import join_dim
     t = Tables(spark, sf_dir)
-    dd, dc = keep(build_dim_date(t)), keep(build_dim_country(t))
+    dd, dc = build_dim_date(t), build_dim_country(t)
     n = t.nation.select("n_nationkey", "n_name")
     c = t.customer.select("c_custkey", "c_nationkey")
     feed = (t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
             .join(c, F.col("o_custkey") == c["c_custkey"])
-            .join(F.broadcast(n), F.col("c_nationkey") == n["n_nationkey"])  # nations: bounded
+            .join(n, F.col("c_nationkey") == n["n_nationkey"])
             .select("o_orderkey", F.col("o_orderdate").cast("date").alias("d"), F.col("n_name").alias("territory")))
     feed = feed.withColumn("_nk", _name_key("territory"))
     date_map = dd.select(F.col("full_date").alias("d"), "date_tk")
     country_map = dc.select(_name_key("country_name").alias("_nk"), "country_id")
-    m = join_dim(feed, date_map, "d", "left", max_rows=BROADCAST_MAX_ROWS)
-    m = join_dim(m, country_map, "_nk", "left", max_rows=BROADCAST_MAX_ROWS)
+    m = join_dim(feed, date_map, "d", "left")
+    m = join_dim(m, country_map, "_nk", "left")
     m = m.dropna(subset=["date_tk", "country_id"]).select("o_orderkey", "d", "date_tk", "country_id")
     spread = spread_in_group(m, ["date_tk", "country_id"], ["o_orderkey"], "d")
     keyed = continue_key(spread, build_dim_election(t, dd, dc), "election_tk", ["o_orderkey"], "election_tk")

@@ -27,11 +27,14 @@ STAR_SCHEMAS = {
                                ("historical_turnout", _D, True), ("date_from", _TS, True),
                                ("date_to", _TS, True)),
     "fact_election_result": _s(("fact_id", _L, False), ("election_tk", _L, True), ("country_tk", _L, True),
-                               ("date_tk", _L, True), ("party_tk", _L, True), ("mandates", _I, True),
-                               ("votes", _L, True), ("percentage", _D, True),
-                               ("valid_votes_percentage", _D, True), ("final_mandates", _I, True),
-                               ("blank_votes", _L, True), ("null_votes", _L, True),
+                               ("date_tk", _L, True), ("party_tk", _L, True),
+                               ("election_history_tk", _L, True), ("total_mandates", _I, True),
+                               ("available_mandates", _I, True), ("num_parishes", _I, True),
+                               ("num_parishes_approved", _I, True), ("blank_votes", _L, True),
+                               ("blank_votes_percentage", _D, True), ("null_votes", _L, True),
+                               ("null_votes_percentage", _D, True), ("voters_percentage", _D, True),
                                ("subscribed_voters", _L, True), ("total_voters", _L, True),
-                               ("pre_blank_votes", _L, True), ("pre_null_votes", _L, True),
-                               ("historical_turnout", _D, True), ("result_type", _S, True)),
+                               ("mandates", _I, True), ("votes", _L, True), ("percentage", _D, True),
+                               ("valid_votes_percentage", _D, True), ("final_mandates", _I, True),
+                               ("result_type", _S, True)),
 }

@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 
 def initcap_word(x: str) -> str:
-    """Capitalise a one-word text (no ``initcap`` in the oracle engine)."""
-    return f"(upper(left({x},1))||lower(substr({x},2)))"
+    """Capitalise each word of a text (no ``initcap`` in the oracle engine)."""
+    return f"array_to_string([upper(left(w, 1)) || lower(substr(w, 2)) FOR w IN string_split({x}, ' ')], ' ')"
 
 
 def bucket(key_sql: str, salt: str, n: int) -> str:

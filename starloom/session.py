@@ -22,7 +22,7 @@ _BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # checkpoint files of dense keys are removed once their frames are gone
+    # checkpoint files are removed once their frames are gone
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
@@ -45,9 +45,11 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
 def get_session(master: str | None = None, app: str = "starloom",
                 shuffle_partitions: int | None = None,
                 extra: dict | None = None, input_bytes: int | None = None,
-                total_cores: int | None = None) -> SparkSession:
+                total_cores: int | None = None, shared_dir: str | None = None) -> SparkSession:
     """Build (or reuse) the session. ``master`` is only set for local runs;
-    on a cluster the launcher decides.  ``input_bytes``/``total_cores`` size
+    on a cluster the launcher decides.  ``shared_dir`` names the folder for
+    checkpoints and scratch tables where ``spark.checkpoint.dir`` is not set
+    by the launcher.  ``input_bytes``/``total_cores`` size
     the partitions with ``scale_conf``."""
     b = SparkSession.builder.appName(app)
     if master:
@@ -57,6 +59,8 @@ def get_session(master: str | None = None, app: str = "starloom",
         conf.update(scale_conf(input_bytes, total_cores))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shared_dir:
+        conf["spark.checkpoint.dir"] = shared_dir
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -67,7 +71,9 @@ def get_session(master: str | None = None, app: str = "starloom",
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """One JVM on one machine (``local``, ``local[n]``; not ``local-cluster``)."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

@@ -39,17 +39,23 @@ def load_all(spark: SparkSession, outputs: Mapping[str, DataFrame], base: str,
     return paths
 
 
-def written_counts(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
-    """(table_name, row_count) read back from storage: the load audit."""
-    frames = [spark.read.parquet(p).agg(F.count(F.lit(1)).alias("row_count"))
-              .withColumn("table_name", F.lit(n)) for n, p in paths.items()]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
+def written_digests(spark: SparkSession, paths: Mapping[str, str], columns: Mapping[str, Sequence[str]]) -> DataFrame:
+    """(table_name, row_count, contents) read back from storage: the load
+    audit.  ``contents`` sums a 32-bit hash of each row's ``columns``, so it
+    does not depend on row order and wrong values show."""
+    out = None
+    for name, path in paths.items():
+        text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns[name]])
+        row = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+        one = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(row), F.lit(0).cast("bigint")).alias("contents"))
+        one = one.select(F.lit(name).alias("table_name"), "row_count", "contents")
+        out = one if out is None else out.unionByName(one)
     return out
 
 
-def create_empty(spark: SparkSession, schema: T.StructType, path: str) -> str:
-    """Create a declared table (no rows) from its schema."""
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
-    return path
+def create_table(spark: SparkSession, name: str, schema: T.StructType, path: str) -> None:
+    """Declare ``name`` in the catalog with the schema's types and NOT NULL
+    marks, empty, stored under ``path``; an old table of that name is dropped."""
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in schema)
+    spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+    spark.sql(f"CREATE TABLE `{name}` ({cols}) USING parquet LOCATION '{path}'")

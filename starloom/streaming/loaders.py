@@ -14,21 +14,28 @@ re-runs the last uncommitted epoch with the same data) rewrites the same
 folder with the same rows: the sink is idempotent.  A snapshot counts once
 its batch id is appended to ``<target>/_manifest``; readers take the highest
 committed batch (``latest_snapshot``).  The stream's own checkpoint
-lives under the shared ``spark.checkpoint.dir``.
+lives under the target, by the stream's name: a second run on the same target
+goes on where the first one stopped.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.operators.scd2 import build_history, merge_history
 from starloom.plans.generate import incremental_load
-from starloom.session import scratch_path
+
+
+def _manifest(spark: SparkSession, target: str) -> str:
+    """The manifest's path; created empty where there is none.  A manifest
+    that cannot be read stays an error."""
+    path = f"{target}/_manifest"
+    spark.createDataFrame([], "batch_id long").write.mode("ignore").parquet(path)
+    return path
 
 
 def _commit(spark: SparkSession, target: str, batch_id: int) -> None:
@@ -39,10 +46,7 @@ def _commit(spark: SparkSession, target: str, batch_id: int) -> None:
 
 def latest_snapshot(spark: SparkSession, target: str, before: int | None = None) -> DataFrame | None:
     """The newest committed snapshot (optionally older than batch ``before``)."""
-    try:
-        m = spark.read.parquet(f"{target}/_manifest")
-    except AnalysisException:  # nothing committed yet
-        return None
+    m = spark.read.parquet(_manifest(spark, target))
     if before is not None:
         m = m.where(F.col("batch_id") < before)
     last = m.agg(F.max("batch_id")).first()[0]
@@ -93,6 +97,6 @@ def run_feed(spark: SparkSession, source_dir: str, schema: T.StructType, sink, n
     if fmt == "csv":
         r = r.option("header", True)
     q = (r.load(source_dir).writeStream.foreachBatch(sink)
-         .option("checkpointLocation", scratch_path(spark, f"stream-{name}"))
+         .option("checkpointLocation", f"{sink.target}/_stream-{name}")
          .trigger(availableNow=True).start())
     q.awaitTermination()

@@ -18,13 +18,6 @@ def spark():
     s.stop()
 
 
-@pytest.fixture(autouse=True)
-def _release_kept():
-    yield
-    from starloom.operators.cache import release
-    release()
-
-
 def rows(df, *cols):
     """Sorted list of tuples (order-free comparison)."""
     cols = cols or df.columns

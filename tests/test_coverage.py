@@ -1,13 +1,12 @@
 """Every query key named in SURVEY §2 is registered, except the documented
-ones (JDBC keys need a database; the pipeline key is registered as
-``star_build``)."""
+ones (JDBC keys need a database)."""
 
 import os
 import re
 
 from __spark_entry__ import oracle_sql, queries
 
-NOT_REGISTERED = {"jdbc_scan", "jdbc_append", "star_pipeline", "time"}
+NOT_REGISTERED = {"jdbc_scan", "jdbc_append", "time"}
 
 
 def _survey_keys():

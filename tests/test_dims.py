@@ -113,3 +113,36 @@ def test_hour_slots(spark):
     s = hour_slots(d, "d")
     assert [r.slot_ts.hour for r in s.orderBy("slot_ts").collect()] == [18, 19, 20, 21, 22]
     assert last_slot(s).first().last_slot_ts.hour == 22
+
+
+def test_dim_party_name_in_both_sources(spark):
+    db = spark.createDataFrame([(1, "X"), (2, " X "), (1500, "Y")], "id int, name string")
+    csv = spark.createDataFrame([("X",), ("Z",)], "Party string")
+    got = rows(dims.dim_party(db, csv), "party_id", "name")
+    assert got == [(1, "X"), (1500, "Y"), (1501, "Z")]   # one row per name, ids never clash
+
+
+def test_dim_election_two_sources(spark):
+    import datetime as dt
+    dates = spark.createDataFrame([(dt.date(2024, 1, 1), 1), (dt.date(2024, 1, 2), 2)], "full_date date, date_tk long")
+    countries = spark.createDataFrame([(7, 70)], "country_id long, country_tk long")
+    schema = "election_id long, year string, country_id long"
+    db = spark.createDataFrame([(1, "2024-01-01 00:00:00", 7), (1, "2024-01-02 00:00:00", 7), (2, "bad", 7), (3, "2024-01-01 00:00:00", None)], schema)
+    csv = spark.createDataFrame([(1, "2024-01-01 00:00:00", 7), (4, "2024-01-02 00:00:00", 8)], schema)
+    got = rows(dims.dim_election(db, dates, countries, csv=csv))
+    assert got == [(1, 1, 1, 70), (2, 1, 2, 70), (3, 4, 2, None)]
+
+
+def test_fact_keeps_every_feed_row_and_one_official(spark):
+    import datetime as dt
+    from starloom.plans.facts import fact_election_result
+    t = dt.datetime(2024, 1, 1)
+    feed = spark.createDataFrame([(1, 10, t, "aland", "X", 5), (2, 10, t, "aland", "X", 5), (3, 11, t, None, None, 6)],
+                                 "fact_id long, election_id long, time timestamp_ntz, territory_name string, party string, votes long")
+    election = spark.createDataFrame([(1, 10), (2, 10)], "election_tk long, election_id long")
+    country = spark.createDataFrame([(1, "Aland"), (2, "Aland")], "country_tk long, country_name string")
+    date = spark.createDataFrame([(dt.date(2024, 1, 1), 9)], "full_date date, date_tk long")
+    party = spark.createDataFrame([("X", 4), ("X", 5)], "name string, party_tk long")
+    history = spark.createDataFrame([(10, 3)], "election_id long, election_history_tk long")
+    got = rows(fact_election_result(feed, election, country, date, party, history, ["votes"]))
+    assert got == [(1, 1, 1, 9, 4, 3, 5, "preliminary"), (2, 1, 1, 9, 4, 3, 5, "official"), (3, None, None, 9, None, None, 6, "official")]

@@ -22,7 +22,7 @@ def test_missing_feed_column_defaults(spark):
 def test_unmatched_lookup_keeps_row_with_null_key(spark):
     facts = spark.createDataFrame([(1, 10), (2, 99), (3, None)], "id int, nation int")
     dim = spark.createDataFrame([(10, 7)], "n int, tk long")
-    out = replace_with_key(facts, dim, "nation", "n", "tk", "nation_tk", bounded=True)
+    out = replace_with_key(facts, dim, "nation", "n", "tk", "nation_tk")
     assert rows(out) == [(1, 7), (2, None), (3, None)]
 
 

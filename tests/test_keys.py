@@ -68,17 +68,7 @@ def test_dense_key_splits_hot_leading_value(spark):
     assert hot_parts >= 2
 
 
-def test_dense_key_many_ranges_uses_table(spark, monkeypatch):
-    import starloom.operators.keys as keys
-    monkeypatch.setattr(keys, "INLINE_OFFSETS_MAX", 2)
-    df = _frame(spark, 200)
-    expect = df.withColumn("k", F.row_number().over(Window.orderBy("id")).cast("bigint"))
-    got = keys.dense_key(df, ["id"], "k", num_partitions=7)
-    assert rows(got, "id", "k") == rows(expect, "id", "k")
-
-
-def test_dense_key_persist_variant(spark):
-    df = _frame(spark, 300)
-    expect = df.withColumn("k", F.row_number().over(Window.orderBy("b", "id")).cast("bigint"))
-    got = dense_key(df, ["b", "id"], "k", num_partitions=4, checkpoint=False)
-    assert rows(got, "id", "k") == rows(expect, "id", "k")
+def test_dense_key_total_and_ties(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,), (None,)], "a int")
+    got = dense_key(df, ["a"], "k", num_partitions=3, total="n")
+    assert rows(got, "a", "k", "n") == [(1, 2, 4), (1, 3, 4), (2, 4, 4), (None, 1, 4)]

@@ -25,7 +25,7 @@ def con():
 
 
 def test_every_query_has_oracle_or_is_declared_rows_only():
-    assert set(QUERIES) - set(ORACLE) == {"schema_profile", "create_tables"}
+    assert set(QUERIES) - set(ORACLE) == {"schema_profile"}
 
 
 @pytest.mark.parametrize("key", sorted(ORACLE))

@@ -77,3 +77,20 @@ def test_merge_with_load_time(spark):
     at = dt.datetime(2030, 1, 1, 12)
     assert rows(new, "territory", "version", "date_from", "date_to", "is_current") == [
         ("A", 1, _h(0), at, False), ("A", 2, at, END, True), ("B", 1, at, END, True)]
+
+
+def test_change_detection_with_equal_times(spark):
+    feed = _feed(spark, [("A", _h(0), 1, 1), ("A", _h(1), 2, 1), ("A", _h(1), 3, 2), ("B", _h(1), 4, 2), ("B", _h(1), 5, 2)])
+    h = build_history(feed, "territory", "ts", ["id"], track=["votes"])
+    assert rows(h, "territory", "id", "version", "votes") == [("A", 1, 1, 1), ("A", 3, 2, 2), ("B", 4, 1, 2)]
+
+
+def test_merge_late_rows_equal_full_build(spark):
+    data = [(f"T{i % 3}", _h((7 * i) % 40), i, i) for i in range(40)]
+    feed = _feed(spark, data)
+    h = build_history(feed.where("id >= 30"), "territory", "ts", ["id"])
+    for lo, hi in ((10, 20), (0, 10), (20, 30)):
+        h = merge_history(h, feed.where(f"id >= {lo} AND id < {hi}"), "territory", "ts", ["id"])
+    cols = ["territory", "id", "version", "date_from", "date_to", "is_current"]
+    assert rows(h, *cols) == rows(build_history(feed, "territory", "ts", ["id"]), *cols)
+    assert h.where("date_to < date_from").count() == 0

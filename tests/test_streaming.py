@@ -36,3 +36,23 @@ def test_dim_stream_idempotent_ids(spark):
     target = scratch_path(spark, "dim-target")
     run_feed(spark, src + "/*", names.schema, DimSink(target, "name"), "t-dim", max_files_per_trigger=1)
     assert rows(latest_snapshot(spark, target)) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_second_run_goes_on_where_the_first_stopped(spark):
+    names = spark.createDataFrame([("b",), ("a",), ("c",)], "name string")
+    src, target = scratch_path(spark, "again-src"), scratch_path(spark, "again-target")
+    names.where("name <> 'c'").coalesce(1).write.parquet(f"{src}/part0")
+    run_feed(spark, src + "/*", names.schema, DimSink(target, "name"), "t-again")
+    assert rows(latest_snapshot(spark, target)) == [(1, "a"), (2, "b")]
+    names.coalesce(1).write.parquet(f"{src}/part1")
+    run_feed(spark, src + "/*", names.schema, DimSink(target, "name"), "t-again")
+    assert rows(latest_snapshot(spark, target)) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_nothing_committed_and_broken_manifest(spark):
+    import pytest
+    target = scratch_path(spark, "no-target")
+    assert latest_snapshot(spark, target) is None
+    spark.createDataFrame([("x",)], "other string").write.mode("overwrite").parquet(f"{target}/_manifest")
+    with pytest.raises(Exception):
+        latest_snapshot(spark, target)
