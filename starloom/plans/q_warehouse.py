@@ -491,14 +491,17 @@ def q_normalize_history(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ D11-D16
-@query("incremental_dim_load", """
+SQL_INCREMENTAL = """
 WITH p AS (SELECT p_partkey, p_brand || ' ' || p_name AS name FROM part),
 e AS (SELECT row_number() OVER (ORDER BY name) AS id, name
       FROM (SELECT DISTINCT name FROM p WHERE p_partkey % 3 = 0 AND name IS NOT NULL) x),
 n AS (SELECT DISTINCT name FROM p WHERE name IS NOT NULL AND name NOT IN (SELECT name FROM e))
 SELECT id, name FROM e
 UNION ALL
-SELECT (SELECT coalesce(max(id), 0) FROM e) + row_number() OVER (ORDER BY name) AS id, name FROM n""")
+SELECT (SELECT coalesce(max(id), 0) FROM e) + row_number() OVER (ORDER BY name) AS id, name FROM n"""
+
+
+@query("incremental_dim_load", SQL_INCREMENTAL)
 def q_incremental_dim_load(spark, sf_dir):
     from starloom.plans.generate import incremental_load
     p = Tables(spark, sf_dir).part.select("p_partkey", F.concat("p_brand", F.lit(" "), "p_name").alias("name"))
@@ -578,14 +581,15 @@ def q_hierarchy_paths(spark, sf_dir):
 
 @query("scd2_stream", SQL_SCD2)
 def q_scd2_stream(spark, sf_dir):
-    """The events table consumed as a stream; each micro-batch is merged
-    into the SCD2 history snapshot (foreachBatch)."""
+    """The events consumed as a stream of several files, one per micro-batch,
+    whose times overlap; each is merged into the SCD2 history snapshot
+    (foreachBatch)."""
     from starloom.session import scratch_path
     from starloom.streaming.loaders import Scd2Sink, latest_snapshot, run_feed
-    schema = Tables(spark, sf_dir).events.schema
-    target = scratch_path(spark, "scd2-stream")
-    run_feed(spark, sf_dir, schema, Scd2Sink(target, "user_id", "ts", ["event_id"]), "scd2",
-             file_glob="events.parquet")
+    events = Tables(spark, sf_dir).events
+    source, target = scratch_path(spark, "scd2-source"), scratch_path(spark, "scd2-stream")
+    events.repartition(3).write.parquet(source)
+    run_feed(spark, source, events.schema, Scd2Sink(target, "user_id", "ts", ["event_id"]), "scd2", max_files_per_trigger=1)
     return latest_snapshot(spark, target).select(*SCD2_COLS)
 
 
@@ -670,20 +674,16 @@ def q_member_category_counts(spark, sf_dir):
     return counts_by(m, ["gender", "title"])
 
 
-@query("incremental_dim_stream", """
-SELECT row_number() OVER (ORDER BY name) AS id, name
-FROM (SELECT DISTINCT p_brand || ' ' || p_name AS name FROM part WHERE p_brand IS NOT NULL AND p_name IS NOT NULL) x""")
+@query("incremental_dim_stream", SQL_INCREMENTAL)
 def q_incremental_dim_stream(spark, sf_dir):
-    """The part table consumed as a stream; each micro-batch adds its unseen
-    names to the dimension with ids after the current maximum."""
+    """The parts consumed as a stream of two files, one per micro-batch; each
+    adds its unseen names to the dimension with ids after the current maximum."""
     from starloom.session import scratch_path
     from starloom.streaming.loaders import DimSink, latest_snapshot, run_feed
-    schema = Tables(spark, sf_dir).part.schema
-    target = scratch_path(spark, "dim-stream")
-
-    class NamedDimSink(DimSink):
-        def __call__(self, batch, batch_id):
-            super().__call__(batch.select(F.concat("p_brand", F.lit(" "), "p_name").alias("name")), batch_id)
-
-    run_feed(spark, sf_dir, schema, NamedDimSink(target, "name"), "dim", file_glob="part.parquet")
+    p = Tables(spark, sf_dir).part.select("p_partkey", F.concat("p_brand", F.lit(" "), "p_name").alias("name"))
+    source, target = scratch_path(spark, "dim-source"), scratch_path(spark, "dim-stream")
+    p.where(F.col("p_partkey") % 3 == 0).coalesce(1).write.parquet(f"{source}/first")
+    run_feed(spark, f"{source}/*", p.schema, DimSink(target, "name"), "dim")
+    p.where(F.col("p_partkey") % 3 != 0).coalesce(1).write.parquet(f"{source}/second")
+    run_feed(spark, f"{source}/*", p.schema, DimSink(target, "name"), "dim")  # goes on after the first file
     return latest_snapshot(spark, target).select("id", "name")
