@@ -6,10 +6,11 @@ smallest of its k-mer hashes, which depends on the string alone; equal strings
 meet at equal anchors.  Shards of documents send each distinct pair of anchor
 and surrounding context once to the owner of the anchor's hash range.  Equal
 contexts are settled there.  Different contexts of one anchor go to the merge:
-every shard sorts the suffixes of its own contexts into a Burrows-Wheeler
+the suffixes of each shard's contexts are sorted into a Burrows-Wheeler
 transform, the owner merges the transforms by refining their interleaving one
-symbol a round, and the blocks that still hold together after ``length``
-rounds are the repeated intervals (common prefix of ``length`` or more).
+symbol (two bytes) a round, and the blocks that still hold together after
+``length`` bytes are the repeated intervals (common prefix of ``length`` or
+more).
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from starloom.session import scratch_path
 KMER = 16
 _PLACE = 24
 _STEP = 1 << 22
+#: Contexts merged at a time (all contexts of an anchor stay together).
+MERGED = 1 << 14
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -36,9 +39,14 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def _words(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place on as one number (an unaligned view)."""
+    return np.ndarray((max(0, len(data) - 7),), "<u8", data, strides=(1,))
+
+
 def _kmer_keys(data: np.ndarray) -> np.ndarray:
     """40-bit hash of the k-mer at every place, above its place."""
-    word = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    word = _words(data)
     n = len(data) - KMER + 1
     h = _mixed((word[:n] * _M1) ^ (word[8:8 + n] * _M2 + _M3))
     return (h & ~np.uint64((1 << _PLACE) - 1)) | np.arange(n, dtype=np.uint64)
@@ -58,21 +66,21 @@ class Anchors:
 
     def __init__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int):
         windows = length - KMER + 1
-        places, keys = [], []
+        inside = np.ones(len(data), bool)  # strings that start here stay in their document
+        for a, b in zip(starts.tolist(), ends.tolist()):
+            inside[max(a, b - length + 1):b] = False
+        places, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
         for lo in range(0, len(data), _STEP):
             part = data[lo:lo + _STEP + length - 1]
             if len(part) < length:
                 break
             least = _window_min(_kmer_keys(part), windows)
-            at = np.arange(lo, lo + len(least))
-            doc = np.searchsorted(ends, at, "right")
-            least = least[at + length <= ends[np.minimum(doc, len(ends) - 1)]]
-            least = least[np.concatenate(([True], least[1:] != least[:-1]))] if len(least) else least
+            least = least[inside[lo:lo + len(least)]]
             places.append((least & np.uint64((1 << _PLACE) - 1)).astype(np.int64) + lo)
             keys.append(least >> np.uint64(_PLACE))
-        place = np.concatenate(places) if places else np.zeros(0, np.int64)
-        self.place, first = np.unique(place, return_index=True)
-        self.key = (np.concatenate(keys) if keys else np.zeros(0, np.uint64))[first]
+        place, key = np.concatenate(places), np.concatenate(keys)
+        new = np.concatenate(([True], place[1:] != place[:-1])) if len(place) else np.zeros(0, bool)
+        self.place, self.key = place[new], key[new]
         self.doc = np.searchsorted(ends, self.place, "right")
         self.lo = np.maximum(starts[self.doc], self.place - (windows - 1))
         self.hi = np.minimum(ends[self.doc], self.place + length)
@@ -84,16 +92,20 @@ class Anchors:
         return np.where(at < self.hi[pick, None], data[np.minimum(at, len(data) - 1)], 0).astype(np.uint8)
 
     def context_hash(self, data: np.ndarray, width: int) -> np.ndarray:
-        out = np.zeros(len(self.place), np.uint64)
-        for lo in range(0, len(out), 1 << 16):
-            pick = np.arange(lo, min(len(out), lo + (1 << 16)))
-            rows = self.contexts(data, pick, width)
-            words = np.zeros((len(pick), -(-width // 8) * 8), np.uint8)
-            words[:, :width] = rows
-            h = ((self.hi - self.lo)[pick] * 256 + (self.place - self.lo)[pick]).astype(np.uint64)
-            for w in words.view("<u8").T:
-                h = _mixed((h ^ w) * _M1)
-            out[pick] = h
+        """64-bit hash of each context, its size and the anchor's place in it."""
+        out = ((self.hi - self.lo) * 256 + (self.place - self.lo)).astype(np.uint64)
+        whole = np.flatnonzero(self.hi - self.lo == width)
+        clipped = np.flatnonzero(self.hi - self.lo != width)
+        steps = [*range(0, width - 7, 8), width - 8]
+        word, h, lo = _words(data), out[whole], self.lo[whole]
+        for d in steps:
+            h = _mixed((h ^ word[lo + d]) * _M1)
+        out[whole] = h
+        rows = np.ascontiguousarray(self.contexts(data, clipped, width))
+        h = out[clipped]
+        for d in steps:
+            h = _mixed((h ^ np.ascontiguousarray(rows[:, d:d + 8]).view("<u8").ravel()) * _M1)
+        out[clipped] = h
         return out
 
 
@@ -120,10 +132,12 @@ class Shard:
         self.anchors = a = Anchors(self.data, self.starts, self.ends, length)
         names = self.names[a.doc] if len(a.doc) else np.zeros(0, np.int64)
         hashed = a.context_hash(self.data, self.width)
-        self.order = np.lexsort((names, hashed, a.key))
+        # by the anchor's 40 bits, then 24 of the context's
+        self.order = np.argsort((a.key << np.uint64(24)) | (hashed >> np.uint64(40)), kind="stable")
         k, c = a.key[self.order], hashed[self.order]
         new = np.concatenate(([True], (k[1:] != k[:-1]) | (c[1:] != c[:-1]))) if len(k) else np.zeros(0, bool)
         self.entry = np.cumsum(new) - 1  # of the occurrences in order
+        # documents lie in order of doc_id and the sort is stable: the first has the least
         first = self.order[new]
         self.first, self.key, self.context, self.least = first, a.key[first], hashed[first], names[first]
         self.name = names
@@ -132,46 +146,56 @@ class Shard:
 # ---- merging Burrows-Wheeler transforms
 
 
+END = 0xFF  # closes a text; no UTF-8 byte
+
+
 def transform(texts: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """(transform, start of each sorted rotation) of the texts, each closed by
-    an end mark 0 (bytes are 1..256), rotations in order of ``depth`` symbols."""
-    sizes = np.array([len(t) + 1 for t in texts])
+    an end mark, rotations in order of ``depth`` (even) bytes.  A symbol is a
+    pair of bytes, so one round goes two bytes back."""
+    sizes = np.array([len(t) + 1 for t in texts], np.int64)
     ends = np.cumsum(sizes)
-    symbols = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint16)
+    raw = np.full(int(ends[-1]) if len(ends) else 0, END, np.uint16)
     if len(ends):
-        inside = np.ones(len(symbols), bool)
+        inside = np.ones(len(raw), bool)
         inside[ends - 1] = False
-        symbols[inside] = np.concatenate(texts).astype(np.uint16) + 1
-    before = np.arange(len(symbols)) - 1
-    before[ends - sizes] = ends - 1
+        raw[inside] = np.concatenate(texts)
+    after = np.arange(1, len(raw) + 1)
+    after[ends - 1] = ends - sizes
+    symbols = (raw << np.uint16(8)) | raw[after]
+    before = np.empty_like(after)
+    before[after[after]] = np.arange(len(after))  # the place two bytes back in its rotation
     at = np.arange(len(symbols))
-    for _ in range(depth):
+    for _ in range(depth // 2):
         at = before[at]
         at = at[np.argsort(symbols[at], kind="stable")]
     return symbols[before[at]], at
 
 
 def merge(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(source of each row, its block) of the merged transform after ``depth``
-    rounds: a row moves to the place its preceding symbol sorts it to, rows of
-    a block that take the same symbol stay one block.  Blocks are the intervals
-    whose suffixes share ``depth`` symbols."""
-    source = np.repeat(np.arange(len(transforms)), [len(t) for t in transforms])
-    block = np.zeros(len(source), np.int64)
-    for _ in range(depth):
+    """(source of each row, its block) of the merged transform after
+    ``depth`` / 2 rounds: a row moves to the place its preceding symbol sorts it
+    to, rows of a block that take the same symbol stay one block.  Blocks are
+    the intervals whose suffixes share ``depth`` bytes."""
+    # 16-bit sources and symbols sort by radix
+    kind = np.uint16 if len(transforms) <= 1 << 16 else np.int64
+    source = np.repeat(np.arange(len(transforms)).astype(kind), [len(t) for t in transforms])
+    symbols = np.concatenate([*transforms, np.zeros(0, np.uint16)])
+    block, symbol = np.zeros(len(source), np.int32), np.empty(len(source), np.uint16)
+    for _ in range(depth // 2):
         # the rows of each source stay in its own order: read their symbols in turn
-        symbol = np.empty(len(source), np.uint16)
-        symbol[np.argsort(source, kind="stable")] = np.concatenate(transforms) if transforms else symbol
+        symbol[np.argsort(source, kind="stable")] = symbols
         order = np.argsort(symbol, kind="stable")
-        source, symbol, block = source[order], symbol[order], block[order]
+        source, sorted_, block = source[order], symbol[order], block[order]
         if len(block):
-            block = np.concatenate(([0], np.cumsum((symbol[1:] != symbol[:-1]) | (block[1:] != block[:-1]))))
+            new = (sorted_[1:] != sorted_[:-1]) | (block[1:] != block[:-1])
+            block = np.concatenate((np.zeros(1, np.int32), np.cumsum(new, dtype=np.int32)))
     return source, block
 
 
 def repeated(shards: list[tuple[np.ndarray, np.ndarray, np.ndarray]], length: int) -> list[np.ndarray]:
-    """For each shard (contexts one row each, their sizes, their documents):
-    a mask per context, bit i set if the string at i also stands in a context
+    """For each shard (contexts one row each, their sizes, their documents): a
+    mask per context, bit i set if the string at i also stands in a context
     of a smaller document."""
     built, rows = [], []
     for texts, sizes, _ in shards:
@@ -255,12 +279,13 @@ def remove_repeats(docs: DataFrame, length: int = 50, shard_bytes: int = 4 << 20
     bytes.  Null text counts as empty, null doc_id as larger than any other;
     rows with equal doc_id never remove each other's bytes.  Tasks hold one
     shard of about ``shard_bytes`` (or one longer document), or one owner's
-    range of anchors, of which there are as many as shuffle partitions."""
+    range of anchors, of which there are twice as many as shuffle partitions
+    (few bytes, much work: their number is fixed, so AQE merges none)."""
     spark = docs.sparkSession
-    if not KMER + 8 <= length <= 64 + KMER:
+    if length % 2 or not KMER + 8 <= length <= 64 + KMER:
         raise ValueError("length out of range")
     shards = _shards(docs, shard_bytes)
-    owners = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    owners = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     width, reach = 2 * length - KMER, length - KMER
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -335,8 +360,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, shard_bytes: int = 4 << 20
 
     def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         """Masks of the open contexts of an owner.  A string shared at an
-        anchor agrees on half of the reach beyond one of its sides, so contexts
-        whose sides no other context has are left out of the merge."""
+        anchor agrees on most of ``length`` bytes around it, so contexts
+        without a counterpart for that are left out of the merge."""
         rows = table.sort_by("shard").to_pylist()
         texts = [np.frombuffer(r["texts"], np.uint8).reshape(-1, width) for r in rows]
         sizes = [np.frombuffer(r["sizes"], "<u2").astype(np.int64) for r in rows]
@@ -344,23 +369,39 @@ def remove_repeats(docs: DataFrame, length: int = 50, shard_bytes: int = 4 << 20
         shape = np.cumsum([0, *map(len, sizes)])
         every, place = np.concatenate(texts), np.concatenate([np.frombuffer(r["places"], "<u2") for r in rows]).astype(np.int64)
         size = np.concatenate(sizes)
-        half = reach // 2
-        likely = np.zeros(len(every), bool)
-        for side in (-half, 0):
-            lo = place + side
-            enough = (lo >= 0) & (lo + KMER + half <= size)
-            pick = np.flatnonzero(enough)
+
+        def hashed(pick: np.ndarray, lo: np.ndarray, n: int) -> np.ndarray:
             h = np.zeros(len(pick), np.uint64)
-            for d in range(KMER + half):
-                h = (h ^ every[pick, lo[pick] + d]) * _M1
+            for d in range(n):
+                h = (h ^ every[pick, lo + d]) * _M1
                 h ^= h >> np.uint64(29)
-            _, back, count = np.unique(h, return_inverse=True, return_counts=True)
+            return h
+
+        # a shared string reaches l bytes left and r right of the anchor, l + r = reach:
+        # the contexts agree from a quarter step at or below l to one at or below r
+        likely, step = np.zeros(len(every), bool), -(-(reach + 1) // 4)
+        for left in range(0, reach + 1, step):
+            right = max(0, reach - left - step + 1)
+            pick = np.flatnonzero((place >= left) & (place + KMER + right <= size))
+            _, back, count = np.unique(hashed(pick, place[pick] - left, left + KMER + right), return_inverse=True, return_counts=True)
             likely[pick[count[back] > 1]] = True
-        parts = [np.flatnonzero(likely[a:b]) for a, b in zip(shape[:-1], shape[1:])]
-        found = repeated([(t[p], n[p], d[p]) for t, n, d, p in zip(texts, sizes, least, parts)], length)
-        masks = [np.zeros(len(n), np.uint64) for n in sizes]
-        for mask, p, got in zip(masks, parts, found):
-            mask[p] = got
+        # anchors are independent: a bounded number of contexts is merged at a time
+        chosen = np.flatnonzero(likely)
+        anchor = hashed(chosen, place[chosen], KMER)
+        chosen = chosen[np.argsort(anchor, kind="stable")]
+        anchor = np.sort(anchor)
+        cuts, masks = [0], np.zeros(len(every), np.uint64)
+        while cuts[-1] < len(chosen):
+            to = min(len(chosen), cuts[-1] + MERGED)
+            cuts.append(int(np.searchsorted(anchor, anchor[to - 1], "right")))
+        of = np.repeat(np.arange(len(rows)), np.diff(shape))
+        document = np.concatenate(least)
+        for a, b in zip(cuts, cuts[1:]):
+            part = np.sort(chosen[a:b])
+            groups = np.split(part, np.flatnonzero(np.diff(of[part])) + 1)
+            for g, got in zip(groups, repeated([(every[g], size[g], document[g]) for g in groups], length)):
+                masks[g] = got
+        masks = [masks[a:b] for a, b in zip(shape, shape[1:])]
         return pa.table({"shard": pa.array([r["shard"] for r in rows], pa.int64()), "owner": pa.array([r["owner"] for r in rows], pa.int32()),
                          "masks": pa.array([m.astype("<u8").tobytes() for m in masks], pa.binary())})
 
@@ -372,10 +413,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, shard_bytes: int = 4 << 20
             lo = _from_planes(row["open_lo"]).astype(np.int64)
             if len(lo):
                 mask = masks[_from_planes(row["open_number"]).astype(np.int64)]
-                delta = np.zeros(len(data) + 1, np.int64)
-                for i in range(width - length + 1):
-                    at = lo[(mask >> np.uint64(i)) & np.uint64(1) == 1] + i
-                    delta += np.bincount(at, minlength=len(delta)) - np.bincount(at + length, minlength=len(delta))
+                at = np.concatenate([lo[(mask >> np.uint64(i)) & np.uint64(1) == 1] + i for i in range(width - length + 1)])
+                delta = np.bincount(at, minlength=len(data) + 1) - np.bincount(at + length, minlength=len(data) + 1)
                 covered |= np.cumsum(delta[:-1]) > 0
             out, end = [], 0
             for name, unnamed, size in zip(row["doc_id"], row["unnamed"], row["size"]):
@@ -389,11 +428,11 @@ def remove_repeats(docs: DataFrame, length: int = 50, shard_bytes: int = 4 << 20
                                              ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     entries = shards.select("shard", "doc_id", "size", "data").mapInArrow(send, "owner int, shard bigint, key binary, context binary, least binary")
-    verdicts = written(entries.groupBy("owner").applyInArrow(settle, "shard bigint, owner int, verdict binary"), "repeat-verdicts")
+    verdicts = written(entries.repartition(owners, "owner").groupBy("owner").applyInArrow(settle, "shard bigint, owner int, verdict binary"), "repeat-verdicts")
     state = written(_by_shard(shards.select("shard", "doc_id", "size", "data"), verdicts, "verdict").mapInArrow(
         apply, "shard bigint, covered binary, open_lo binary, open_number binary, "
                "sent array<struct<owner:int,texts:binary,sizes:binary,places:binary,least:binary>>"), "repeat-state")
     sent = state.select("shard", F.explode("sent").alias("s")).select("shard", "s.owner", "s.texts", "s.sizes", "s.places", "s.least")
-    masks = written(sent.groupBy("owner").applyInArrow(compare, "shard bigint, owner int, masks binary"), "repeat-masks")
+    masks = written(sent.repartition(owners, "owner").groupBy("owner").applyInArrow(compare, "shard bigint, owner int, masks binary"), "repeat-masks")
     last = _by_shard(shards.join(state.drop("sent"), "shard"), masks, "masks")
     return last.mapInArrow(finish, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
