@@ -64,12 +64,12 @@ def training_time(share: Column, schedule: Column, schedules=SCHEDULES) -> Colum
     a quadratic in each piece."""
     out = F.lit(None).cast("double")
     for k, knots in enumerate(schedules):
-        pieces = _segments(knots)
         time = None
-        for before, _, t0, rate, slope in reversed(pieces):
+        for before, after, t0, rate, slope in reversed(_segments(knots)):
             rest = share - F.lit(before)
-            here = F.lit(t0) + F.lit(2.0) * rest / (F.lit(rate) + F.sqrt(F.lit(rate * rate) + F.lit(2.0 * slope) * rest))
-            time = here if time is None else F.when(share < F.lit(pieces[pieces.index((before, _, t0, rate, slope)) + 1][0]), here).otherwise(time)
+            root = F.sqrt(F.greatest(F.lit(rate * rate) + F.lit(2.0 * slope) * rest, F.lit(0.0)))
+            here = F.lit(t0) + F.coalesce(F.try_divide(F.lit(2.0) * rest, F.lit(rate) + root), F.lit(0.0))
+            time = here if time is None else F.when(share < F.lit(after), here).otherwise(time)
         out = F.when(schedule == k, time).otherwise(out)
     return out
 
