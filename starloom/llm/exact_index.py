@@ -24,8 +24,9 @@ def normalised(text: Column) -> Column:
 
 
 def _slot(key: Column, depth: int) -> Column:
-    """The leading ``depth`` bits of a 64-bit key."""
-    return F.shiftrightunsigned(key, 64 - depth) if depth else F.lit(0).cast("bigint")
+    """The leading ``depth`` bits of a 64-bit key (two shifts: one of 64 bits
+    would be none, and a constant slot would turn joins on it into products)."""
+    return F.shiftrightunsigned(F.shiftrightunsigned(key, 1), 63 - depth)
 
 
 def directory(keys: DataFrame, bucket_keys: int, max_depth: int = 40) -> tuple[DataFrame, int]:
