@@ -112,6 +112,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, max_repeats: int
     return placed.select("doc_id", "text_hash", "source", "size", "source_size", "target", passes.alias("passes"))
 
 
-def in_training_order(df: DataFrame, time: str) -> DataFrame:
-    """Range-sorted by training time: partition i precedes partition i + 1."""
-    return df.repartitionByRange(F.col(time).asc_nulls_last()).sortWithinPartitions(F.col(time).asc_nulls_last())
+def in_training_order(df: DataFrame, time: str, *ties: str) -> DataFrame:
+    """Range-sorted by training time, then ``ties`` (which also spread rows
+    without a time): partition i precedes partition i + 1."""
+    order = [F.col(c).asc_nulls_last() for c in (time, *ties)]
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)

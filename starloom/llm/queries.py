@@ -59,7 +59,7 @@ def op4_curriculum_mix(spark, sf_dir):
     """Words that the mix takes of every document."""
     mixed = curriculum.mix(documents(spark, sf_dir)).withColumn("first", F.get("passes", F.lit(0))["time"])
     taken = F.aggregate("passes", F.lit(0).cast("bigint"), lambda a, p: a + p["words"])
-    return curriculum.in_training_order(mixed, "first").select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), taken.alias("taken"))
+    return curriculum.in_training_order(mixed, "first", "doc_id").select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), taken.alias("taken"))
 
 
 @query("op2_exact_index", r"""
