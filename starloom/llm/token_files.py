@@ -93,7 +93,7 @@ SEGMENT = "part int, seq int, doc_id array<bigint>, n_tokens array<bigint>, imag
 def write_segments(docs: DataFrame, tokenizer: str, end_id: int, segment_tokens: int = 1 << 20,
                    widths: tuple[int, ...] = (8, 8, 16)) -> DataFrame:
     """Encode ``docs`` (doc_id, text; others ignored) in ascending order of
-    doc_id (nulls first, ties by text) and write the segments to the shared
+    doc_id (nulls first, ties by a hash of the text) and write the segments to the shared
     folder.  Null text counts as empty; every document ends with ``end_id``.
     A segment is closed at the first document end at or beyond
     ``segment_tokens`` ids, so a task holds one segment at a time."""
@@ -125,10 +125,11 @@ def write_segments(docs: DataFrame, tokenizer: str, end_id: int, segment_tokens:
         if ids:
             yield segment()
 
-    order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
+    # the range bounds are sampled through the driver: hashes, not texts
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     rows = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
     # encoding runs after the exchange, so sampling the range bounds costs no encoding
-    return written(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(encode, SEGMENT), "token-files")
+    return written(rows.repartitionByRange(*order).sortWithinPartitions(*order, "text").mapInArrow(encode, SEGMENT), "token-files")
 
 
 def read_documents(segments: DataFrame) -> DataFrame:
