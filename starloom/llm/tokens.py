@@ -43,7 +43,7 @@ def encoder(name: str) -> ChunkEncoder:
 class ChunkEncoder:
     """Texts → ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, name: str, cache_entries: int = 1 << 20):
+    def __init__(self, name: str, cache_entries: int = 3 << 19):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
         path = tokenizer_path(name)
         self.library = Tokenizer.from_file(path)
@@ -87,7 +87,7 @@ class ChunkEncoder:
         cuts = (np.searchsorted(np.array(got.word_ids, np.int64), np.arange(len(words) + 1)) * 4).tolist()
         self.cache.update((w, raw[a:b]) for w, a, b in zip(words, cuts, cuts[1:]))
 
-    def _learn(self, missing: list[str]) -> None:
+    def _learn(self, missing: set[str]) -> None:
         """Letters and the punctuation after them are pre-tokens of their own:
         they are learned apart and joined.  A chunk of letters alone is one
         pre-token, already in its normal form."""
@@ -101,7 +101,7 @@ class ChunkEncoder:
             if head != w:
                 others.add(w[len(head):])
                 joined.append((w, head, w[len(head):]))
-        letters, others = (sorted(x for x in part if x not in cache) for part in (letters, others))
+        letters, others = (list(part.difference(cache)) for part in (letters, others))
         if letters:
             self._ids_of(letters, self.one_word)
         if others:
@@ -119,7 +119,7 @@ class ChunkEncoder:
                 if len(self.cache) + 2 * len(missing) > self.cache_entries:
                     self.cache.clear()
                     missing = need
-                self._learn(sorted(missing))
+                self._learn(missing)
             pick = self.cache.__getitem__
             out += [np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
                     if c is None else b"".join(map(pick, c)) for t, c in zip(part, chunks)]
