@@ -26,8 +26,8 @@ from starloom.llm.components import components
 
 TUPLES, ROWS = 16, 4
 #: A pair whose minima agree in fewer than this share is not verified: at a
-#: similarity of 0.8 that has a probability below 1e-7.
-CLEARLY_APART = 0.6
+#: similarity of 0.8 that has a probability of 4e-5.
+CLEARLY_APART = 0.66
 BLOCK = 1024
 
 _DRAW = np.random.default_rng(3)
@@ -103,8 +103,9 @@ def _likely(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Of (a, b), those linked by their full shingle sets."""
+def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(node, shingles) of the documents in ``wanted`` (node), from their whole
+    texts; rows that repeat a doc_id count as their union."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
@@ -112,6 +113,12 @@ def _verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Da
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingle_set(t, words).tobytes() for t in part.column(1).to_pylist()], pa.binary())],
                                                  ["node", "shingles"])
 
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("node"), "text").join(written(wanted.distinct(), "near-wanted"), "node", "left_semi")
+    return written(texts.mapInArrow(cut, "node bigint, shingles binary"), "near-sets")
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Of (a, b), those linked by their full shingle sets."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -122,51 +129,78 @@ def _verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Da
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(keep) for k in (0, 1)], ["a", "b"])
 
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("node"), "text").join(written(wanted, "near-wanted"), "node", "left_semi")
-    sets = written(texts.mapInArrow(cut, "node bigint, shingles binary"), "near-sets")
+    sets = _sets(docs, pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))), words)
     one, two = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}")) for c in ("a", "b"))
     return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(compare, "a bigint, b bigint")
 
 
-def _across(tables: DataFrame, parts: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Likely pairs (a, b) of one bucket whose members are in different
-    components.  Large buckets are compared block by block."""
-    placed = tables.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    mixed = placed.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-    mixed = written(mixed.filter((F.col("members") > 2) & (F.col("lo") != F.col("hi"))).select("key", "members"), "near-mixed")
+def links_across(node: np.ndarray, part: np.ndarray, side: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between documents of different components, for each document and
+    other component the smallest partner.  An index of shingles gives a
+    document's intersections with all others at once; those of the largest
+    component are only found, not looked up.  With two sides, only across."""
+    sizes = np.array([len(s) for s in sets])
+    _, term = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(term, kind="stable")
+    posting, first = owner[order], np.searchsorted(term[order], np.arange(term.max() + 2))
+    starts = np.cumsum(sizes) - sizes
+    names, inverse, count = np.unique(part, return_inverse=True, return_counts=True)
+    out, both_sides = [], side.min() != side.max()
+    for i in np.flatnonzero(inverse != count.argmax()).tolist():
+        mine = term[starts[i]:starts[i] + sizes[i]]
+        lo, n = first[mine], first[mine + 1] - first[mine]
+        places = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        shared = np.bincount(posting[places], minlength=len(sets))
+        linked = (100 * shared >= percent * (sizes + sizes[i] - shared)) & (part != part[i])
+        if both_sides:
+            linked &= side != side[i]
+        found = np.flatnonzero(linked)
+        if len(found):
+            found = found[np.lexsort((node[found], part[found]))]
+            new = np.concatenate(([True], part[found][1:] != part[found][:-1]))
+            out += [(int(node[i]), int(node[j])) for j in found[new]]
+    return out
+
+
+def _across(docs: DataFrame, met: DataFrame, tables: DataFrame, parts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) between members of one table bucket that are in different
+    components.  Such members meet again by the tuples of the first collection
+    (``met``: node, ka), each with its full set, and are compared there; a
+    large group is dealt to cells of two blocks, each document to the cells of
+    its own block."""
+    named = parts.select(F.col("node").alias("n"), "component")
+    placed = tables.join(named, F.col("node") == F.col("n"), "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    mixed = placed.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    mixed = mixed.filter("c > 2 AND lo != hi").select("key")
+    nodes = written(placed.join(written(mixed, "near-mixed"), "key").select("node", "component").distinct(), "near-mixed-nodes")
+    groups = met.join(nodes, "node")
+    apart = groups.groupBy("ka").agg(F.count(F.lit(1)).alias("members"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    apart = written(apart.filter("members > 2 AND lo != hi").select("ka", "members"), "near-apart")
+    members = written(groups.join(apart, "ka"), "near-members")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks.cast("bigint")).cast("int")
-    rows = (placed.join(mixed, "key").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-                  .select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "own", "other", "node", "component")
-                  .join(sketches, "node").select("cell", "own", "other", "node", "component", "sketch"))
+    cells = (members.withColumn("own", F.pmod(F.xxhash64("node"), blocks.cast("bigint")).cast("int"))
+                    .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+                    .select(F.xxhash64("ka", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "own", "node", "component"))
+    rows = cells.join(_sets(docs, members.select("node"), words), "node").select("cell", "own", "node", "component", "shingles")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(cell: list[tuple]) -> Iterator[pa.RecordBatch]:
-            if len(cell) < 2:
-                return
-            node, part, side = (np.array([r[k] for r in cell], np.int64) for k in (3, 4, 1))
-            sketch = np.frombuffer(b"".join(r[5] for r in cell), np.uint8).reshape(len(cell), -1)
-            alone = side.min() == side.max()
-            for i in range(len(cell) - 1):
-                apart = part[i + 1:] != part[i]
-                if not alone:
-                    apart &= side[i + 1:] != side[i]
-                j = np.flatnonzero(apart) + i + 1
-                j = j[_agreeing(sketch[j], sketch[i]) >= CLEARLY_APART]
-                if len(j):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j]))], ["a", "b"])
+        def compared(cell: list[tuple]) -> pa.RecordBatch:
+            side, node, part = (np.array([r[k] for r in cell], np.int64) for k in (1, 2, 3))
+            links = links_across(node, part, side, [np.frombuffer(r[4], np.uint64) for r in cell], percent) if len(cell) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
 
         cell: list[tuple] = []
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if cell and cell[0][0] != row[0]:
-                    yield from pairs(cell)
+                    yield compared(cell)
                     cell = []
                 cell.append(row)
-        yield from pairs(cell)
+        if cell:
+            yield compared(cell)
 
-    return rows.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(run, "a bigint, b bigint").distinct()
+    return rows.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(run, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -187,7 +221,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     # only tuples of the first collection that two classes share go on to the tables
     firsts = classes.select("node", F.explode("a").alias("ka"))
     shared = firsts.groupBy("ka").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("ka")
-    met = firsts.join(written(shared, "near-shared"), "ka").groupBy("node").agg(F.collect_list("ka").alias("ka"))
+    meeting = written(firsts.join(written(shared, "near-shared"), "ka"), "near-meeting")
+    met = meeting.groupBy("node").agg(F.collect_list("ka").alias("ka"))
     # a list of at most TUPLES keys per node
     pairs_of_tuples = classes.select("node", "b").join(met, "node").select("node", F.explode("ka").alias("ka"), "b")
     tables = pairs_of_tuples.select("node", "ka", F.explode("b").alias("kb")).select(F.xxhash64("ka", "kb").alias("key"), "node")
@@ -196,10 +231,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     stars = met_tables.filter("a != node").select("a", F.col("node").alias("b")).distinct()
     links = written(_verified(docs, written(_likely(stars, sketches), "near-likely"), words, percent), "near-links")
     parts = written(components(links), "near-components")
-    more = written(_across(met_tables.select("key", "node"), parts, sketches), "near-across")
+    more = written(_across(docs, meeting, met_tables.select("key", "node"), parts, words, percent), "near-across")
     if more.take(1):
-        links = links.unionByName(_verified(docs, more, words, percent))
-        parts = written(components(links), "near-components")
+        parts = written(components(links.unionByName(more)), "near-components")
     named = written(classes.select("hi", "lo", "n", "node").join(parts, "node", "left")
                            .select(F.col("hi").alias("h"), F.col("lo").alias("l"), F.coalesce("component", "node").alias("component")), "near-named")
     out = rows.select("doc_id", "text_hash", "n", "hi", "lo").join(named, (F.col("hi") == F.col("h")) & (F.col("lo") == F.col("l")) & (F.col("n") > 0), "left")
