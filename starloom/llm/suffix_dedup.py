@@ -77,7 +77,8 @@ class Anchors:
             least = _window_min(_kmer_keys(part), windows)
             least = least[inside[lo:lo + len(least)]]
             places.append((least & np.uint64((1 << _PLACE) - 1)).astype(np.int64) + lo)
-            keys.append(least >> np.uint64(_PLACE))
+            # minima are small hashes: mixed again, they fill the owners' ranges evenly
+            keys.append(_mixed(least >> np.uint64(_PLACE)) >> np.uint64(_PLACE))
         place, key = np.concatenate(places), np.concatenate(keys)
         new = np.concatenate(([True], place[1:] != place[:-1])) if len(place) else np.zeros(0, bool)
         self.place, self.key = place[new], key[new]
