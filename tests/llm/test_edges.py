@@ -221,6 +221,24 @@ def test_packing(docs, none):
     assert sum(sizes) == sum(len(x) // 4 + 1 for x in e.encode([t or "" for _, t in ROWS]))
 
 
+def test_packing_finds_neighbours_of_the_whole_table(spark):
+    """64 topics of 4 documents in shards of 32: by content, most pieces of a
+    sequence are of one topic; by a random draw, few."""
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(2000)]
+    rows = []
+    for topic in range(64):
+        base = rng.sample(words, 80)
+        rows += [(topic * 4 + k, " ".join(rng.choice(words) if rng.random() < 0.1 else w for w in base)) for k in range(4)]
+    rng.shuffle(rows)
+    got = packing.pack(spark.createDataFrame(rows, "doc_id bigint, text string"), "byte_bpe_50k.json", 0, shard_docs=32).collect()
+    of = {}
+    for r in got:
+        of.setdefault(r.sequence_id, set()).add(r.doc_id)
+    same = [a // 4 == b // 4 for ds in of.values() for a in ds for b in ds if a < b]
+    assert sum(same) / len(same) > 0.4
+
+
 def test_licenses(spark, docs, none):
     assert license_scan.scan(none).count() == 0 and license_scan.scan(docs).count() == 0
     mit = license_scan.TEMPLATES["MIT"]
