@@ -10,7 +10,8 @@ the suffixes of each shard's contexts are sorted into a Burrows-Wheeler
 transform, the owner merges the transforms by refining their interleaving one
 symbol (two bytes) a round, and the blocks that still hold together after
 ``length`` bytes are the repeated intervals (common prefix of ``length`` or
-more).
+more).  The contexts of a hot anchor go to no owner: their strings are grouped
+by their bytes, the least doc_id of each taken in the map tasks first.
 """
 
 from __future__ import annotations
@@ -29,8 +30,11 @@ from starloom.session import scratch_path
 KMER = 16
 _PLACE = 24
 _STEP = 1 << 22
-#: Contexts merged at a time (all contexts of an anchor stay together).
+#: Contexts merged at a time (all contexts of an anchor stay together; an
+#: anchor with more of them is hot).
 MERGED = 1 << 14
+#: Input bytes for each owner of a range of anchors, where there are many.
+OWNED = 1 << 24
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -228,9 +232,9 @@ def repeated(shards: list[tuple[np.ndarray, np.ndarray, np.ndarray]], length: in
 # ---- the distributed steps
 
 
-def _shards(docs: DataFrame, shard_bytes: int) -> DataFrame:
-    """Documents dealt to shards by hash, a row per shard, in a bucketed table:
-    later joins on the shard move no text."""
+def _shards(docs: DataFrame, shard_bytes: int) -> tuple[DataFrame, int]:
+    """(documents dealt to shards by hash, a row per shard, their bytes), in a
+    bucketed table: later joins on the shard move no text."""
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit((1 << 63) - 1)).alias("doc_id"), F.col("doc_id").isNull().alias("unnamed"),
                        F.coalesce("text", F.lit("")).cast("binary").alias("data"))
@@ -264,7 +268,7 @@ def _shards(docs: DataFrame, shard_bytes: int) -> DataFrame:
                  .mapInArrow(gather, "shard bigint, doc_id array<bigint>, unnamed array<boolean>, size array<bigint>, data binary"))
     name = "llm_" + scratch_path(spark, "shards").rsplit("-", 1)[-1]
     rows.write.option("compression", "zstd").bucketBy(buckets, "shard").saveAsTable(name)
-    return spark.table(name)
+    return spark.table(name), total
 
 
 def _by_shard(shards: DataFrame, sent: DataFrame, *columns: str) -> DataFrame:
@@ -274,19 +278,34 @@ def _by_shard(shards: DataFrame, sent: DataFrame, *columns: str) -> DataFrame:
     return shards.join(told, "shard", "left")
 
 
-def remove_repeats(docs: DataFrame, length: int = 50, shard_bytes: int = 4 << 20) -> DataFrame:
+def _hot_masks(state: DataFrame, length: int) -> DataFrame:
+    """(shard, hot) of the open contexts of hot anchors: each context's number
+    and the mask of its strings that a smaller document holds too."""
+    texts = state.select("shard", F.explode("hot").alias("h")).select("shard", "h.number", "h.text", "h.least")
+    places = F.sequence(F.lit(0), F.length("text") - length)
+    strings = (texts.filter(F.length("text") >= length).select("shard", "number", "text", "least", F.explode(places).alias("i"))
+                    .select("shard", "number", "least", "i", F.expr(f"substring(text, i + 1, {length})").alias("string")))
+    first = strings.groupBy("string").agg(F.min("least").alias("first"), F.max("least").alias("last")).filter("first < last").drop("last")
+    gone = strings.join(first, "string").filter("first < least")
+    masks = gone.groupBy("shard", "number").agg(F.expr("bit_or(shiftleft(1L, i))").alias("mask"))
+    return masks.groupBy("shard").agg(F.collect_list(F.struct("number", "mask")).alias("hot"))
+
+
+def remove_repeats(docs: DataFrame, length: int = 50, shard_bytes: int = 4 << 20, hot_contexts: int = MERGED) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) for every row
     of ``docs`` (doc_id, text; others ignored); ``kept`` holds the remaining
     bytes.  Null text counts as empty, null doc_id as larger than any other;
     rows with equal doc_id never remove each other's bytes.  Tasks hold one
     shard of about ``shard_bytes`` (or one longer document), or one owner's
     range of anchors, of which there are twice as many as shuffle partitions
-    (few bytes, much work: their number is fixed, so AQE merges none)."""
+    (few bytes, much work: their number is fixed, so AQE merges none), more for
+    inputs of many ``OWNED`` bytes.  Anchors with more than ``hot_contexts``
+    open contexts are not merged in one place."""
     spark = docs.sparkSession
     if length % 2 or not KMER + 8 <= length <= 64 + KMER:
         raise ValueError("length out of range")
-    shards = _shards(docs, shard_bytes)
-    owners = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards, total = _shards(docs, shard_bytes)
+    owners = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // OWNED))
     width, reach = 2 * length - KMER, length - KMER
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -312,7 +331,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, shard_bytes: int = 4 << 20
 
     def settle(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         """Per entry: 1 if a smaller document has the same context, 2 if it is
-        the first with its context but the anchor has other contexts too."""
+        the first with its context but the anchor has other contexts too, 3 if
+        such an anchor is hot."""
         parts = [[_from_planes(x) for x in table.column(c).to_pylist()] for c in ("key", "context", "least")]
         sizes = [len(x) for x in parts[0]]
         k, c, least = (np.concatenate(p) for p in parts)
@@ -323,10 +343,12 @@ def remove_repeats(docs: DataFrame, length: int = 50, shard_bytes: int = 4 << 20
         new = new_key | np.concatenate(([True], co[1:] != co[:-1]))
         first = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
         later = least[order] > least[order][first]
-        contexts = np.add.reduceat(new.astype(np.int64), np.flatnonzero(new_key))
-        many = np.repeat(contexts, np.diff(np.concatenate((np.flatnonzero(new_key), [len(order)])))) > 1
+        cut = np.flatnonzero(new_key)
+        each = np.diff(np.concatenate((cut, [len(order)])))
+        many = np.repeat(np.add.reduceat(new.astype(np.int64), cut), each) > 1
+        hot = np.repeat(np.add.reduceat((~later).astype(np.int64), cut), each) > hot_contexts
         verdict = np.empty(len(order), np.uint8)
-        verdict[order] = np.where(later, 1, np.where(many, 2, 0))
+        verdict[order] = np.where(later, 1, np.where(many, np.where(hot, 3, 2), 0))
         at = np.cumsum([0, *sizes])
         return pa.table({"shard": table.column("shard"), "owner": table.column("owner"),
                          "verdict": pa.array([verdict[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary())})
@@ -345,7 +367,11 @@ def remove_repeats(docs: DataFrame, length: int = 50, shard_bytes: int = 4 << 20
             open_ = np.flatnonzero(verdict == 2)
             number = np.full(len(verdict), -1, np.int64)
             number[open_] = np.arange(len(open_))
-            left = ~gone & (v == 2)
+            hot = np.flatnonzero(verdict == 3)
+            number[hot] = len(open_) + np.arange(len(hot))
+            left = ~gone & (v >= 2)
+            apart = [{"number": k, "text": s.data[lo:hi].tobytes(), "least": d} for k, lo, hi, d in zip(
+                number[hot].tolist(), a.lo[s.first[hot]].tolist(), a.hi[s.first[hot]].tolist(), s.least[hot].tolist())]
             cut = bounds(s.key[open_])
             first = s.first[open_]
             texts = a.contexts(s.data, first, width)
@@ -356,8 +382,9 @@ def remove_repeats(docs: DataFrame, length: int = 50, shard_bytes: int = 4 << 20
             yield pa.RecordBatch.from_arrays(
                 [pa.array([row["shard"]], pa.int64()), pa.array([covered.tobytes()], pa.binary()),
                  pa.array([_planes(a.lo[occ[left]].astype(np.uint64))], pa.binary()), pa.array([_planes(number[s.entry[left]].astype(np.uint64))], pa.binary()),
-                 pa.array([sent], pa.list_(pa.struct([("owner", pa.int32()), *((n, pa.binary()) for n in ("texts", "sizes", "places", "least"))])))],
-                ["shard", "covered", "open_lo", "open_number", "sent"])
+                 pa.array([sent], pa.list_(pa.struct([("owner", pa.int32()), *((n, pa.binary()) for n in ("texts", "sizes", "places", "least"))]))),
+                 pa.array([apart], pa.list_(pa.struct([("number", pa.int64()), ("text", pa.binary()), ("least", pa.int64())])))],
+                ["shard", "covered", "open_lo", "open_number", "sent", "hot"])
 
     def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         """Masks of the open contexts of an owner.  A string shared at an
@@ -413,7 +440,12 @@ def remove_repeats(docs: DataFrame, length: int = 50, shard_bytes: int = 4 << 20
             masks = np.frombuffer(b"".join(t["masks"] for t in row["told"] or []), "<u8")
             lo = _from_planes(row["open_lo"]).astype(np.int64)
             if len(lo):
-                mask = masks[_from_planes(row["open_number"]).astype(np.int64)]
+                number = _from_planes(row["open_number"]).astype(np.int64)
+                masks = np.concatenate((masks, np.zeros(max(0, int(number.max()) + 1 - len(masks)), np.uint64)))
+                for h in row["hot"] or []:
+                    if h["number"] < len(masks):
+                        masks[h["number"]] = h["mask"] & (1 << 64) - 1
+                mask = masks[number]
                 at = np.concatenate([lo[(mask >> np.uint64(i)) & np.uint64(1) == 1] + i for i in range(width - length + 1)])
                 delta = np.bincount(at, minlength=len(data) + 1) - np.bincount(at + length, minlength=len(data) + 1)
                 covered |= np.cumsum(delta[:-1]) > 0
@@ -432,8 +464,9 @@ def remove_repeats(docs: DataFrame, length: int = 50, shard_bytes: int = 4 << 20
     verdicts = written(entries.repartition(owners, "owner").groupBy("owner").applyInArrow(settle, "shard bigint, owner int, verdict binary"), "repeat-verdicts")
     state = written(_by_shard(shards.select("shard", "doc_id", "size", "data"), verdicts, "verdict").mapInArrow(
         apply, "shard bigint, covered binary, open_lo binary, open_number binary, "
-               "sent array<struct<owner:int,texts:binary,sizes:binary,places:binary,least:binary>>"), "repeat-state")
+               "sent array<struct<owner:int,texts:binary,sizes:binary,places:binary,least:binary>>, "
+               "hot array<struct<number:bigint,text:binary,least:bigint>>"), "repeat-state")
     sent = state.select("shard", F.explode("sent").alias("s")).select("shard", "s.owner", "s.texts", "s.sizes", "s.places", "s.least")
     masks = written(sent.repartition(owners, "owner").groupBy("owner").applyInArrow(compare, "shard bigint, owner int, masks binary"), "repeat-masks")
-    last = _by_shard(shards.join(state.drop("sent"), "shard"), masks, "masks")
+    last = _by_shard(shards.join(state.drop("sent", "hot"), "shard"), masks, "masks").join(_hot_masks(state, length), "shard", "left")
     return last.mapInArrow(finish, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")

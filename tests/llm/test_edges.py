@@ -175,6 +175,22 @@ def test_repeats_against_brute_force(spark):
     assert got == want
 
 
+def test_repeats_at_hot_anchors(spark):
+    """One passage in most documents between different neighbours: its anchors
+    have more contexts than are merged in one place."""
+    rng = random.Random(3)
+    passage = "".join(rng.choices("abcdefgh é", k=120))
+    side = lambda: "".join(rng.choices("abcdefgh é", k=rng.randrange(10, 70)))
+    rows = [(d if d % 9 else None, side() + passage[rng.randrange(30):] + side() if d % 4 else side()) for d in range(1, 150)]
+    named = [(d, t) for d, t in rows if d is not None]
+    want = brute.repeats(named, 50)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for hot in (1, 20):
+        got = suffix_dedup.remove_repeats(df, shard_bytes=2000, hot_contexts=hot).collect()
+        assert len(got) == len(rows)
+        assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept) for r in got if r.doc_id is not None} == want
+
+
 def test_token_files(docs, none):
     assert token_files.read_documents(token_files.write_segments(none, "word_bpe_49k.json", 2)).count() == 0
     got = token_files.read_documents(token_files.write_segments(docs, "word_bpe_49k.json", 2, segment_tokens=64)).collect()
