@@ -676,14 +676,14 @@ def q_member_category_counts(spark, sf_dir):
 
 @query("incremental_dim_stream", SQL_INCREMENTAL)
 def q_incremental_dim_stream(spark, sf_dir):
-    """The parts consumed as a stream of two files, one per micro-batch; each
-    adds its unseen names to the dimension with ids after the current maximum."""
+    """The parts consumed as a stream of two batches of files, one per
+    micro-batch; each adds its unseen names to the dimension with ids after the current maximum."""
     from starloom.session import scratch_path
     from starloom.streaming.loaders import DimSink, latest_snapshot, run_feed
     p = Tables(spark, sf_dir).part.select("p_partkey", F.concat("p_brand", F.lit(" "), "p_name").alias("name"))
     source, target = scratch_path(spark, "dim-source"), scratch_path(spark, "dim-stream")
-    p.where(F.col("p_partkey") % 3 == 0).coalesce(1).write.parquet(f"{source}/first")
+    p.where(F.col("p_partkey") % 3 == 0).write.parquet(f"{source}/first")
     run_feed(spark, f"{source}/*", p.schema, DimSink(target, "name"), "dim")
-    p.where(F.col("p_partkey") % 3 != 0).coalesce(1).write.parquet(f"{source}/second")
-    run_feed(spark, f"{source}/*", p.schema, DimSink(target, "name"), "dim")  # goes on after the first file
+    p.where(F.col("p_partkey") % 3 != 0).write.parquet(f"{source}/second")
+    run_feed(spark, f"{source}/*", p.schema, DimSink(target, "name"), "dim")  # goes on after the first batch
     return latest_snapshot(spark, target).select("id", "name")

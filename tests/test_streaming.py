@@ -56,3 +56,18 @@ def test_nothing_committed_and_broken_manifest(spark):
     spark.createDataFrame([("x",)], "other string").write.mode("overwrite").parquet(f"{target}/_manifest")
     with pytest.raises(Exception):
         latest_snapshot(spark, target)
+
+
+def test_incremental_dim_stream_writes_its_batches_in_parallel(spark, tmp_path, monkeypatch):
+    from conftest import SF_SMALL
+    from starloom import session
+    from starloom.plans.registry import load
+    spark.read.parquet(f"{SF_SMALL}/part.parquet").repartition(4).write.parquet(str(tmp_path / "in/part.parquet"))
+    monkeypatch.setattr(session, "scratch_path", lambda _, name: str(tmp_path / name))
+    query = load()[0]["incremental_dim_stream"]
+    got = rows(query(spark, str(tmp_path / "in")))
+    for batch in ("first", "second"):
+        assert len(list((tmp_path / "dim-source" / batch).glob("*.parquet"))) > 1
+    assert [p.name for p in sorted((tmp_path / "dim-stream").glob("batch=*"))] == ["batch=0", "batch=1"]
+    monkeypatch.undo()
+    assert got == rows(query(spark, SF_SMALL))
