@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from starloom.llm import curriculum, exact_index, langid, license_scan, near_dups, order_minhash, packing, reply_trees, suffix_dedup, token_files
+from starloom.llm import collocations, curriculum, divergence, exact_index, langid, license_scan, near_dups, order_minhash, packing, reply_trees, suffix_dedup, token_files
 from starloom.llm.common import documents
 
 QUERIES: dict = {}
@@ -171,6 +171,58 @@ def op6_suffix_merge(spark, sf_dir):
     return suffix_dedup.remove_repeats(documents(spark, sf_dir)).drop("kept")
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query("op11_collocations", rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+c AS (SELECT lang, len(w) AS size, unnest(flatten([[array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)] FOR k IN range(1, 5)])) AS phrase FROM w),
+f AS (SELECT lang, phrase, count(*) AS f, string_split(phrase, ' ') AS words FROM c GROUP BY lang, phrase),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE len(words) = 1 GROUP BY lang),
+d AS (SELECT lang, phrase, f AS a, words FROM f WHERE f >= 30 AND len(words) > 1),
+k AS (SELECT lang, phrase, a, words, unnest(range(1, len(words))) AS k FROM d),
+s AS (SELECT k.lang, k.phrase, k.a, k.k, x.f AS l, y.f AS r, CAST(2000000 AS HUGEINT) * k.a // (x.f + y.f) AS score
+      FROM k JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(k.words[1:k.k], ' ')
+             JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(k.words[k.k + 1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+h AS (SELECT lang, part, max(a) AS longer FROM (
+        SELECT lang, a, unnest(flatten([[array_to_string(words[i:i + m - 1], ' ') FOR i IN range(1, len(words) - m + 2)] FOR m IN range(2, len(words))])) AS part
+        FROM d WHERE len(words) > 2) GROUP BY lang, part),
+r AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+      FROM b LEFT JOIN h ON h.lang = b.lang AND h.part = b.phrase WHERE longer IS NULL OR 100 * longer < 80 * a)
+SELECT r.lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM r JOIN n USING (lang) WHERE rank <= 2000""")
+def op11_collocations(spark, sf_dir):
+    """The 2000 strongest phrases of every language."""
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+@query("op13_source_divergence", rf"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+o AS (SELECT row, lang, source, unnest(terms) AS term FROM d),
+t AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM o GROUP BY lang, term HAVING count(DISTINCT row) >= 10),
+v AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v, sum(n) AS n FROM t GROUP BY lang),
+c AS (SELECT o.lang, o.source, o.term, CAST(count(*) AS HUGEINT) AS n FROM o JOIN t USING (lang, term) GROUP BY ALL),
+g AS (SELECT x.lang, x.source, coalesce(sum(c.n), 0) AS n FROM (SELECT DISTINCT lang, source FROM d) x LEFT JOIN c USING (lang, source) GROUP BY ALL),
+p AS (SELECT g.lang, g.source, t.term, coalesce(c.n, 0) AS n, 1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 2) // (g.n + 2 * v.v) AS p,
+             1 + CAST(1000000000 AS HUGEINT) * (t.n + 2) // (v.n + 2 * v.v) AS q
+      FROM g JOIN t USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = t.term),
+e AS (SELECT x.lang, x.source, 'term' AS part, x.term AS item, (p - q) * (p - q) // (p + q) AS value FROM p x WHERE n > 0 AND p > q),
+f AS (SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value
+      FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+a AS (SELECT lang, source, 'pair' AS part, item, coalesce(value, 0) AS value
+      FROM (SELECT x.lang, x.source, y.source AS item FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source) LEFT JOIN f USING (lang, source, item)
+      UNION ALL SELECT * FROM e)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INT) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM a)
+WHERE part = 'pair' OR rank <= 10""")
+def op13_source_divergence(spark, sf_dir):
+    """How far the sources of a language are apart, and their over-used terms."""
+    return divergence.divergence(documents(spark, sf_dir))
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     """The corpus pipeline from documents to packed sequences."""
