@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from starloom.llm import collocations, curriculum, divergence, exact_index, langid, license_scan, near_dups, order_minhash, packing, reply_trees, suffix_dedup, token_files
+from starloom.llm import collocations, curriculum, divergence, exact_index, host_boilerplate, langid, license_scan, near_dups, order_minhash, packing, reply_trees, suffix_dedup, token_files
 from starloom.llm.common import documents
 
 QUERIES: dict = {}
@@ -198,6 +198,12 @@ def op11_collocations(spark, sf_dir):
     return collocations.collocations(documents(spark, sf_dir))
 
 
+@query("op12_host_suffix_text")
+def op12_host_suffix_text(spark, sf_dir):
+    """Main text of every page."""
+    return host_boilerplate.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 @query("op13_source_divergence", rf"""
 WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
                   regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
