@@ -1,10 +1,12 @@
 """Per-key sequences (number in the key, neighbours, last-row flag) that stay
 balanced when one key holds a large share of the rows.
 
-A ``Window.partitionBy(key)`` sends every row of a key to one task.  Here the
-rows are stored in ranges of ``(key, order…)``, which cut a hot key across many
-ranges.  Windows run inside a range; what a key has in other ranges comes from
-tables with one row per range: its head and tail row, and first and last
+A ``Window.partitionBy(key)`` is one exchange, but sends every row of a key to
+one task.  Keys with more rows than a task should hold are counted first (a
+pre-aggregated count per key); all others go through such windows.  The rows of
+the large keys are stored in ranges of ``(key, order…)``, which cut a key across
+many ranges.  Windows run inside a range; what a key has in other ranges comes
+from tables with one row per range: its head and tail row, and first and last
 position of the keys that cross a border.
 """
 
@@ -12,22 +14,73 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.operators.keys import PART, PLACE, numbered, ranged
+from starloom.session import scratch_path
+
+#: Rows of one key that a task may hold.
+KEY_ROWS = 1 << 21
+
+
+def _large_keys(df: DataFrame, keys: Sequence[str], key_rows: int) -> DataFrame | None:
+    """Keys with more than ``key_rows`` rows, stored; None if there are none."""
+    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_sq_n")).where(F.col("_sq_n") > key_rows)
+    large = large.select(*[F.col(k).alias(f"_sq_k{i}") for i, k in enumerate(keys)])
+    path = scratch_path(df.sparkSession, "large-keys")
+    large.write.parquet(path)
+    stored = df.sparkSession.read.schema(large.schema).parquet(path)
+    return None if stored.isEmpty() else stored
 
 
 def sequence_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                      next_cols: Sequence[str] = (), prev_cols: Sequence[str] = (), rn: str | None = None,
                      size: str | None = None, is_last: str | None = None, is_first: str | None = None,
-                     num_partitions: int | None = None) -> DataFrame:
+                     num_partitions: int | None = None, key_rows: int = KEY_ROWS) -> DataFrame:
     """Add, each only when asked: ``rn`` (1-based number inside the key, in
     ``order``), the group ``size``, ``is_first`` and ``is_last`` flags,
     ``next_<c>`` / ``prev_<c>`` for ``next_cols`` / ``prev_cols`` (null at the
     key's end / start).  Null keys are one key.  Rows that tie in ``order``
-    are numbered once, in the stored order."""
+    have the order of a hash of the row; equal rows are interchangeable."""
     keys = list(keys)
+    hashable = [f.name for f in df.schema if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
+    order = [*order, "_sq_tie"]
+    added = [*[f"next_{c}" for c in next_cols], *[f"prev_{c}" for c in prev_cols], *[c for c in (rn, size, is_last, is_first) if c]]
+    rows = df.withColumn("_sq_tie", F.xxhash64(*[F.col(f"`{c}`") for c in hashable]))
+    asked = (keys, order, list(next_cols), list(prev_cols), rn, size, is_last, is_first, num_partitions)
+    large = _large_keys(df, keys, key_rows)
+    if large is None:
+        return _in_windows(rows, *asked).select(*df.columns, *added)
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_sq_k{i}"))
+    small = _in_windows(rows.join(large, same, "left_anti"), *asked).select(*df.columns, *added)
+    return small.unionByName(_in_ranges(rows.join(large, same, "left_semi"), *asked).select(*df.columns, *added))
+
+
+def _in_windows(df: DataFrame, keys: list[str], order: list[str], next_cols: list[str], prev_cols: list[str], rn: str | None,
+                size: str | None, is_last: str | None, is_first: str | None, num_partitions: int | None) -> DataFrame:
+    """One exchange by key, one sort; each key in one task."""
+    if num_partitions:
+        df = df.repartition(num_partitions, *keys)
+    place = Window.partitionBy(*keys).orderBy(*order)
+    columns: dict[str, Column] = {f"next_{c}": F.lead(c).over(place) for c in next_cols}
+    columns |= {f"prev_{c}": F.lag(c).over(place) for c in prev_cols}
+    if rn:
+        columns[rn] = F.row_number().over(place).cast("bigint")
+    if is_first:
+        columns[is_first] = F.row_number().over(place) == 1
+    if is_last:
+        columns[is_last] = F.lead(F.lit(1)).over(place).isNull()
+    if size:
+        columns[size] = F.count(F.lit(1)).over(Window.partitionBy(*keys)).cast("bigint")
+    return df.select("*", *[c.alias(name) for name, c in columns.items()])
+
+
+def _in_ranges(df: DataFrame, keys: list[str], order: list[str], next_cols: list[str], prev_cols: list[str], rn: str | None,
+               size: str | None, is_last: str | None, is_first: str | None, num_partitions: int | None) -> DataFrame:
+    """Two exchanges, by range and of stored ranges; keys cut across tasks."""
     stored = numbered(ranged(df, [*keys, *order], num_partitions), "_sq_pos")
     carried = list(dict.fromkeys([*keys, *next_cols, *prev_cols]))
     row = F.struct(*[F.col(c).alias(c) for c in carried])
@@ -74,8 +127,7 @@ def sequence_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             out = out.withColumn(rn, (F.col("_sq_pos") - first + 1).cast("bigint"))
         if size:
             out = out.withColumn(size, (last - first + 1).cast("bigint"))
-    added = [*[f"next_{c}" for c in next_cols], *[f"prev_{c}" for c in prev_cols], *[c for c in (rn, size, is_last, is_first) if c]]
-    return out.select(*df.columns, *added)
+    return out
 
 
 def flag_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -51,6 +52,26 @@ def test_sequence_per_key_matches_window(spark):
     assert rows(got, "k", "t", "rn", "n", "next_v", "last") == rows(expect)
 
 
+@pytest.mark.parametrize("key_rows", [1 << 21, 20, 1])
+def test_sequence_with_large_keys_in_ranges(spark, key_rows):
+    """All keys in windows, the hot and the null one in ranges, all in ranges."""
+    df = _seq_frame(spark).unionByName(spark.createDataFrame([(None, 1000, 1.0)] * 40 + [(0, 5, 9.0)], "k int, t int, v double"))
+    tie = [F.col("t"), F.xxhash64("k", "t", "v")]
+    w = Window.partitionBy("k").orderBy(*tie)
+    expect = df.select("k", "t", F.row_number().over(w).cast("bigint").alias("rn"), F.count(F.lit(1)).over(Window.partitionBy("k")).alias("n"),
+                       F.lead("v").over(w).alias("next_v"), F.lag("t").over(w).alias("prev_t"), (F.row_number().over(w) == 1).alias("first"),
+                       F.lead("t").over(w).isNull().alias("last"))
+    got = sequence_per_key(df, ["k"], ["t"], next_cols=["v"], prev_cols=["t"], rn="rn", size="n", is_first="first", is_last="last",
+                           num_partitions=6, key_rows=key_rows)
+    assert rows(got, *expect.columns) == rows(expect)
+    assert sequence_per_key(df.limit(0), ["k"], ["t"], rn="rn", key_rows=key_rows).count() == 0
+
+
+def test_sequence_is_one_exchange(spark):
+    plan = sequence_per_key(_seq_frame(spark), ["k"], ["t"], next_cols=["v"], rn="rn", size="n")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "rangepartitioning" not in plan
+
+
 def test_flag_last(spark):
     df = _seq_frame(spark)
     expect = df.select("k", "t", F.lead("t").over(Window.partitionBy("k").orderBy("t")).isNull().alias("f"))
