@@ -24,7 +24,7 @@ from starloom.session import scratch_path
 KEY_ROWS = 1 << 21
 
 
-def _large_keys(df: DataFrame, keys: Sequence[str], key_rows: int) -> DataFrame | None:
+def large_keys(df: DataFrame, keys: Sequence[str], key_rows: int) -> DataFrame | None:
     """Keys with more than ``key_rows`` rows, stored; None if there are none."""
     large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_sq_n")).where(F.col("_sq_n") > key_rows)
     large = large.select(*[F.col(k).alias(f"_sq_k{i}") for i, k in enumerate(keys)])
@@ -49,7 +49,7 @@ def sequence_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     added = [*[f"next_{c}" for c in next_cols], *[f"prev_{c}" for c in prev_cols], *[c for c in (rn, size, is_last, is_first) if c]]
     rows = df.withColumn("_sq_tie", F.xxhash64(*[F.col(f"`{c}`") for c in hashable]))
     asked = (keys, order, list(next_cols), list(prev_cols), rn, size, is_last, is_first, num_partitions)
-    large = _large_keys(df, keys, key_rows)
+    large = large_keys(df, keys, key_rows)
     if large is None:
         return _in_windows(rows, *asked).select(*df.columns, *added)
     same = F.lit(True)
