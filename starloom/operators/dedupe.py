@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.functions.text import NAMES, collated
+
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence,
                   keep_null_keys: bool = True) -> DataFrame:
@@ -64,3 +66,11 @@ def union_prefer(frames: Sequence[DataFrame], keys: Sequence[str], order: Sequen
     for t in tagged[1:]:
         u = u.unionByName(t, allowMissingColumns=True)
     return first_per_key(u, keys, ["_src_rank", *(order or [])]).drop("_src_rank")
+
+
+def spellings(df: DataFrame, name: str, collation: str = NAMES) -> DataFrame:
+    """One row per name under a collation: (name, n_rows, n_spellings), the
+    name in its smallest spelling by bytes; null names are left out."""
+    counts = df.where(F.col(name).isNotNull()).groupBy(name).agg(F.count(F.lit(1)).alias("_n"))
+    return (counts.groupBy(collated(name, collation).alias("_name"))
+                  .agg(F.min(name).alias(name), F.sum("_n").alias("n_rows"), F.count(F.lit(1)).alias("n_spellings")).drop("_name"))

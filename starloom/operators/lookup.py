@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.functions.text import NAMES, collated
+
 
 def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
     return fact.join(dim, on, how)
@@ -23,6 +25,15 @@ def unique_lookup(dim: DataFrame, natural: str, key: str, natural_as: str | None
                .agg(F.min(key).alias(key)))
 
 
+def collated_lookup(df: DataFrame, name: str, dim: DataFrame, dim_name: str, key: str, out: str, collation: str = NAMES) -> DataFrame:
+    """Left look-up of a name's key under a collation (case and accents do not
+    count, nor how they are written).  Several dimension names that compare
+    equal are one, with the smallest key, so rows are never multiplied; null
+    names find nothing.  Spark joins by the names' collation keys."""
+    keys = dim.where(F.col(dim_name).isNotNull()).groupBy(collated(dim_name, collation).alias("_cl_name")).agg(F.min(key).alias(out))
+    return df.join(keys, collated(df[name], collation) == F.col("_cl_name"), "left").drop("_cl_name")
+
+
 def replace_with_key(df: DataFrame, dim: DataFrame, natural: str, dim_natural: str,
                      dim_key: str, out: str) -> DataFrame:
     """Left look-up that swaps a natural key for the dimension's surrogate."""

@@ -48,3 +48,19 @@ def parse_failures(df: DataFrame, raw: str, parsed: str, by: Sequence[str] = ())
     g = df.groupBy(*by) if by else df.groupBy()
     return g.agg(F.count(F.col(raw)).alias("n_input"),
                  F.count_if(F.col(raw).isNotNull() & F.col(parsed).isNull()).alias("n_failed"))
+
+
+def diagnostics(df: DataFrame, checks: Sequence[tuple[str, F.Column, F.Column | None]]) -> DataFrame:
+    """(reason, value, n) from one pass: for every check (reason, condition of
+    a bad row, its value to list or None) the number of bad rows by value, the
+    rows read and the rows that fail any check (``rows dropped``).  A row
+    counts under each of its reasons."""
+    told = [F.when(bad, F.struct(F.lit(reason).alias("reason"), (F.lit(None) if value is None else value).cast("string").alias("value")))
+            for reason, bad, value in checks]
+    count = [F.struct(F.lit("rows read").alias("reason"), F.lit(None).cast("string").alias("value"))]
+    any_bad = F.lit(False)
+    for _, bad, _ in checks:
+        any_bad = any_bad | F.coalesce(bad, F.lit(False))
+    count.append(F.when(any_bad, F.struct(F.lit("rows dropped").alias("reason"), F.lit(None).cast("string").alias("value"))))
+    rows = df.select(F.explode(F.array_compact(F.array(*told, *count))).alias("d"))
+    return rows.groupBy("d.reason", "d.value").agg(F.count(F.lit(1)).alias("n"))

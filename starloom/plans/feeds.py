@@ -129,3 +129,29 @@ def wide_feed(t: Tables, number: str | None = None) -> DataFrame:
         F.when(F.col("l_linestatus") == "O", votes).otherwise(F.lit(0).cast("bigint")).alias("pre_blank_votes"),
         F.lit(0).cast("bigint").alias("pre_null_votes"),
         safe_percentage(votes, votes * 2).alias("historical_turnout"))
+
+
+def hierarchy_edges(t: Tables) -> DataFrame:
+    """(hierarchy, child, parent) of the declared hierarchies."""
+    from starloom.plans.dims import orientation_frame
+
+    def edges(rows: DataFrame, name: str, level: str, child, above: str, parent) -> DataFrame:
+        return rows.select(F.lit(name).alias("hierarchy"), F.concat(F.lit(f"{level} "), child).alias("child"),
+                           F.concat(F.lit(f"{above} "), parent).alias("parent"))
+
+    nations = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    brands = t.part.select("p_brand").where(F.col("p_brand").isNotNull()).distinct().withColumn("party_id", F.substring_index("p_brand", "#", -1).cast("int"))
+    parties = brands.join(orientation_frame(t.nation.sparkSession), "party_id", "left")
+    days = t.orders.select(F.col("o_orderdate").cast("date").alias("d")).where(F.col("d").isNotNull()).distinct()
+    day, month, year = (F.date_format("d", p) for p in ("yyyy-MM-dd", "yyyy-MM", "yyyy"))
+    parts = [
+        edges(t.region, "geography", "region", F.col("r_name"), "world", F.lit(None).cast("string")),
+        edges(nations, "geography", "country", F.col("n_name"), "region", F.col("r_name")),
+        edges(t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"), "left"), "geography", "supplier", F.col("s_name"), "country", F.col("n_name")),
+        edges(parties, "politics", "party", F.col("p_brand"), "orientation", F.col("orientation")),
+        edges(t.supplier.join(brands, F.col("s_nationkey") == F.col("party_id"), "left"), "politics", "person", F.col("s_name"), "party", F.col("p_brand")),
+        edges(days, "calendar", "date", day, "month", month), edges(days, "calendar", "month", month, "year", year)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

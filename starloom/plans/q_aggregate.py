@@ -117,13 +117,15 @@ SELECT c.c_mktsegment,
        count(*) FILTER (WHERE r.r_name = 'AMERICA') AS "AMERICA",
        count(*) FILTER (WHERE r.r_name = 'ASIA') AS "ASIA",
        count(*) FILTER (WHERE r.r_name = 'EUROPE') AS "EUROPE",
-       count(*) FILTER (WHERE r.r_name = 'MIDDLE EAST') AS "MIDDLE EAST"
+       count(*) FILTER (WHERE r.r_name = 'MIDDLE EAST') AS "MIDDLE EAST",
+       count(*) FILTER (WHERE r.r_name IS NULL OR r.r_name NOT IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST')) AS "OTHER"
 FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
 GROUP BY 1""")
 def q_category_pivot(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    names = REGION_NAMES
-    p = _segment_region(t).groupBy("c_mktsegment").pivot("r_name", names).agg(F.count(F.lit(1)))
+    names = [*REGION_NAMES, "OTHER"]
+    known = F.when(F.col("r_name").isin(REGION_NAMES), F.col("r_name")).otherwise(F.lit("OTHER"))
+    p = _segment_region(t).withColumn("r_name", known).groupBy("c_mktsegment").pivot("r_name", names).agg(F.count(F.lit(1)))
     return p.na.fill(0, subset=names)
 
 

@@ -311,12 +311,12 @@ def q_union_missing_columns(spark, sf_dir):
 @query("union_dedupe", """
 WITH u AS (
   SELECT p_partkey, p_name, 'db' AS source, 0 AS src_rank FROM part WHERE p_partkey % 3 <> 0
-  UNION ALL SELECT p_partkey, upper(p_name) AS p_name, 'csv' AS source, 1 AS src_rank FROM part WHERE p_partkey % 4 <> 0)
+  UNION ALL SELECT p_partkey, upper(p_name) AS p_name, 'csv' AS source, 1 AS src_rank FROM part WHERE p_partkey % 3 <> 1)
 SELECT p_partkey, p_name, source FROM (
   SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY src_rank) AS rn FROM u) x WHERE rn = 1""")
 def q_union_dedupe(spark, sf_dir):
     p = Tables(spark, sf_dir).part
     db = p.where(F.col("p_partkey") % 3 != 0).select("p_partkey", "p_name", F.lit("db").alias("source"))
-    csv = p.where(F.col("p_partkey") % 4 != 0).select("p_partkey", F.upper("p_name").alias("p_name"),
+    csv = p.where(F.col("p_partkey") % 3 != 1).select("p_partkey", F.upper("p_name").alias("p_name"),
                                                    F.lit("csv").alias("source"))
     return union_prefer([db, csv], ["p_partkey"])

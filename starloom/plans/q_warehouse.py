@@ -582,15 +582,17 @@ def q_hierarchy_paths(spark, sf_dir):
 @query("scd2_stream", SQL_SCD2)
 def q_scd2_stream(spark, sf_dir):
     """The events consumed as a stream of several files, one per micro-batch,
-    whose times overlap; each is merged into the SCD2 history snapshot
+    whose times overlap; each is merged into the bucketed SCD2 history
     (foreachBatch)."""
+    from starloom.operators.history_store import HistorySink, HistoryStore
     from starloom.session import scratch_path
-    from starloom.streaming.loaders import Scd2Sink, latest_snapshot, run_feed
+    from starloom.streaming.loaders import run_feed
     events = Tables(spark, sf_dir).events
-    source, target = scratch_path(spark, "scd2-source"), scratch_path(spark, "scd2-stream")
+    source = scratch_path(spark, "scd2-source")
     events.repartition(3).write.parquet(source)
-    run_feed(spark, source, events.schema, Scd2Sink(target, "user_id", "ts", ["event_id"]), "scd2", max_files_per_trigger=1)
-    return latest_snapshot(spark, target).select(*SCD2_COLS)
+    store = HistoryStore(spark, scratch_path(spark, "scd2-stream"), events.schema, "user_id", "ts", ["event_id"], buckets=16)
+    run_feed(spark, source, events.schema, HistorySink(store), "scd2", max_files_per_trigger=1)
+    return store.read().select(*SCD2_COLS)
 
 
 @query("join_on_calendar_date", f"""

@@ -12,7 +12,7 @@ from collections.abc import Callable
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
 
-_MODULES = ["q_sources", "q_relational", "q_aggregate", "q_functions", "q_warehouse"]
+_MODULES = ["q_sources", "q_relational", "q_aggregate", "q_functions", "q_warehouse", "q_history", "q_loads"]
 
 
 def query(key: str, sql: str | None = None):
