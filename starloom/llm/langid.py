@@ -10,7 +10,6 @@ document about as near to the second one is flagged ambiguous.
 from __future__ import annotations
 
 import itertools
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,21 +23,23 @@ from starloom.llm.common import written
 GRAM_BITS = 15
 #: A lower-case ASCII letter keeps its byte, other ASCII is a word break, bytes beyond are kept.
 _KEEP = np.array([b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256)], np.uint8)
-_LETTER = re.compile(r"[^\W\d_]")
 _PIECE = 1 << 20
 
 
 def grams(text: str) -> Iterator[np.ndarray]:
-    """Hashed gram numbers of the whole text, a bounded piece at a time."""
+    """Hashed gram numbers of the whole text, those that start in a bounded
+    piece at a time; piece borders change nothing."""
     raw = _KEEP[np.frombuffer(text.lower().encode("utf-8", "replace"), np.uint8)]
-    for lo in range(0, len(raw), _PIECE):
-        x = raw[max(0, lo - 3):lo + _PIECE]
-        # runs of breaks as one; a break also stands before and after the piece
-        x = np.concatenate(([32], x[(x != 32) | (np.concatenate(([0], x[:-1])) != 32)], [32])).astype(np.uint32)
-        if len(x) > 3:
-            three = (x[:-2] << np.uint32(16)) | (x[1:-1] << np.uint32(8)) | x[2:]
-            four = (three[:-1] << np.uint32(8)) | x[3:]
-            yield np.concatenate((three * np.uint32(2654435761), four * np.uint32(2246822519))) >> np.uint32(32 - GRAM_BITS)
+    # runs of breaks as one; a break also stands before and after the text
+    border = np.array([32], np.uint8)
+    raw = np.concatenate((border, raw[(raw != 32) | (np.append(np.uint8(0), raw[:-1]) != 32)], border))
+    for lo in range(0, max(0, len(raw) - 3), _PIECE):
+        x = raw[lo:lo + _PIECE + 3].astype(np.uint32)
+        three = (x[:-2] << np.uint32(16)) | (x[1:-1] << np.uint32(8)) | x[2:]
+        four = (three[:-1] << np.uint32(8)) | x[3:]
+        if lo + _PIECE + 3 < len(raw):
+            three = three[:-1]
+        yield np.concatenate((three * np.uint32(2654435761), four * np.uint32(2246822519))) >> np.uint32(32 - GRAM_BITS)
 
 
 def codewords(n: int) -> np.ndarray:
@@ -77,7 +78,7 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(language or ``und``, score 0..1, ambiguous)."""
-        if not text or not self.languages or not _LETTER.search(text):
+        if not text or not self.languages or not any(map(str.isalpha, text)):
             return "und", 0.0, True
         if len(self.languages) == 1:
             return self.languages[0], 1.0, False
