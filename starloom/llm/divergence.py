@@ -23,7 +23,7 @@ HELD = 1 << 18
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
+def term_counts(docs: DataFrame, held: int = HELD) -> DataFrame:
     """(lang, source, term, n, docs): occurrences of each term and documents
     with it, summed within a task only.  Every group has a row with an empty
     term.  Terms are runs of ASCII letters, lower-cased, and of all characters
@@ -54,7 +54,7 @@ def term_counts(docs: DataFrame) -> DataFrame:
                 terms = text.encode("utf-8", "surrogatepass").translate(_LETTERS).split()
                 counts[0].update(terms)
                 counts[1].update(set(terms))
-            if sum(len(times) for times, _ in seen.values()) >= HELD:
+            if sum(len(times) for times, _ in seen.values()) >= held:
                 yield from flush()
         yield from flush()
 
@@ -136,7 +136,7 @@ def source_pairs(terms: DataFrame, groups: DataFrame) -> DataFrame:
     return summed.select("lang", sides.alias("side"), "value").select("lang", "side.*", "value").withColumn("rank", place)
 
 
-def divergence(docs: DataFrame, min_docs: int = 10, ranks: int = 10) -> DataFrame:
+def divergence(docs: DataFrame, min_docs: int = 10, ranks: int = 10, held: int = HELD) -> DataFrame:
     """(lang, source, part, item, value, rank) over ``docs`` (lang, source,
     text; other columns ignored).
 
@@ -147,7 +147,7 @@ def divergence(docs: DataFrame, min_docs: int = 10, ranks: int = 10) -> DataFram
     are documents of their own; a group without terms has pairs only; no rows
     give no rows.  The table of kept terms holds one entry for each source of a
     term, so a frequent term is never more than its sources in one row."""
-    counts = term_counts(docs).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    counts = term_counts(docs, held).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     parts = F.array_sort(F.collect_list(F.struct("source", "n"))).alias("parts")
     terms = counts.groupBy("lang", "term").agg(parts, F.sum("n").alias("of_lang"), F.sum("docs").alias("docs"))
     terms = written(terms.filter((F.col("docs") >= min_docs) | (F.col("term") == "")).drop("docs"), "divergence-terms")
