@@ -40,20 +40,30 @@ class HistoryStore:
     def __init__(self, spark: SparkSession, path: str, feed: T.StructType, key: str, ts: str, tiebreak: Sequence[str] = (),
                  buckets: int = 64, compact_after: int = 16):
         self.spark, self.path, self.key, self.ts, self.tiebreak = spark, path, key, ts, list(tiebreak)
-        self.buckets, self.compact_after = buckets, compact_after
+        self.buckets, self.compact_after, self._made = buckets, compact_after, False
         self.feed = [f.name for f in feed]
         self.schema = T.StructType([*feed.fields, *_VERSIONS])
 
+    def _write_manifest(self, batch_id: int, entries: Sequence[tuple[str, int, list[int]]], mode: str) -> None:
+        """One file: it is there as a whole or not at all."""
+        rows = ", ".join(f"('{s}', {b}, array({', '.join(f'{g}L' for g in gens)}))" for s, b, gens in entries) or "('', 0, array(0L))"
+        made = self.spark.sql(f"SELECT cast(state AS string) AS state, cast(bucket AS int) AS bucket, live FROM VALUES {rows} AS t(state, bucket, live)")
+        (made if entries else made.limit(0)).coalesce(1).write.mode(mode).parquet(f"{self.path}/manifest/batch={batch_id}")
+
     def batches(self) -> list[int]:
         """Ids of the committed batches, rising."""
-        self.spark.createDataFrame([], _MANIFEST).write.mode("ignore").parquet(f"{self.path}/manifest/batch=-1")
-        found = self.spark.read.option("basePath", f"{self.path}/manifest").parquet(f"{self.path}/manifest")
+        if not self._made:
+            self._write_manifest(-1, [], "ignore")
+            self._made = True
+        found = self.spark.read.schema(_MANIFEST).option("basePath", f"{self.path}/manifest").parquet(f"{self.path}/manifest")
         return sorted({int(m[1]) for f in found.inputFiles() if (m := re.search(r"/batch=(\d+)/", f))})
 
     def live(self, before: int | None = None) -> Live:
         """Batches that hold the versions of each state and bucket, as of the
         newest committed batch (older than ``before``)."""
-        known = [b for b in self.batches() if before is None or b < before]
+        return self._live([b for b in self.batches() if before is None or b < before])
+
+    def _live(self, known: list[int]) -> Live:
         if not known:
             return {}
         rows = self.spark.read.schema(_MANIFEST).parquet(f"{self.path}/manifest/batch={known[-1]}").collect()
@@ -80,9 +90,10 @@ class HistoryStore:
     def merge(self, batch: DataFrame, batch_id: int) -> None:
         """Apply feed rows; afterwards the history is as if all rows so far had
         been built at once.  A batch that is already committed is left alone."""
-        if batch_id in self.batches():
+        known = self.batches()
+        if batch_id in known:
             return
-        live = self.live(before=batch_id)
+        live = self._live([b for b in known if b < batch_id])
         rows = self._stored(batch.select(*self.feed).withColumn("_bucket", self._bucket()), "history-batch")
         touched = [r[0] for r in rows.select("_bucket").distinct().collect()]
         firsts = rows.groupBy(F.col(self.key).alias("_key")).agg(F.min(self._order()).alias("_first"))
@@ -122,7 +133,7 @@ class HistoryStore:
             kept = [] if b in replaced else live.get(("closed", b), [])
             after[("closed", b)] = kept + ([batch_id] if ("closed", b) in written else [])
         entries = [(s, b, gens) for (s, b), gens in sorted(after.items()) if gens]
-        self.spark.createDataFrame(entries, _MANIFEST).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/batch={batch_id}")
+        self._write_manifest(batch_id, entries, "overwrite")
 
 
 class HistorySink:

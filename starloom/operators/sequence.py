@@ -26,12 +26,13 @@ KEY_ROWS = 1 << 21
 
 def large_keys(df: DataFrame, keys: Sequence[str], key_rows: int) -> DataFrame | None:
     """Keys with more than ``key_rows`` rows, stored; None if there are none."""
-    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_sq_n")).where(F.col("_sq_n") > key_rows)
-    large = large.select(*[F.col(k).alias(f"_sq_k{i}") for i, k in enumerate(keys)])
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_sq_n"))
+    if (counts.agg(F.max("_sq_n")).first()[0] or 0) <= key_rows:
+        return None
+    large = counts.where(F.col("_sq_n") > key_rows).select(*[F.col(k).alias(f"_sq_k{i}") for i, k in enumerate(keys)])
     path = scratch_path(df.sparkSession, "large-keys")
     large.write.parquet(path)
-    stored = df.sparkSession.read.schema(large.schema).parquet(path)
-    return None if stored.isEmpty() else stored
+    return df.sparkSession.read.schema(large.schema).parquet(path)
 
 
 def sequence_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],

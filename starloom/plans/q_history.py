@@ -21,7 +21,7 @@ def q_scd2_merge_bucketed(spark, sf_dir):
     from starloom.session import scratch_path
     e = _events(Tables(spark, sf_dir))
     cut, late = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz"), F.col("event_id") % 50 == 0
-    store = HistoryStore(spark, scratch_path(spark, "scd2-buckets"), e.schema, "user_id", "ts", ["event_id"], buckets=16)
+    store = HistoryStore(spark, scratch_path(spark, "scd2-buckets"), e.schema, "user_id", "ts", ["event_id"], buckets=8)
     for n, part in enumerate([~late & (F.col("ts") < cut), ~late & (F.col("ts") >= cut), late]):
         store.merge(e.where(part), n)
     return store.read().select(*SCD2_COLS)

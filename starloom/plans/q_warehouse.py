@@ -590,7 +590,7 @@ def q_scd2_stream(spark, sf_dir):
     events = Tables(spark, sf_dir).events
     source = scratch_path(spark, "scd2-source")
     events.repartition(3).write.parquet(source)
-    store = HistoryStore(spark, scratch_path(spark, "scd2-stream"), events.schema, "user_id", "ts", ["event_id"], buckets=16)
+    store = HistoryStore(spark, scratch_path(spark, "scd2-stream"), events.schema, "user_id", "ts", ["event_id"], buckets=8)
     run_feed(spark, source, events.schema, HistorySink(store), "scd2", max_files_per_trigger=1)
     return store.read().select(*SCD2_COLS)
 
