@@ -39,6 +39,27 @@ def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None, approx: bo
     return _long(df.agg(*aggs), cols, "distinct_count")
 
 
+def distinct_sketches(df: DataFrame, cols: Sequence[str] | None = None, lg_k: int = 12) -> DataFrame:
+    """(column_name, sketch): a HyperLogLog sketch of each column's values, as
+    text, nulls left out.  One pass that keeps 2 ** ``lg_k`` registers a
+    column; rows are not copied per column.  Sketches are values: stored with a
+    load, they merge with those of other loads."""
+    cols = list(cols or df.columns)
+    aggs = [F.hll_sketch_agg(F.col(f"`{c}`").cast("string"), lg_k).alias(c) for c in cols]
+    return _long(df.agg(*aggs), cols, "sketch")
+
+
+def merged_distincts(sketches: DataFrame, lg_k: int = 12, sigmas: float = 3.0) -> DataFrame:
+    """(column_name, loads, estimate, low, high) from (column_name, sketch) of
+    any number of loads: distinct values over all of them, and the range of
+    ``sigmas`` standard errors (1.04 / sqrt(2 ** lg_k) of the estimate)."""
+    error = sigmas * 1.04 / (1 << lg_k) ** 0.5
+    n = F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimate")
+    out = sketches.groupBy("column_name").agg(F.count(F.lit(1)).alias("loads"), n)
+    return (out.withColumn("low", F.floor(F.col("estimate") / F.lit(1 + error)).cast("bigint"))
+               .withColumn("high", F.ceil(F.col("estimate") / F.lit(1 - error)).cast("bigint")))
+
+
 def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column_name, value, n) for every non-null value; one pass, one
     shuffle of pre-aggregated (column, value) pairs."""

@@ -1 +1,107 @@
-"""Loads."""
+"""Loads: rules with quarantine, mergeable distinct counts, types of a feed."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from starloom.functions import parse_timestamp
+from starloom.operators import profile, rules
+from starloom.plans.feeds import Tables
+from starloom.plans.registry import query
+from starloom.session import scratch_path
+
+_RULES_SQL = """
+WITH x AS (
+  SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_clerk END AS clerk,
+         CASE WHEN o_orderstatus = 'P' THEN strftime(o_orderdate, '%Y/%m/%d') ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS raw,
+         o_orderkey - o_orderkey % 50 % 7 AS slot
+  FROM (SELECT *, 'Clerk ' || (o_custkey % 1200) AS o_clerk FROM orders)),
+f AS (
+  SELECT *, clerk IS NULL AS b0, coalesce(length(clerk) > 9, FALSE) AS b1,
+         raw IS NOT NULL AND try_strptime(raw, '%Y-%m-%d %H:%M:%S') IS NULL AS b2,
+         count(*) OVER (PARTITION BY slot) > 1 AND slot IS NOT NULL AS b3,
+         o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey % 8 <> 0 AND c.c_custkey = o_custkey) AS b4
+  FROM x)
+SELECT 'not_null clerk' AS rule, count(*) FILTER (WHERE b0) AS violations FROM f
+UNION ALL SELECT 'max_length clerk', count(*) FILTER (WHERE b1) FROM f
+UNION ALL SELECT 'parses raw', count(*) FILTER (WHERE b2) FROM f
+UNION ALL SELECT 'unique slot', count(*) FILTER (WHERE b3) FROM f
+UNION ALL SELECT 'foreign_key o_custkey', count(*) FILTER (WHERE b4) FROM f
+UNION ALL SELECT 'rows read', count(*) FROM f
+UNION ALL SELECT 'rows in quarantine', count(*) FILTER (WHERE b0 OR b1 OR b2 OR b3 OR b4) FROM f
+UNION ALL SELECT 'rows loaded', count(*) FILTER (WHERE NOT (b0 OR b1 OR b2 OR b3 OR b4)) FROM f"""
+
+
+@query("load_with_rules", _RULES_SQL)
+def q_load_with_rules(spark, sf_dir):
+    """The orders loaded under five rules: counts per rule, and the rows of
+    both folders read back.  Missing clerks, other date forms, shared slots and
+    customers that do not exist are made by a stated rule."""
+    t = Tables(spark, sf_dir)
+    key = F.col("o_orderkey")
+    raw = F.when(F.col("o_orderstatus") == "P", F.date_format("o_orderdate", "yyyy/MM/dd")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+    clerk = F.when(key % 5 != 0, F.concat(F.lit("Clerk "), (F.col("o_custkey") % 1200).cast("string")))
+    x = t.orders.select("o_orderkey", "o_custkey", clerk.alias("clerk"), raw.alias("raw"), (key - key % 50 % 7).alias("slot"))
+    parents = t.customer.where(F.col("c_custkey") % 8 != 0)
+    declared = [rules.not_null("clerk"), rules.max_length("clerk", 9), rules.parses("raw", parse_timestamp("raw")), rules.unique("slot"),
+                rules.foreign_key("o_custkey", parents, "c_custkey")]
+    got = rules.load_with_rules(x, declared, scratch_path(spark, "load-with-rules"))
+    counts = [*got.violations.items(), ("rows read", got.rows)]
+    told = spark.createDataFrame(counts, "rule string, violations bigint")
+    for name, kept in (("rows in quarantine", False), ("rows loaded", True)):
+        told = told.unionByName(rules.part(x, got, kept).agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("rule"), "violations"))
+    return told
+
+
+@query("distinct_sketch_merge", """
+WITH e AS (
+  SELECT 'p_partkey' AS column_name, count(DISTINCT p_partkey) AS exact_count FROM part
+  UNION ALL SELECT 'p_name', count(DISTINCT p_name) FROM part
+  UNION ALL SELECT 'p_brand', count(DISTINCT p_brand) FROM part
+  UNION ALL SELECT 'p_type', count(DISTINCT p_type) FROM part
+  UNION ALL SELECT 'p_size', count(DISTINCT p_size) FROM part
+  UNION ALL SELECT 'p_retailprice', count(DISTINCT p_retailprice) FROM part)
+SELECT column_name, CAST(3 AS BIGINT) AS loads, exact_count, TRUE AS within FROM e""")
+def q_distinct_sketch_merge(spark, sf_dir):
+    """Distinct values of each column of the parts from the sketches of three
+    loads: whether the merged estimate lies within its stated bound."""
+    p = Tables(spark, sf_dir).part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+    path = scratch_path(spark, "sketches")
+    for k in range(3):  # stored per load; no load is read again
+        profile.distinct_sketches(p.where(F.col("p_partkey") % 3 == k)).write.mode("append").parquet(path)
+    merged = profile.merged_distincts(spark.read.parquet(path))
+    exact = profile.distinct_counts(p).withColumnRenamed("distinct_count", "exact_count")
+    return merged.join(exact, "column_name").select("column_name", "loads", "exact_count", F.col("exact_count").between(F.col("low"), F.col("high")).alias("within"))
+
+
+@query("csv_infer", """
+WITH o AS (SELECT *, o_orderkey % 10 = 3 AS gap FROM orders),
+c AS (SELECT count(*) AS n, count(*) FILTER (WHERE o_orderkey % 100 <> 7) AS sound, count(*) FILTER (WHERE gap AND o_orderkey % 100 <> 7) AS gaps FROM o)
+SELECT CAST(1 AS BIGINT) AS position, 'key' AS column_name, 'int' AS data_type, sound AS n_values, CAST(0 AS BIGINT) AS n_null FROM c
+UNION ALL SELECT 2, 'big', 'bigint', sound, 0 FROM c
+UNION ALL SELECT 3, 'price', 'double', sound, 0 FROM c
+UNION ALL SELECT 4, 'day', 'date', sound - gaps, gaps FROM c
+UNION ALL SELECT 5, 'time', 'timestamp_ntz', sound, 0 FROM c
+UNION ALL SELECT 6, 'open', 'boolean', sound, 0 FROM c
+UNION ALL SELECT 7, 'mixed', 'string', sound, 0 FROM c
+UNION ALL SELECT 8, 'empty', 'string', 0, sound FROM c
+UNION ALL SELECT 9, '_corrupt_record', 'string', n - sound, sound FROM c""")
+def q_csv_infer(spark, sf_dir):
+    """The orders written as a CSV feed with mixed columns and, by a stated
+    rule, lines with a field too few or too many; its types, and the malformed
+    lines counted."""
+    from starloom.sources import infer
+    o, key = Tables(spark, sf_dir).orders, F.col("o_orderkey")
+    names = ["key", "big", "price", "day", "time", "open", "mixed", "empty"]
+    fields = [key.cast("string"), (key + 5_000_000_000).cast("string"),
+              F.when(key % 4 == 0, key.cast("string")).otherwise(F.concat(key.cast("string"), F.lit(".25"))),
+              F.when(key % 10 == 3, F.lit("")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")),
+              F.when(key % 2 == 0, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")),
+              F.when(key % 3 == 0, F.lit("true")).otherwise(F.lit("FALSE")),
+              F.when(key % 50 == 0, F.lit("n/a")).otherwise(key.cast("string")), F.lit("")]
+    line = F.concat_ws(",", *fields)
+    line = F.when(key % 200 == 7, F.concat_ws(",", *fields[:5])).when(key % 200 == 107, F.concat(line, F.lit(",more"))).otherwise(line)
+    path = scratch_path(spark, "feed-csv")
+    o.select(line.alias("value")).write.text(path)
+    text = infer.read_text_columns(spark, path, names, header=False)
+    return infer.column_types(text)
