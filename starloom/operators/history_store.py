@@ -8,7 +8,7 @@ read or written.  Only a late row (before its key's open version) makes its
 bucket's closed files be read and replaced.
 
     <path>/data/batch=<id>/state=open|closed/bucket=<n>/…
-    <path>/manifest/batch=<id>          live batches of each state and bucket
+    <path>/manifest/key=<id>            live batches of each state and bucket
 
 A batch counts once its manifest, a single file, is there; until then readers
 see the batch before it.
@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.operators.manifest import Manifest
 from starloom.operators.scd2 import build_history
 from starloom.session import scratch_path
 
@@ -40,23 +41,14 @@ class HistoryStore:
     def __init__(self, spark: SparkSession, path: str, feed: T.StructType, key: str, ts: str, tiebreak: Sequence[str] = (),
                  buckets: int = 64, compact_after: int = 16):
         self.spark, self.path, self.key, self.ts, self.tiebreak = spark, path, key, ts, list(tiebreak)
-        self.buckets, self.compact_after, self._made = buckets, compact_after, False
+        self.buckets, self.compact_after = buckets, compact_after
+        self.manifest = Manifest(spark, f"{path}/manifest", _MANIFEST)
         self.feed = [f.name for f in feed]
         self.schema = T.StructType([*feed.fields, *_VERSIONS])
 
-    def _write_manifest(self, batch_id: int, entries: Sequence[tuple[str, int, list[int]]], mode: str) -> None:
-        """One file: it is there as a whole or not at all."""
-        rows = ", ".join(f"('{s}', {b}, array({', '.join(f'{g}L' for g in gens)}))" for s, b, gens in entries) or "('', 0, array(0L))"
-        made = self.spark.sql(f"SELECT cast(state AS string) AS state, cast(bucket AS int) AS bucket, live FROM VALUES {rows} AS t(state, bucket, live)")
-        (made if entries else made.limit(0)).coalesce(1).write.mode(mode).parquet(f"{self.path}/manifest/batch={batch_id}")
-
     def batches(self) -> list[int]:
         """Ids of the committed batches, rising."""
-        if not self._made:
-            self._write_manifest(-1, [], "ignore")
-            self._made = True
-        found = self.spark.read.schema(_MANIFEST).option("basePath", f"{self.path}/manifest").parquet(f"{self.path}/manifest")
-        return sorted({int(m[1]) for f in found.inputFiles() if (m := re.search(r"/batch=(\d+)/", f))})
+        return sorted(map(int, self.manifest.keys()))
 
     def live(self, before: int | None = None) -> Live:
         """Batches that hold the versions of each state and bucket, as of the
@@ -66,8 +58,7 @@ class HistoryStore:
     def _live(self, known: list[int]) -> Live:
         if not known:
             return {}
-        rows = self.spark.read.schema(_MANIFEST).parquet(f"{self.path}/manifest/batch={known[-1]}").collect()
-        return {(r.state, r.bucket): list(r.live) for r in rows}
+        return {(r.state, r.bucket): list(r.live) for r in self.manifest.read(known[-1]).collect()}
 
     def read(self, live: Live | None = None, state: str | None = None, buckets: Iterable[int] | None = None) -> DataFrame:
         """The history, or the part of one state or of some buckets."""
@@ -133,7 +124,9 @@ class HistoryStore:
             kept = [] if b in replaced else live.get(("closed", b), [])
             after[("closed", b)] = kept + ([batch_id] if ("closed", b) in written else [])
         entries = [(s, b, gens) for (s, b), gens in sorted(after.items()) if gens]
-        self._write_manifest(batch_id, entries, "overwrite")
+        lines = ", ".join(f"('{s}', {b}, array({', '.join(f'{g}L' for g in gens)}))" for s, b, gens in entries) or "('', 0, array(0L))"
+        record = self.spark.sql(f"SELECT * FROM VALUES {lines} AS t(state, bucket, live)")
+        self.manifest.write(batch_id, record if entries else record.limit(0))
 
 
 class HistorySink:

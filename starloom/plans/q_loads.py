@@ -105,3 +105,81 @@ def q_csv_infer(spark, sf_dir):
     o.select(line.alias("value")).write.text(path)
     text = infer.read_text_columns(spark, path, names, header=False)
     return infer.column_types(text)
+
+
+def _star_sql() -> str:
+    from starloom.plans.q_sources import _star_sql
+    return _star_sql()
+
+
+@query("star_resume", _star_sql())
+def q_star_resume(spark, sf_dir):
+    """The star loaded in two runs: the first ends with an error after three
+    tables, the second goes on with the fourth; digests of the published
+    tables."""
+    from starloom.plans import q_warehouse as W
+    from starloom.plans.q_sources import STAR_TEXT
+    from starloom.sources import sinks
+    from starloom.sources.resume import TableSet
+    t = Tables(spark, sf_dir)
+
+    def fact(read):
+        rows = W.build_fact(t, *(read(n) for n in ("dim_country", "dim_date", "dim_party", "dim_election", "dim_election_history")))
+        return rows.join(read("dim_date").select("date_tk", "year"), "date_tk", "left").repartitionByRange("year", "fact_id")
+
+    def lost(read):
+        raise ConnectionError("source went away")
+
+    tables = {"dim_country": lambda read: W.build_dim_country(t), "dim_date": lambda read: W.build_dim_date(t), "dim_party": lambda read: W.build_dim_party(t),
+              "dim_person": lambda read: W.build_dim_person(t, read("dim_country")), "dim_election": lambda read: W.build_dim_election(t, read("dim_date"), read("dim_country")),
+              "dim_election_history": lambda read: W.build_dim_history(t), "fact_election_result": fact}
+    star = TableSet(spark, scratch_path(spark, "star-resume"))
+    try:
+        star.load(1, tables | {"dim_person": lost})
+    except ConnectionError:
+        pass
+    if star.paths():
+        raise AssertionError("half a star is visible")
+    again = star.load(1, tables, partition_by={"fact_election_result": ["year"]})
+    if again != list(tables)[3:]:
+        raise AssertionError(f"written again: {again}")
+    return sinks.written_digests(spark, star.paths(), STAR_TEXT)
+
+
+def _incremental_sql() -> str:
+    from starloom.plans.q_warehouse import SQL_INCREMENTAL
+    return SQL_INCREMENTAL
+
+
+@query("incremental_dim_delta", _incremental_sql())
+def q_incremental_dim_delta(spark, sf_dir):
+    """The parts' names in two batches, the second added to the first as a
+    file of new members."""
+    from starloom.operators.dim_store import DimStore
+    p = Tables(spark, sf_dir).part.select("p_partkey", F.concat("p_brand", F.lit(" "), "p_name").alias("name"))
+    store = DimStore(spark, scratch_path(spark, "dim-delta"), "name")
+    store.load(p.where(F.col("p_partkey") % 3 == 0), 0)
+    store.load(p, 1)
+    return store.read().select("id", "name")
+
+
+@query("unmatched_suggestions", """
+WITH k AS (SELECT DISTINCT p_brand || ' ' || p_name AS name FROM part),
+w AS (SELECT CASE p_partkey % 5 WHEN 0 THEN substr(n, 1, 3) || substr(n, 5) WHEN 1 THEN substr(n, 1, 9) || 'x' || substr(n, 11) WHEN 2 THEN n || 'qq'
+                  WHEN 3 THEN reverse(n) ELSE n END AS name
+      FROM (SELECT p_partkey, p_brand || ' ' || p_name AS n FROM part)),
+u AS (SELECT name, count(*) AS n_rows FROM w WHERE name NOT IN (SELECT name FROM k) GROUP BY name),
+d AS (SELECT u.name, k.name AS suggestion, levenshtein(u.name, k.name) AS distance FROM u JOIN k ON levenshtein(u.name, k.name) <= 2),
+b AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY distance, suggestion) AS rn FROM d)
+SELECT u.name, n_rows, suggestion, CAST(coalesce(distance, -1) AS INTEGER) AS distance FROM u LEFT JOIN b ON b.name = u.name AND rn = 1""")
+def q_unmatched_suggestions(spark, sf_dir):
+    """Feed names that match no part (letters lost, changed or added by a
+    stated rule) with the nearest known name."""
+    from starloom.operators.lookup import anti_new
+    from starloom.operators.similar import suggestions
+    n, key = F.concat("p_brand", F.lit(" "), "p_name"), F.col("p_partkey") % 5
+    p = Tables(spark, sf_dir).part.select(n.alias("known"), F.when(key == 0, F.concat(F.substring(n, 1, 3), F.substring(n, 5, 1 << 20)))
+                                          .when(key == 1, F.concat(F.substring(n, 1, 9), F.lit("x"), F.substring(n, 11, 1 << 20)))
+                                          .when(key == 2, F.concat(n, F.lit("qq"))).when(key == 3, F.reverse(n)).otherwise(n).alias("name"))
+    known = p.select(F.col("known").alias("name")).distinct()
+    return suggestions(anti_new(p.select("name"), known, ["name"]), known, "name", "name")
