@@ -64,7 +64,7 @@ def plain_collocations(rows, least, top, inside=80):
 @pytest.mark.parametrize("least,top", [(4, 5), (30, 2000), (150, 2000)])
 def test_collocations(docs, rows, least, top):
     # tasks that send on after few words, and so few buckets that many are shared
-    got = collocations.collocations(docs, least=least, top=top, bits=12, held=500)
+    got = collocations.collocations(docs, least=least, top=top, bits=12, held=500, most=100)
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
     want = plain_collocations(rows, least, top)
     assert sorted(tuple(r) for r in got.collect()) == want and len(want) > 3
