@@ -5,8 +5,10 @@ Words are runs of letters and digits, lower-cased; shingles have five words.
 Templates of fewer than four shingles are looked for with windows of one
 shingle, whose MinHash is the shingle itself (collision certain); longer ones
 with windows of four, every second place, against the template's windows at
-every place: an untouched stretch of nine words collides for certain, one
-whose window shares 0.8 of its shingles with probability 1 - 0.2^4.
+every place: an untouched stretch of nine words collides for certain.  Each band
+is the minimum of a hash of its own, so windows with Jaccard similarity j share a
+band with probability 1 - (1 - j)^4: 0.97 where they share three of four
+shingles (j = 0.6), and a template has many windows.
 """
 
 from __future__ import annotations
@@ -33,8 +35,6 @@ WORD = r"[\p{L}\p{N}]+"
 SHINGLE = 5
 #: (shingles in a window, places between windows, bands of one minimum each)
 SHORT, LONG = (1, 1, 1), (4, 2, 4)
-#: One constant per band; a minimum is taken over the shingle hashes xor it.
-SEEDS = (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179, 0x2545F4914F6CDD1D, 0x3C6EF372FE94F82B)
 
 
 def shingles(text: Column) -> Column:
@@ -52,10 +52,14 @@ def band_keys(h: Column, kind: tuple[int, int, int], every: int) -> Column:
     The last window may be short."""
     size, _, bands = kind
     places = F.when(F.size(h) > 0, F.sequence(F.lit(0), F.greatest(F.size(h) - size + every - 1, F.lit(0)), F.lit(every)))
-    keys = F.transform(F.coalesce(places, F.array().cast("array<int>")), lambda i: F.array(*[
-        F.least(*[at(h, i + d).bitwiseXOR(F.lit(SEEDS[b])) for d in range(size)]) if size > 1
-        else at(h, i).bitwiseXOR(F.lit(SEEDS[b])) for b in range(bands)]))
-    return F.flatten(keys)
+    places = F.coalesce(places, F.array().cast("array<int>"))
+
+    def band(seed: int) -> Column:
+        # a hash of its own, computed once a shingle
+        hashes = F.transform(h, lambda x: F.when(x.isNotNull(), F.xxhash64(x, F.lit(seed))))
+        return let(hashes, lambda g: F.transform(places, lambda i: F.least(*[at(g, i + d) for d in range(size)]) if size > 1 else at(g, i)))
+
+    return F.concat(*[band(b) for b in range(bands)])
 
 
 def _templates(spark, templates: dict[str, str]) -> DataFrame:

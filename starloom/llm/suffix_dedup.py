@@ -266,9 +266,14 @@ def _shards(docs: DataFrame, shard_bytes: int) -> tuple[DataFrame, int]:
 
     rows = (dealt.select("shard", "doc_id", "unnamed", "data").repartition(buckets, "shard").sortWithinPartitions("shard", "doc_id", "data")
                  .mapInArrow(gather, "shard bigint, doc_id array<bigint>, unnamed array<boolean>, size array<bigint>, data binary"))
-    name = "llm_" + scratch_path(spark, "shards").rsplit("-", 1)[-1]
-    rows.write.option("compression", "zstd").bucketBy(buckets, "shard").saveAsTable(name)
-    return spark.table(name), total
+    # bucketed files need a table; its files lie in the shared folder, and the
+    # name goes once the frame has them
+    path = scratch_path(spark, "shards")
+    name = "llm_" + path.rsplit("-", 1)[-1]
+    rows.write.option("compression", "zstd").option("path", path).bucketBy(buckets, "shard").saveAsTable(name)
+    shards = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return shards, total
 
 
 def _by_shard(shards: DataFrame, sent: DataFrame, *columns: str) -> DataFrame:
