@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.common import written
-from starloom.llm.tokens import encoder
+from starloom.llm.tokens import encoder, slices
 
 _TYPE = {8: np.dtype("u1"), 16: np.dtype("<u2"), 32: np.dtype("<u4")}
 _BLOCK = 512
@@ -113,8 +113,7 @@ def write_segments(docs: DataFrame, tokenizer: str, end_id: int, segment_tokens:
                 ["part", "seq", "doc_id", "n_tokens", "image"])
 
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                rows = batch.slice(lo, 256)
+            for rows in slices(batch, 1):
                 for name, got in zip(rows.column(0).to_pylist(), coder.encode([t or "" for t in rows.column(1).to_pylist()])):
                     names.append(name)
                     ids.append(got + end)

@@ -1,23 +1,42 @@
 """Whole-text encoding with the ``tokenizers`` library, one call per distinct
-white-space chunk instead of one per text.
-
-Both pre-tokenizers handled here split a text at white space before any merge,
-so the ids of a text are the ids of its chunks in order.  A bounded cache keeps
-chunk → ids; chunks not in it are encoded together in one library call.  Texts
-with characters whose white space or lower case is not plain (anything beyond
-Latin Extended-B, controls, no-break spaces) go to the library whole.
+chunk instead of one per text.
+
+Both pre-tokenizers handled here cut a text at white space and between letters
+and punctuation before any merge, so the ids of a text are the ids of its chunks
+in order.  Texts are cut and their chunks numbered by Arrow; distinct chunks are
+looked up in a bounded cache, and those not in it are encoded together in one
+library call.  Texts that do not cut so plainly (characters whose white space or
+lower case is not plain, apostrophes, symbols beyond ASCII, strings that are
+tokens of their own) go to the library whole.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+#: ASCII punctuation without the apostrophe.
+_MARKS = r"!-&(-/:-@\[-`{-~"
+#: Beyond letters of Latin-1 and Latin Extended, digits, marks, blanks and newlines.
+_ODD = re.compile(rf"[^\n\x20a-zA-Z0-9{_MARKS}ªµºÀ-ÖØ-öø-įı-ɏ]")
+_LETTERS = "[a-zA-ZªµºÀ-ÖØ-öø-įı-ɏ]"
+_RUNS = ("  ", " \n", "\n ", "\n\n")
+
+
+#: ASCII that is plain in any place.
+_PLAIN = bytes(c for c in range(128) if not _ODD.search(chr(c)))
+
 
-_ODD = re.compile("[^\t\n\r\x20-\x7e\xa1-įı-ɏ]")
-_RUNS = ("\t", "\r", "  ", " \n", "\n ", "\n\n")
-_PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^`{|}~"
+def _odd(text: str) -> bool:
+    """Whether a text holds a character that is not plain: only those beyond
+    plain ASCII are looked at one by one."""
+    rest = text.encode("utf-8", "replace").translate(None, _PLAIN)
+    return bool(rest) and _ODD.search(rest.decode()) is not None
 
 
 def tokenizer_path(name: str) -> str:
@@ -29,6 +48,17 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def slices(batch: pa.RecordBatch, column: int, size: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """``batch`` in runs of rows whose texts hold about ``size`` bytes: chunks
+    that repeat in a run are looked up once."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + size)))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 _ENCODERS: dict[str, ChunkEncoder] = {}
 
 
@@ -40,87 +70,147 @@ def encoder(name: str) -> ChunkEncoder:
     return _ENCODERS[name]
 
 
+def _spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Places start .. start + size of every entry, one after the other."""
+    ends = np.cumsum(size)
+    return np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class ChunkEncoder:
-    """Texts → ids as little-endian unsigned 32-bit bytes."""
+    """Texts → ids as little-endian unsigned 32-bit bytes, those that the
+    library gives for the whole text with ``add_special_tokens=False``.
 
-    def __init__(self, name: str, cache_entries: int = 3 << 19):
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+    Known chunks are an Arrow array beside their ids, so looking up, learning
+    and joining are array operations.  Beyond ``cache_chunks`` those looked up
+    since the last time stay, the latest half at most: the cache is bounded (some
+    40 bytes a chunk) and never emptied as a whole."""
+
+    def __init__(self, name: str, cache_chunks: int = 3 << 17):
+        from tokenizers import Tokenizer
         path = tokenizer_path(name)
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings are ordinary text
         with open(path, encoding="utf-8") as f:
             conf = json.load(f)
         pre, norm = conf.get("pre_tokenizer") or {}, conf.get("normalizer") or {}
         if not norm and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space"):
-            self._split = self._byte_chunks
+            self._plain, self._chunks = self._plain_bytes, self._byte_chunks
         elif [n.get("type") for n in norm.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]:
-            self._split = self._word_chunks
+            self._plain, self._chunks = self._plain_words, self._word_chunks
         else:
-            self._split = lambda text: None
-        self.one_word = Tokenizer.from_file(path)
-        self.one_word.encode_special_tokens = True
-        self.one_word.normalizer = normalizers.Sequence([])
-        self.one_word.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.cache: dict[str, bytes] = {}
-        self.cache_entries = cache_entries
+            self._plain, self._chunks = lambda text: False, None
+        # a word's first token starts with its space, or its last one says so
+        self._lead = self._chunks is self._byte_chunks
+        end = conf["model"].get("end_of_word_suffix") or ""
+        self._border = np.zeros(self.library.get_vocab_size(), bool)
+        for token, number in self.library.get_vocab().items():
+            self._border[number] = token.startswith("Ġ") if self._lead else bool(end) and token.endswith(end)
+        # strings that are tokens of their own wherever they stand
+        added = [t["content"] for t in conf.get("added_tokens") or []]
+        self._added = re.compile("|".join(map(re.escape, added)), re.I) if added else None
+        self.limit = cache_chunks
+        self.words, self.flat, self.ends, self.used = pa.array([], pa.large_string()), np.zeros(0, "<u4"), np.zeros(1, np.int64), np.zeros(0, bool)
+        self.looked_up = self.learned = self.turns = 0
 
     @staticmethod
-    def _word_chunks(text: str) -> list[str] | None:
-        return None if _ODD.search(text) else text.lower().split()
+    def _plain_words(text: str) -> bool:
+        return not _odd(text)
 
     @staticmethod
-    def _byte_chunks(text: str) -> list[str] | None:
-        """A single space belongs to the word after it, a single newline
-        stands alone; longer runs of white space go to the library."""
-        if _ODD.search(text) or text[0] in " \n" or text[-1] in " \n" or any(run in text for run in _RUNS):
-            return None
-        out: list[str] = []
-        for k, line in enumerate(text.split("\n")):
-            if k:
-                out.append("\n")
-            out += line.replace(" ", "\0 ").split("\0")
-        return out
+    def _word_chunks(texts: pa.Array) -> pa.Array:
+        apart = pc.replace_substring_regex(pc.utf8_lower(texts), rf"([{_MARKS}]+)", r" \1 ")
+        return pc.utf8_split_whitespace(apart)
 
-    def _ids_of(self, words: list[str], library) -> None:
-        got = library.encode(words, is_pretokenized=True, add_special_tokens=False)
-        raw = np.array(got.ids, "<u4").tobytes()
-        cuts = (np.searchsorted(np.array(got.word_ids, np.int64), np.arange(len(words) + 1)) * 4).tolist()
-        self.cache.update((w, raw[a:b]) for w, a, b in zip(words, cuts, cuts[1:]))
-
-    def _learn(self, missing: set[str]) -> None:
-        """Letters and the punctuation after them are pre-tokens of their own:
-        they are learned apart and joined.  A chunk of letters alone is one
-        pre-token, already in its normal form."""
-        cache, letters, others, joined = self.cache, set(), set(), []
-        for w in missing:
-            head = w.rstrip(_PUNCTUATION)
-            if not head.lstrip(" ").isalpha() or head.startswith("  "):
-                others.add(w)
-                continue
-            letters.add(head)
-            if head != w:
-                others.add(w[len(head):])
-                joined.append((w, head, w[len(head):]))
-        letters, others = (list(part.difference(cache)) for part in (letters, others))
-        if letters:
-            self._ids_of(letters, self.one_word)
+    @staticmethod
+    def _plain_bytes(text: str) -> bool:
+        return not (text[0] in " \n" or text[-1] in " \n" or _odd(text) or any(run in text for run in _RUNS))
+
+    @staticmethod
+    def _byte_chunks(texts: pa.Array) -> pa.Array:
+        """A single space belongs to what follows it, a single newline stands
+        alone; longer runs of white space go to the library."""
+        apart = pc.replace_substring_regex(texts, rf"( ?[{_MARKS}]+|\n)", "\0\\1\0")
+        return pc.split_pattern(pc.replace_substring(apart, " ", "\0 "), "\0")
+
+    def _learn(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each chunk): one library call on all chunks
+        that are letters, which it tells apart again by the tokens that begin
+        (or end) a word, and one on the others."""
+        self.learned += len(chunks)
+        letters = pc.match_substring_regex(chunks, f"^{' ' if self._lead else ''}{_LETTERS}+$")
+        size = np.zeros(len(chunks), np.int64)
+        is_word = letters.to_numpy(zero_copy_only=False)
+        ids = np.zeros(0, "<u4")
+        words = chunks.filter(letters)
+        if len(words):
+            text = ("" if self._lead else " ").join(words.to_numpy(zero_copy_only=False))
+            ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            border = np.flatnonzero(self._border[ids])
+            cuts = np.append(border, len(ids)) if self._lead else np.append(0, border + 1)
+            if len(cuts) != len(words) + 1:
+                raise AssertionError("the vocabulary does not mark its words")
+            size[is_word] = np.diff(cuts)
+        others = chunks.filter(pc.invert(letters)).to_pylist()
         if others:
-            self._ids_of(others, self.library)
-        cache.update((w, cache[a] + cache[b]) for w, a, b in joined)
+            got = self.library.encode(others, is_pretokenized=True, add_special_tokens=False)
+            size[~is_word] = np.bincount(np.array(got.word_ids, np.int64), minlength=len(others)) if got.ids else 0
+            ids = np.concatenate([ids, np.array(got.ids, "<u4")])
+        # letters first, then the others: back to the order of the chunks
+        order = np.concatenate([np.flatnonzero(is_word), np.flatnonzero(~is_word)])
+        start = np.empty(len(chunks), np.int64)
+        start[order] = np.cumsum(size[order]) - size[order]
+        return ids[_spread(start, size)], size
+
+    def _look_up(self, chunks: pa.Array) -> np.ndarray:
+        """Places of distinct chunks among the known ones, learned if need be."""
+        self.looked_up += len(chunks)
+        at = pc.index_in(chunks, value_set=self.words)
+        unseen = pc.is_null(at)
+        new = chunks.filter(unseen)
+        place = pc.fill_null(at, 0).to_numpy().astype(np.int64)
+        is_new = unseen.to_numpy(zero_copy_only=False)
+        self.used[place[~is_new]] = True
+        if len(new):
+            ids, size = self._learn(new)
+            place[is_new] = len(self.words) + np.arange(len(new))
+            self.words, self.flat = pa.concat_arrays([self.words, new]), np.concatenate([self.flat, ids])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(size)])
+            self.used = np.concatenate([self.used, np.zeros(len(new), bool)])
+        return place
+
+    def _evict(self) -> None:
+        keep = np.flatnonzero(self.used)[-(self.limit // 2):] if self.limit > 1 else np.zeros(0, np.int64)
+        size = np.diff(self.ends)[keep]
+        self.flat = self.flat[_spread(self.ends[keep], size)]
+        self.words, self.ends, self.used = self.words.take(pa.array(keep)), np.append(0, np.cumsum(size)), np.zeros(len(keep), bool)
+        self.turns += 1
+
+    def _encode_plain(self, texts: list[str]) -> list[bytes]:
+        chunks = self._chunks(pa.array(texts, pa.large_string()))
+        coded = chunks.flatten().dictionary_encode()
+        place = self._look_up(coded.dictionary)[coded.indices.to_numpy()]
+        size = np.diff(self.ends)[place]
+        raw = self.flat[_spread(self.ends[place], size)].tobytes()
+        cuts = (4 * np.append(0, np.cumsum(size))[chunks.offsets.to_numpy()]).tolist()
+        if len(self.words) > self.limit:
+            self._evict()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for lo in range(0, len(texts), 256):
-            part = texts[lo:lo + 256]
-            chunks = [self._split(t) if t else [] for t in part]
-            need = set().union(*(c for c in chunks if c))
-            missing = need.difference(self.cache)
-            if missing:
-                if len(self.cache) + 2 * len(missing) > self.cache_entries:
-                    self.cache.clear()
-                    missing = need
-                self._learn(missing)
-            pick = self.cache.__getitem__
-            out += [np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
-                    if c is None else b"".join(map(pick, c)) for t, c in zip(part, chunks)]
+        out, plain, size = [b""] * len(texts), [], 0
+        for k, text in enumerate(texts):
+            if not text:
+                continue
+            if self._added and self._added.search(text) or not self._plain(text):
+                out[k] = np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+                continue
+            plain.append(k)
+            size += len(text)
+            if size > 1 << 21:
+                self._fill(out, plain, texts)
+                plain, size = [], 0
+        self._fill(out, plain, texts)
         return out
+
+    def _fill(self, out: list[bytes], places: list[int], texts: list[str]) -> None:
+        for k, ids in zip(places, self._encode_plain([texts[k] for k in places]) if places else ()):
+            out[k] = ids

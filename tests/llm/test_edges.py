@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import brute
 from starloom.llm import components, curriculum, exact_index, langid, license_scan, near_dups, order_minhash, packing, reply_trees, suffix_dedup, token_files
-from starloom.llm.tokens import ChunkEncoder
+from starloom.llm.tokens import ChunkEncoder, tokenizer_path
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, key string, n int, size string, shard int, slot int, kept int, score int"
 WORDS = [f"w{i}" for i in range(400)]
@@ -200,6 +200,31 @@ def test_token_files(docs, none):
     assert ends[0][0] == 0 and all(a[1] == b[0] for a, b in zip(ends, ends[1:]))
 
 
+def test_letters_are_unicode_letters():
+    """Numbers that look like letters (superscripts, fractions, circled and
+    Roman numerals) are none."""
+    from collections import Counter
+
+    import numpy as np
+    model = langid.Model(["de", "en"], np.random.default_rng(0).random((2, 1 << langid.GRAM_BITS)) * 9)
+    for text in ("½ ² Ⅷ", "①② 12", "٣", "…!", "", None):
+        assert model.predict(text)[0] == "und"
+    for text in ("a", "½ é", "漢", "ª"):
+        assert model.predict(text)[0] in ("de", "en")
+    # piece borders change nothing: a text over 1 MiB against a plain count
+    text = " ".join(random.Random(3).choices(["über", "a", "b-c", "日本", "X1"], k=300_000))
+    raw = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in text.lower().encode())
+    raw = b" " + re.sub(b" +", b" ", raw) + b" "
+    assert len(raw) > 1 << 20
+    want = Counter(raw[i:i + n] for n in (3, 4) for i in range(len(raw) - n + 1))
+    number = lambda g: int.from_bytes(g, "big") * (2654435761 if len(g) == 3 else 2246822519) % (1 << 32) >> 32 - langid.GRAM_BITS
+    hashed = Counter()
+    for g, n in want.items():
+        hashed[number(g)] += n
+    got = sum(np.bincount(x, minlength=1 << langid.GRAM_BITS) for x in langid.grams(text))
+    assert {i: n for i, n in enumerate(got.tolist()) if n} == dict(hashed)
+
+
 def test_directly_addressable_codes():
     import numpy as np
     rng = np.random.default_rng(0)
@@ -213,12 +238,19 @@ def test_directly_addressable_codes():
 
 
 def test_chunk_encoder_equals_the_library():
-    texts = [t or "" for _, t in ROWS] + ["a  b", "a \n b", " lead", "trail ", "a\n\nb", "it's don't I'LL", "tab\tx", "<|endoftext|> x", "é́ ﬁ İ Σ", "a.b,c!!d", "x_1 y__", "'", "a 's b"]
+    texts = [t or "" for _, t in ROWS] + ["a  b", "a \n b", " lead", "trail ", "a\n\nb", "it's don't I'LL", "tab\tx", "<|endoftext|> x", "x<|endoftext|>", "<|EndOfText|>", "é́ ﬁ İ Σ", "(a) \"b\" --c", "x ,y . z", "«a», b", "½ ² ①", "a-1b 12 345", "…", "\u00a0a", "ǅ ŉ", "a.b,c!!d", "x_1 y__", "'", "a 's b"]
     for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
-        e = ChunkEncoder(name, cache_entries=50)
         import numpy as np
-        want = [np.array(e.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
-        assert e.encode(texts) == want and e.encode(texts) == want
+        from tokenizers import Tokenizer
+        # the library as it comes, with the strings that are tokens of their own
+        library = Tokenizer.from_file(tokenizer_path(name))
+        want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        for size in (1, 20, 1 << 19):  # caches that turn over at once, and one that never does
+            e = ChunkEncoder(name, cache_chunks=size)
+            assert e.encode(texts) == want and e.encode(texts[::-1]) == want[::-1]
+            assert e.encode(["", *texts[:1]]) == [b"", want[0]] and e.encode([]) == []
+            assert (e.turns > 0) == (size < 1 << 19)
+        assert len(library.encode("<|endoftext|> x", add_special_tokens=False).ids) == 2
 
 
 def test_packing(docs, none):
@@ -266,6 +298,20 @@ def test_licenses(spark, docs, none):
     assert got == [(0, "MIT"), (1, "MIT"), (3, "MIT-notice")]
 
 
+def test_license_bands_are_independent(spark):
+    """Windows that share three of four shingles miss all four bands about as
+    often as four independent draws do: 0.4 ** 4."""
+    draws = spark.range(20_000).select(*[F.xxhash64("id", F.lit(k)).alias(f"s{k}") for k in range(5)])
+    a, b = (license_scan.band_keys(F.array(*names), license_scan.LONG, 1) for names in (["s0", "s1", "s2", "s3"], ["s1", "s2", "s3", "s4"]))
+    bands = license_scan.LONG[2]
+    same = [F.get(a, F.lit(k)) == F.get(b, F.lit(k)) for k in range(bands)]  # one window each
+    any_same = same[0]
+    for s in same[1:]:
+        any_same = any_same | s
+    got = draws.select(*[F.avg(s.cast("int")).alias(f"b{k}") for k, s in enumerate(same)], F.avg(any_same.cast("int")).alias("found")).first()
+    assert all(abs(got[f"b{k}"] - 0.6) < 0.02 for k in range(bands)) and abs(got.found - (1 - 0.4**4)) < 0.01
+
+
 def test_order_minhash(spark, docs, none):
     fp = order_minhash.fingerprint(F.col("text"))
     assert none.select(fp).count() == 0
