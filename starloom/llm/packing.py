@@ -27,15 +27,15 @@ from starloom.llm.tokens import encoder, slices
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint")
 
-#: Terms in a dealing key (21 bits each), documents that rarity is taken from, shards of a task.
-DRAWS, SAMPLED, SHARDS = 3, 2048, 16
+#: Terms in a dealing key (21 bits each), shards of a task.
+DRAWS, SHARDS = 3, 16
 
 
 def draws(df: np.ndarray, n: int) -> np.ndarray:
     """One row per draw: the place of each term in it.  A document's first term
     is its weighted MinHash: two documents agree on it with the probability of
-    their weighted Jaccard similarity, weights being the terms' idf in a sample
-    of ``n`` documents."""
+    their weighted Jaccard similarity, weights being the terms' idf among all
+    ``n`` documents."""
     idf = np.log((n - df + 0.5) / (df + 0.5))
     out = np.empty((DRAWS, len(df)))
     for k in range(DRAWS):
@@ -48,12 +48,19 @@ def draws(df: np.ndarray, n: int) -> np.ndarray:
     return np.argsort(np.argsort(out, axis=1, kind="stable"), axis=1, kind="stable").astype(np.int32)
 
 
-def dealing_key(ids: np.ndarray, places: np.ndarray) -> int:
-    """A document's first terms, one of each draw."""
-    first = ids[np.argmin(places[:, ids], axis=1)] if len(ids) else np.zeros(DRAWS, np.uint32)
-    key = 0
-    for term in first.tolist():
-        key = key << 21 | term & (1 << 21) - 1
+def dealing_keys(raw: bytes, kind: str, ends: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """A key for each document of a run, its first terms, one of each draw.
+    ``raw`` holds its ids laid end to end, ``ends`` their ends; the last id of a
+    document is no term, one without terms has key 0."""
+    ids = np.frombuffer(raw, kind).astype(np.int64)
+    last = ends - 1
+    ids[last] = 0
+    key, starts = np.zeros(len(ends), np.int64), np.append(0, ends[:-1])[:len(ends)]
+    for place in places:
+        at = place[ids]
+        at[last] = len(place)
+        term = np.append(np.argsort(place), 0)
+        key = key << 21 | term[np.minimum.reduceat(at, starts) if len(ends) else at] & (1 << 21) - 1
     return key
 
 
@@ -136,26 +143,24 @@ def pack_shard(ids: list[np.ndarray], window: int) -> list[tuple[int, int, int,
     return pieces
 
 
-def _document_counts(rows: DataFrame, tokenizer: str) -> tuple[np.ndarray, int]:
-    """(documents that hold each term, documents) of ``rows``: one row per term
-    reaches the driver."""
+def _document_counts(counts: DataFrame, size: int) -> tuple[np.ndarray, int]:
+    """(documents that hold each of ``size`` terms, documents) of the whole
+    table: ``counts`` has what its tasks counted (terms, then documents; the
+    last term stands for all documents).  One row per term reaches the driver."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(tokenizer)
-        df, n = np.zeros(coder.library.get_vocab_size(), np.int64), 0
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df = np.zeros(size + 1, np.int64)
         for batch in batches:
-            for part in slices(batch, 1):
-                for x in coder.encode(part.column(1).to_pylist()):
-                    df[np.unique(np.frombuffer(x, "<u4"))] += 1
-                    n += 1
+            for x in batch.column(0).to_pylist():
+                term, n = np.frombuffer(x, "<i8").reshape(2, -1)
+                df[term] += n
         held = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array([-1, *held.tolist()], pa.int64()), pa.array([n, *df[held].tolist()], pa.int64())], ["term", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(df[held])], ["term", "n"])
 
-    found = dict(map(tuple, rows.mapInArrow(count, "term bigint, n bigint").groupBy("term").agg(F.sum("n")).collect()))
-    n = found.pop(-1, 0)
-    df = np.zeros(encoder(tokenizer).library.get_vocab_size(), np.int64)
-    df[list(found)] = list(found.values())
-    return df, n
+    df = np.zeros(size + 1, np.int64)
+    for term, n in counts.mapInArrow(add, "term bigint, n bigint").groupBy("term").agg(F.sum("n")).collect():
+        df[term] = n
+    return df[:-1], int(df[-1])
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = 1024, shard_docs: int = 2048) -> DataFrame:
@@ -169,18 +174,37 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = 1024, shard
     if window & (window - 1):
         raise ValueError("window must be a power of two")
     rows = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
-    total = rows.count()
-    df, n = _document_counts(rows.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, total // SAMPLED))) == 0), tokenizer)
-    kind = "<u2" if max(len(df), end_id + 1) <= 1 << 16 else "<u4"
+    size = encoder(tokenizer).library.get_vocab_size()
+    kind = "<u2" if max(size, end_id + 1) <= 1 << 16 else "<u4"
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, places = encoder(tokenizer), draws(df, n)
+        """Ids of every document and, as a task's last row, in how many of its
+        documents each term occurs."""
+        coder, df, place = encoder(tokenizer), np.zeros(size + 1, np.int64), np.zeros(size, np.int64)
         for batch in batches:
             for part in slices(batch, 1):
                 got = [np.frombuffer(x, "<u4") for x in coder.encode(part.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([dealing_key(x, places) for x in got], pa.int64()),
-                     pa.array([np.append(x, end_id).astype(kind).tobytes() for x in got], pa.binary())], ["doc_id", "key", "ids"])
+                for x in got:
+                    # each term once: where it stands last
+                    place[x] = at = np.arange(len(x))
+                    df[x[place[x] == at]] += 1
+                df[-1] += len(got)
+                ids = pa.array([np.append(x, end_id).astype(kind).tobytes() for x in got], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), ids, pa.nulls(len(got), pa.binary())], ["doc_id", "ids", "counts"])
+        held = np.flatnonzero(df)
+        counts = np.concatenate([held, df[held]]).astype("<i8").tobytes()
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([counts], pa.binary())], ["doc_id", "ids", "counts"])
+
+    encoded = written(rows.mapInArrow(encode, "doc_id bigint, ids binary, counts binary"), "packing-ids")
+    df, total = _document_counts(encoded.filter("counts IS NOT NULL").select("counts"), size)
+
+    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places, width = draws(df, total), np.dtype(kind).itemsize
+        for batch in batches:
+            for part in slices(batch, 1):
+                raw = part.column(1).to_pylist()
+                keys = dealing_keys(b"".join(raw), kind, np.cumsum([len(x) // width for x in raw], dtype=np.int64), places)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(keys)], ["doc_id", "ids", "key"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, names, held, sequence = TaskContext.get().partitionId() << 32, [], [], 0
@@ -208,8 +232,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = 1024, shard
         if names:
             yield shard(len(names))
 
-    encoded = rows.mapInArrow(encode, "doc_id bigint, key bigint, ids binary")
-    dealt = written(encoded.withColumn("tie", F.xxhash64("doc_id", "ids")), "packing-ids")
+    keyed = encoded.filter("counts IS NULL").select("doc_id", "ids").mapInArrow(key, "doc_id bigint, ids binary, key bigint")
+    dealt = keyed.withColumn("tie", F.xxhash64("doc_id", "ids"))
     # as many tasks as other exchanges have, more where one would hold over SHARDS shards
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = max(1, min(-(-total // shard_docs), max(tasks, -(-total // (SHARDS * shard_docs)))))

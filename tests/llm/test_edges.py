@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -287,6 +288,21 @@ def test_packing_finds_neighbours_of_the_whole_table(spark):
     assert sum(same) / len(same) > 0.4
 
 
+def test_packing_counts_terms_over_all_documents(spark, monkeypatch):
+    """Rarity is that of the whole table, not of some of its documents."""
+    seen, counts = [], packing._document_counts
+    monkeypatch.setattr(packing, "_document_counts", lambda *a: seen.append(counts(*a)) or seen[-1])
+    texts = [f"word{i % 7} and {'rare ' * (i == 4321)}{i}" for i in range(5000)] + [None, ""]
+    rows = spark.createDataFrame([(i % 4000, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(3)
+    assert packing.pack(rows, "byte_bpe_50k.json", 0).agg({"length": "sum"}).first()[0] > 5000
+    e = ChunkEncoder("byte_bpe_50k.json")
+    want = np.zeros(e.library.get_vocab_size(), np.int64)
+    for x in e.encode([t or "" for t in texts]):
+        want[np.unique(np.frombuffer(x, "<u4"))] += 1
+    (df, n), = seen
+    assert n == 5002 and (df == want).all()
+
+
 def test_licenses(spark, docs, none):
     assert license_scan.scan(none).count() == 0 and license_scan.scan(docs).count() == 0
     mit = license_scan.TEMPLATES["MIT"]
