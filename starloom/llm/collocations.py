@@ -31,10 +31,11 @@ from starloom.llm.common import written
 
 #: Bits of the table that tells what is frequent: 16 MB.
 TABLE_BITS = 27
-#: Words held in a task before they are counted and sent on.
+#: Words held in a task, of all its languages, before they are counted and sent on.
 HELD = 1 << 21
-#: Windows that a task sums up before it sends them on; input splits of a task.
-MOST, SPLITS = 1 << 21, 4
+#: Windows that a task sums up, of all its languages, before it sends them on;
+#: windows of a batch; input splits of a task.
+MOST, BATCH, SPLITS = 1 << 21, 1 << 16, 4
 WIDTH = 4
 
 _TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz\n\n\n\n\n\n\n\n\n ")
@@ -109,7 +110,8 @@ class Frequent:
 
 def _grown(row: np.ndarray, h: np.ndarray, pairs: Frequent, longer: Frequent | None) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Windows at the words that are frequent: the word number of each place (0
-    once a window is cut), and the keys of the prefixes of 3 words and more."""
+    once a window is cut), and without ``longer`` the keys of the prefixes of 3
+    words and more."""
     n = len(row)
     good = pairs.holds(h)
     good[0] = False
@@ -127,22 +129,28 @@ def _grown(row: np.ndarray, h: np.ndarray, pairs: Frequent, longer: Frequent | N
             if longer is not None:
                 on = on & longer.holds(key)
                 word = np.where(on, word, 0)
-            keys.append(key[on])
+            else:
+                keys.append(key[on])
         columns.append(word)
     return columns, keys
 
 
 def _texts(batches: Iterator[pa.RecordBatch], flush, most: int) -> Iterator[pa.RecordBatch]:
     """Collects the words of (lang, text) rows by language; calls ``flush`` on
-    a language once it holds ``most`` words, and on the rest at the end."""
+    that with the most words once all hold ``most``, and on the rest at the end."""
     langs: dict[str, _Words] = {}
+    total = 0
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             words = langs.get(lang) or langs.setdefault(lang, _Words())
+            total -= words.held
             words.add(text)
-            if words.held >= most:
+            total += words.held
+            if total >= most:
+                lang = max(langs, key=lambda x: langs[x].held)
+                words = langs.pop(lang)
+                total -= words.held
                 yield from flush(lang, words)
-                words.clear()
     for lang, words in langs.items():
         yield from flush(lang, words)
 
@@ -219,9 +227,12 @@ class _Windows:
 
     def add(self, names: list[bytes], columns: list[np.ndarray], words: int) -> None:
         self.words += words
-        left, l_at = np.unique(columns[0] << 32 | columns[1], return_inverse=True)
-        right, r_at = np.unique(columns[2] << 32 | columns[3], return_inverse=True)
-        both, times = _sorted_counts(l_at.astype(np.int64) << 32 | r_at)
+        left, right = columns[0] << 32 | columns[1], columns[2] << 32 | columns[3]
+        columns.clear()
+        right, r_at = np.unique(right, return_inverse=True)
+        left, both = np.unique(left, return_inverse=True)
+        both, times = _sorted_counts(both << 32 | r_at)
+        del r_at
         low = (1 << 32) - 1
         used, place = np.unique(np.concatenate([left >> 32, left & low, right >> 32, right & low]), return_inverse=True)
         number = np.array([self.names.setdefault(names[w].decode("utf-8", "replace"), len(self.names)) for w in used.tolist()], np.int64)[place]
@@ -234,13 +245,15 @@ class _Windows:
         self.left, self.right = left[first], right[first]
         self.times = np.add.reduceat(times, first) if len(first) else times
 
-    def batch(self, lang: str) -> pa.RecordBatch:
+    def batches(self, lang: str) -> Iterator[pa.RecordBatch]:
         """One row a window, and one with the number of words."""
         book, low = pa.array(list(self.names), pa.string()), (1 << 32) - 1
-        columns = [self.left >> 32, self.left & low, self.right >> 32, self.right & low]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([lang] * (len(self.times) + 1), pa.string()), *(book.take(pa.array(np.append(x, 0))) for x in columns),
-             pa.array(np.append(self.times, self.words), pa.int64())], ["lang", "w1", "w2", "w3", "w4", "n"])
+        for lo in range(0, len(self.times) + 1, BATCH):
+            left, right, times = (np.append(x[lo:lo + BATCH], np.full(int(lo + BATCH > len(x)), end, np.int64))
+                                  for x, end in ((self.left, 0), (self.right, 0), (self.times, self.words)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.repeat(lang, len(times)), *(book.take(pa.array(x)) for x in (left >> 32, left & low, right >> 32, right & low)),
+                 pa.array(times)], ["lang", "w1", "w2", "w3", "w4", "n"])
 
 
 def windows(rows: DataFrame, least: int, bits: int = TABLE_BITS, held: int = HELD, most: int = MOST) -> DataFrame:
@@ -259,12 +272,13 @@ def windows(rows: DataFrame, least: int, bits: int = TABLE_BITS, held: int = HEL
             row, names = words.row(), words.names()
             have = sums.setdefault(lang, _Windows())
             have.add(names, _grown(row, _hashes(names, lang), short, long)[0], np.count_nonzero(row))
-            if len(have.times) > most:
-                yield sums.pop(lang).batch(lang)
+            if sum(len(x.times) for x in sums.values()) > most:
+                largest = max(sums, key=lambda x: len(sums[x].times))
+                yield from sums.pop(largest).batches(largest)
 
         yield from _texts(batches, flush, held)
         for lang, have in sums.items():
-            yield have.batch(lang)
+            yield from have.batches(lang)
 
     # larger tasks give each of their windows once; at least two for every core
     tasks = rows.rdd.getNumPartitions()

@@ -9,6 +9,7 @@ from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from starloom.llm import collocations, divergence, host_boilerplate
@@ -75,6 +76,31 @@ def test_collocations_of_nothing(docs):
     assert collocations.collocations(docs.where("text is null or lang = 'fr'"), least=1).count() == 0
 
 
+def test_collocations_hold_no_more_with_many_languages():
+    """Words and windows of all languages together are bounded, and the
+    windows come in batches of bounded size."""
+    rng, held, most = random.Random(5), {}, 0
+    texts = [(f"l{i % 20}", " ".join(rng.choice("abcdefgh") for _ in range(50))) for i in range(400)]
+
+    class Batch:
+        def column(self, k):
+            return pa.array([t[k] for t in texts])
+
+    out = Counter()
+    for lang, n in collocations._texts([Batch()], lambda lang, words: iter([(lang, words.held)]), 500):
+        out[lang] += n
+        most = max(most, n)
+    # one language holds a twentieth of what all do: it is sent on long before it has 500 words
+    assert sum(out.values()) == 400 * 51 and len(out) == 20 and most < 500
+    w = collocations._Windows()
+    n = 2 * collocations.BATCH
+    w.names.update({str(i): i + 1 for i in range(1 << 10)})
+    w.left, w.right, w.times, w.words = np.arange(n) % 1024 + 1 << 32, np.zeros(n, np.int64), np.arange(n), 7
+    got = list(w.batches("de"))
+    assert [b.num_rows for b in got] == [n // 2, n // 2, 1] and got[-1].to_pylist() == [{"lang": "de", "w1": "", "w2": "", "w3": "", "w4": "", "n": 7}]
+    assert got[1].slice(5, 1).to_pylist() == [{"lang": "de", "w1": "5", "w2": "", "w3": "", "w4": "", "n": n // 2 + 5}]
+
+
 def plain_divergence(rows, min_docs, ranks):
     times, with_it, groups = Counter(), Counter(), set()
     for lang, source, text in rows:
