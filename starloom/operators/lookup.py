@@ -25,6 +25,13 @@ def unique_lookup(dim: DataFrame, natural: str, key: str, natural_as: str | None
                .agg(F.min(key).alias(key)))
 
 
+def has_repeats(dim: DataFrame, natural: str) -> bool:
+    """Whether a non-null natural key has several rows, so that a look-up by it
+    multiplies rows: one flag to the driver."""
+    rows = dim.where(F.col(natural).isNotNull()).groupBy(natural).agg(F.count(F.lit(1)).alias("_n"))
+    return bool(rows.agg(F.max("_n") > 1).first()[0])
+
+
 def collated_lookup(df: DataFrame, name: str, dim: DataFrame, dim_name: str, key: str, out: str, collation: str = NAMES) -> DataFrame:
     """Left look-up of a name's key under a collation (case and accents do not
     count, nor how they are written).  Several dimension names that compare

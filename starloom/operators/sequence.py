@@ -24,9 +24,10 @@ from starloom.session import scratch_path
 KEY_ROWS = 1 << 21
 
 
-def large_keys(df: DataFrame, keys: Sequence[str], key_rows: int) -> DataFrame | None:
-    """Keys with more than ``key_rows`` rows, stored; None if there are none."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_sq_n"))
+def large_keys(df: DataFrame, keys: Sequence[str], key_rows: int, counted: str | None = None) -> DataFrame | None:
+    """Keys with more than ``key_rows`` rows, stored; None if there are none.
+    ``counted``: ``df`` has one row for each key, with its rows in that column."""
+    counts = df.withColumnRenamed(counted, "_sq_n") if counted else df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_sq_n"))
     if (counts.agg(F.max("_sq_n")).first()[0] or 0) <= key_rows:
         return None
     large = counts.where(F.col("_sq_n") > key_rows).select(*[F.col(k).alias(f"_sq_k{i}") for i, k in enumerate(keys)])
@@ -131,6 +132,48 @@ def _in_ranges(df: DataFrame, keys: list[str], order: list[str], next_cols: list
     return out
 
 
+def group_starts(df: DataFrame, key: str) -> DataFrame:
+    """(_gk, _gk_before, _gk_n) for every value of ``key``, null too: rows with
+    smaller values and its own rows.  Counts are stored in ranges; what lies in
+    earlier ranges comes from a table with one row per range."""
+    stored = ranged(df.groupBy(F.col(key).alias("_gk")).agg(F.count(F.lit(1)).alias("_gk_n")), ["_gk"])
+    sizes = stored.groupBy(PART).agg(F.sum("_gk_n").alias("_n"))
+    earlier = sizes.select(PART, (F.sum("_n").over(Window.orderBy(PART)) - F.col("_n")).alias("_gk_earlier"))
+    inside = F.sum("_gk_n").over(Window.partitionBy(PART).orderBy(PLACE).rowsBetween(Window.unboundedPreceding, 0)) - F.col("_gk_n")
+    # as many rows as ranges, that is at most spark.sql.shuffle.partitions
+    starts = stored.withColumn("_gk_inside", inside).join(F.broadcast(earlier), PART)
+    return starts.select("_gk", (F.col("_gk_earlier") + F.col("_gk_inside")).alias("_gk_before"), "_gk_n")
+
+
+def grouped_key(df: DataFrame, order: Sequence[str], name: str, is_last: str | None = None,
+                source: DataFrame | None = None, key_rows: int = KEY_ROWS) -> DataFrame:
+    """The numbers of ``dense_key`` over a total ``order`` whose first column
+    has many values: rows with smaller values plus the place among the rows of
+    its own.  Rows pass one exchange, by that column, which later joins by it
+    share; only rows of values with more than ``key_rows`` rows go through
+    stored ranges.  ``is_last`` names a flag for the last row of each value,
+    ``source`` a frame that has as many rows of each value and is cheaper to
+    count.  Runs the jobs that count now."""
+    first, rest = order[0], list(order[1:])
+    starts = group_starts(df if source is None else source, first)
+    large = large_keys(starts.select(F.col("_gk").alias(first), "_gk_n"), [first], key_rows, "_gk_n")
+    place = F.row_number().over(Window.partitionBy(first).orderBy(*rest)).cast("bigint")
+    if large is None:
+        out = df.withColumn("_gk_place", place)
+    else:
+        same = F.col(first).eqNullSafe(F.col("_sq_k0"))
+        out = df.join(large, same, "left_anti").withColumn("_gk_place", place).unionByName(
+            sequence_per_key(df.join(large, same, "left_semi"), [first], rest, rn="_gk_place", key_rows=key_rows))
+    # null finds no row: it comes before all values
+    out = out.join(starts, F.col(first) == F.col("_gk"), "left")
+    number = F.coalesce("_gk_before", F.lit(0).cast("bigint")) + F.col("_gk_place")
+    if not is_last:
+        return out.select(number.alias(name), *df.columns)
+    nulls = starts.where(F.col("_gk").isNull()).agg(F.sum("_gk_n")).first()[0] or 0
+    last = F.col("_gk_place") == F.coalesce("_gk_n", F.lit(nulls).cast("bigint"))
+    return out.select(number.alias(name), *df.columns, last.alias(is_last))
+
+
 def flag_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """``name`` is true on the last row of every key in ``order``.  The maximum
     of ``struct(order…)`` per key comes from an aggregation (partial on the map

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions import safe_percentage
+from starloom.operators.lookup import has_repeats
 from starloom.sources.files import read_table
 
 LINEITEM_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
@@ -86,17 +87,17 @@ def election_source(t: Tables) -> DataFrame:
                     F.col("c_nationkey").alias("country_id")))
 
 
-def wide_feed(t: Tables, number: str | None = None) -> DataFrame:
+def wide_feed(t: Tables, number: str | None = None, is_last: str | None = None) -> DataFrame:
     """One row per line item: time, territory, party and the measures, all by
-    left joins.  ``number`` names a dense key over ``LINEITEM_ORDER``: the
-    line items are numbered before they are enriched, so only their own
-    columns pass through the range exchange.
-
-    Join order keeps the line-item side shuffled as little as possible: the
-    order header is enriched first (order-sized joins), line items meet the
-    part, and the last join is on the order key, so the feed leaves
-    hash-partitioned by ``election_id``, the key of the next look-ups."""
-    from starloom.operators.keys import dense_key
+    left joins.  ``number`` names a dense key of the line items over
+    ``LINEITEM_ORDER``, ``is_last`` a flag for each order's last number.
+
+    Line items pass two exchanges: they meet the part, then everything that is
+    known by order: their number, the order header (enriched before, by
+    order-sized joins) and, since the feed leaves hash-partitioned by
+    ``election_id``, the next look-ups.  Where parts share a key, line items
+    are numbered before they meet them, at the cost of one more exchange."""
+    from starloom.operators.sequence import grouped_key
     n = t.nation.select("n_nationkey", "n_name")
     c = t.customer.select("c_custkey", "c_nationkey")
     o = (t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
@@ -104,16 +105,23 @@ def wide_feed(t: Tables, number: str | None = None) -> DataFrame:
          .join(n, F.col("c_nationkey") == n["n_nationkey"], "left")
          .select("o_orderkey", "o_orderdate", "n_name"))
     p = t.part.select("p_partkey", "p_brand", "p_size")
-    li = t.lineitem
-    if number:
-        li = dense_key(li, LINEITEM_ORDER, number)
-    j = (li.join(p, li["l_partkey"] == p["p_partkey"], "left")
-           .join(o, F.col("l_orderkey") == o["o_orderkey"], "left"))
+    li = t.lineitem.select(*LINEITEM_ORDER)
+
+    def with_part(rows: DataFrame) -> DataFrame:
+        return rows.join(p, F.col("l_partkey") == F.col("p_partkey"), "left")
+
+    if not number:
+        j = with_part(li)
+    elif has_repeats(p, "p_partkey"):
+        j = with_part(grouped_key(li, LINEITEM_ORDER, number, is_last))
+    else:
+        j = grouped_key(with_part(li), LINEITEM_ORDER, number, is_last, source=li)
+    j = j.join(o, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     votes = F.col("l_quantity").cast("bigint")
     blank = F.when(F.col("l_returnflag") == "R", votes).otherwise(F.lit(0).cast("bigint"))
     void = F.when(F.col("l_returnflag") == "A", votes).otherwise(F.lit(0).cast("bigint"))
     return j.select(
-        *([number] if number else []),
+        *([number] if number else []), *([is_last] if is_last else []),
         F.col("l_orderkey").alias("election_id"), F.col("o_orderdate").alias("time"),
         F.col("n_name").alias("territory_name"), F.col("p_brand").alias("party"),
         (F.col("l_linenumber") + F.col("p_size")).alias("total_mandates"), F.col("p_size").alias("available_mandates"),

@@ -148,16 +148,16 @@ def star_build(spark, sf_dir: str, base: str | None = None) -> dict[str, str]:
     """Extract → six dimensions → fact → write, dimensions first.  Dimensions
     are stored by their keys, so the fact reads them without building them
     again."""
+    from starloom.plans import facts
     from starloom.plans import q_warehouse as W
     t = Tables(spark, sf_dir)
     dc, dd, dp, dh = W.build_dim_country(t), W.build_dim_date(t), W.build_dim_party(t), W.build_dim_history(t)
     de = W.build_dim_election(t, dd, dc)
-    # the fact is laid out on disk by election year, so later reads prune by
-    # year; ranges of (year, key) give each year few files of even size
-    fact = W.build_fact(t, dc, dd, dp, de, dh).join(dd.select("date_tk", "year"), "date_tk", "left")
+    # the fact is laid out on disk by election year, so later reads prune by year
+    fact = facts.by_year(W.build_fact(t, dc, dd, dp, de, dh), dd)
     outputs = {"dim_country": dc, "dim_date": dd, "dim_party": dp, "dim_person": W.build_dim_person(t, dc),
                "dim_election": de, "dim_election_history": dh,
-               "fact_election_result": fact.repartitionByRange("year", "fact_id")}
+               "fact_election_result": fact}
     return sinks.load_all(spark, outputs, base or scratch_path(spark, "star"), partition_by={"fact_election_result": ["year"]})
 
 

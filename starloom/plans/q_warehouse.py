@@ -128,7 +128,7 @@ def build_fact(t: Tables, dim_country_df=None, dim_date_df=None, dim_party_df=No
     dp = dim_party_df if dim_party_df is not None else build_dim_party(t)
     de = dim_election_df if dim_election_df is not None else build_dim_election(t, dd, dc)
     dh = dim_history_df if dim_history_df is not None else build_dim_history(t)
-    return facts.fact_election_result(wide_feed(t, "fact_id"), de, dc, dd, dp, dh, FEED_MEASURES)
+    return facts.fact_election_result(wide_feed(t, "fact_id", "is_last"), de, dc, dd, dp, dh, FEED_MEASURES, "is_last")
 
 
 # ------------------------------------------------------------------ D1-D5, D9
