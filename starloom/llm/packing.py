@@ -13,6 +13,7 @@ take no padding.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +28,8 @@ from starloom.llm.tokens import encoder, slices
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint")
 
-#: Terms in a dealing key (21 bits each), shards of a task.
-DRAWS, SHARDS = 3, 16
+#: Terms in a dealing key (21 bits each), shards of a task, rows that tell where a range begins.
+DRAWS, SHARDS, ROWS_PER_RANGE = 3, 16, 100
 
 
 def draws(df: np.ndarray, n: int) -> np.ndarray:
@@ -69,13 +70,19 @@ class Bm25Index:
 
     def __init__(self, docs: list[np.ndarray], k1: float = 1.2, b: float = 0.75):
         n = len(docs)
-        lengths = np.array([len(d) for d in docs], np.float64)
+        size = np.array([len(d) for d in docs], np.int64)
+        lengths = size.astype(np.float64)
         norm = k1 * (1 - b + b * lengths / max(1.0, lengths.mean() if n else 1.0))
-        pairs = [np.unique(d, return_counts=True) for d in docs]
-        self.terms = [p[0] for p in pairs]
-        term = np.concatenate(self.terms) if n else np.zeros(0, np.uint32)
-        doc = np.repeat(np.arange(n), [len(t) for t in self.terms])
-        tf = np.concatenate([p[1] for p in pairs]).astype(np.float64) if n else np.zeros(0)
+        # each document's ids sorted; a term starts where the id changes
+        ids, ends = np.concatenate(docs) if n else np.zeros(0, np.uint32), np.cumsum(size)
+        for end, m in zip(ends.tolist(), size.tolist()):
+            ids[end - m:end].sort()
+        starts = np.append(True, ids[1:] != ids[:-1])[:len(ids)]
+        starts[(ends - size)[size > 0]] = True
+        first = np.flatnonzero(starts)
+        term, doc = ids[first], np.repeat(np.arange(n), size)[first]
+        tf = np.diff(np.append(first, len(ids))).astype(np.float64)
+        self.terms = np.split(term, np.searchsorted(doc, np.arange(1, n)))
         order = np.argsort(term, kind="stable")
         names, first, df = np.unique(term[order], return_index=True, return_counts=True)
         # a term in half the documents or more has no positive weight and no postings
@@ -85,7 +92,17 @@ class Bm25Index:
         size = int(names[-1]) + 1 if len(names) else 1
         self.lo, self.hi = np.zeros(size, np.int64), np.zeros(size, np.int64)
         self.lo[names[keep]], self.hi[names[keep]] = first[keep], (first + df)[keep]
-        self.n = n
+        self.n = self.open = n
+
+    def close(self, open_: np.ndarray) -> None:
+        """Drop the postings of documents that are not ``open_``, once they are
+        a fifth of those left: the scores of the others stay as they are."""
+        left = int(open_.sum())
+        if 5 * left > 4 * self.open:
+            return
+        keep = open_[self.doc]
+        place = np.append(0, np.cumsum(keep))
+        self.doc, self.weight, self.lo, self.hi, self.open = self.doc[keep], self.weight[keep], place[self.lo], place[self.hi], left
 
     def scores(self, seed: int) -> np.ndarray:
         lo, hi = self.lo[self.terms[seed]], self.hi[self.terms[seed]]
@@ -112,6 +129,7 @@ def pack_shard(ids: list[np.ndarray], window: int) -> list[tuple[int, int, int,
             break
         if not left[seed]:
             continue
+        index.close(left > 0)
         score, offset, nxt = None, 0, seed
         while offset < window:
             take = min(int(left[nxt]), window - offset)
@@ -198,13 +216,19 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = 1024, shard
     encoded = written(rows.mapInArrow(encode, "doc_id bigint, ids binary, counts binary"), "packing-ids")
     df, total = _document_counts(encoded.filter("counts IS NOT NULL").select("counts"), size)
 
-    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places, width = draws(df, total), np.dtype(kind).itemsize
-        for batch in batches:
-            for part in slices(batch, 1):
-                raw = part.column(1).to_pylist()
-                keys = dealing_keys(b"".join(raw), kind, np.cumsum([len(x) // width for x in raw], dtype=np.int64), places)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(keys)], ["doc_id", "ids", "key"])
+    def keyed(rows: DataFrame, bounds: list[tuple[int, int]]) -> DataFrame:
+        """``rows`` with their dealing keys and the ranges between ``bounds`` (key, tie) that they lie in."""
+        def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            places, width = draws(df, total), np.dtype(kind).itemsize
+            for batch in batches:
+                for part in slices(batch, 1):
+                    raw, tie = part.column(1).to_pylist(), part.column(2)
+                    keys = dealing_keys(b"".join(raw), kind, np.cumsum([len(x) // width for x in raw], dtype=np.int64), places)
+                    ranges = [bisect_left(bounds, x) for x in zip(keys.tolist(), tie.to_pylist())]
+                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), tie, pa.array(keys), pa.array(ranges, pa.int32())],
+                                                     ["doc_id", "ids", "tie", "key", "range"])
+
+        return rows.mapInArrow(key, "doc_id bigint, ids binary, tie bigint, key bigint, range int")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, names, held, sequence = TaskContext.get().partitionId() << 32, [], [], 0
@@ -232,10 +256,15 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = 1024, shard
         if names:
             yield shard(len(names))
 
-    keyed = encoded.filter("counts IS NULL").select("doc_id", "ids").mapInArrow(key, "doc_id bigint, ids binary, key bigint")
-    dealt = keyed.withColumn("tie", F.xxhash64("doc_id", "ids"))
+    rows = encoded.filter("counts IS NULL").select("doc_id", "ids", F.xxhash64("doc_id", "ids").alias("tie"))
     # as many tasks as other exchanges have, more where one would hold over SHARDS shards
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = max(1, min(-(-total // shard_docs), max(tasks, -(-total // (SHARDS * shard_docs)))))
-    return (dealt.repartitionByRange(ranges, "key", "tie").sortWithinPartitions("key", "tie", "doc_id", "ids")
-                 .select("doc_id", "ids").mapInArrow(run, PIECES))
+    bounds: list[tuple[int, int]] = []
+    if ranges > 1:
+        # where all rows are cut into ranges; repartitionByRange would compute every key twice to tell
+        step = max(1, total // (ROWS_PER_RANGE * ranges))
+        seen = sorted((r.key, r.tie) for r in keyed(rows.filter(F.pmod("tie", F.lit(step)) == 0), []).select("key", "tie").collect())
+        bounds = [seen[k * len(seen) // ranges] for k in range(1, ranges)] if seen else []
+    return (keyed(rows, bounds).repartitionById(ranges, "range").sortWithinPartitions("key", "tie", "doc_id", "ids")
+                               .select("doc_id", "ids").mapInArrow(run, PIECES))

@@ -3,11 +3,12 @@ chunk instead of one per text.
 
 Both pre-tokenizers handled here cut a text at white space and between letters
 and punctuation before any merge, so the ids of a text are the ids of its chunks
-in order.  Texts are cut and their chunks numbered by Arrow; distinct chunks are
-looked up in a bounded cache, and those not in it are encoded together in one
-library call.  Texts that do not cut so plainly (characters whose white space or
-lower case is not plain, apostrophes, symbols beyond ASCII, strings that are
-tokens of their own) go to the library whole.
+in order.  Texts are cut by array operations and their chunks numbered by Arrow;
+distinct chunks are looked up in a bounded cache, those not in it go to the
+library: words of letters to its model where that takes them as they are, others
+together in one call.  Texts that do not cut so plainly (characters whose white
+space or lower case is not plain, apostrophes, symbols beyond ASCII, strings that
+are tokens of their own) go to the library whole.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,16 @@ _MARKS = r"!-&(-/:-@\[-`{-~"
 _ODD = re.compile(rf"[^\n\x20a-zA-Z0-9{_MARKS}ªµºÀ-ÖØ-öø-įı-ɏ]")
 _LETTERS = "[a-zA-ZªµºÀ-ÖØ-öø-įı-ɏ]"
 _RUNS = ("  ", " \n", "\n ", "\n\n")
+#: Kind of a byte where chunks are cut: space, newline, punctuation, all else.
+_SPACE, _KIND = 3, np.zeros(256, np.uint8)
+_KIND[[c for c in range(128) if re.match(f"[{_MARKS}]", chr(c))]] = 1
+_KIND[ord("\n")], _KIND[ord(" ")] = 2, _SPACE
+#: The characters by which byte-level models name bytes, those without a
+#: printable Latin-1 character from U+0100 on; a newline parts chunks here.
+_BYTE_NAMES = np.arange(256, dtype="<u2")
+_UNPRINTED = [b for b in range(256) if not (33 <= b < 127 or 161 <= b < 173 or 174 <= b)]
+_BYTE_NAMES[_UNPRINTED] = 256 + np.arange(len(_UNPRINTED))
+_BYTE_NAMES[ord("\n")] = ord("\n")
 
 
 #: ASCII that is plain in any place.
@@ -80,10 +92,10 @@ class ChunkEncoder:
     """Texts → ids as little-endian unsigned 32-bit bytes, those that the
     library gives for the whole text with ``add_special_tokens=False``.
 
-    Known chunks are an Arrow array beside their ids, so looking up, learning
-    and joining are array operations.  Beyond ``cache_chunks`` those looked up
-    since the last time stay, the latest half at most: the cache is bounded (some
-    40 bytes a chunk) and never emptied as a whole."""
+    Known chunks have a place in an array of ids, so joining is an array
+    operation.  Beyond ``cache_chunks`` those looked up since the last time
+    stay, the latest half at most: the cache is bounded (some 200 bytes a chunk)
+    and never emptied as a whole."""
 
     def __init__(self, name: str, cache_chunks: int = 3 << 17):
         from tokenizers import Tokenizer
@@ -98,17 +110,19 @@ class ChunkEncoder:
             self._plain, self._chunks = self._plain_words, self._word_chunks
         else:
             self._plain, self._chunks = lambda text: False, None
-        # a word's first token starts with its space, or its last one says so
+        # a space belongs to the word after it, or a word's last token says so
         self._lead = self._chunks is self._byte_chunks
         end = conf["model"].get("end_of_word_suffix") or ""
         self._border = np.zeros(self.library.get_vocab_size(), bool)
         for token, number in self.library.get_vocab().items():
-            self._border[number] = token.startswith("Ġ") if self._lead else bool(end) and token.endswith(end)
+            self._border[number] = bool(end) and token.endswith(end)
         # strings that are tokens of their own wherever they stand
         added = [t["content"] for t in conf.get("added_tokens") or []]
         self._added = re.compile("|".join(map(re.escape, added)), re.I) if added else None
         self.limit = cache_chunks
-        self.words, self.flat, self.ends, self.used = pa.array([], pa.large_string()), np.zeros(0, "<u4"), np.zeros(1, np.int64), np.zeros(0, bool)
+        # in order of their places
+        self.words: dict[str, int] = {}
+        self.flat, self.ends, self.used = np.zeros(0, "<u4"), np.zeros(1, np.int64), np.zeros(0, bool)
         self.looked_up = self.learned = self.turns = 0
 
     @staticmethod
@@ -128,28 +142,43 @@ class ChunkEncoder:
     def _byte_chunks(texts: pa.Array) -> pa.Array:
         """A single space belongs to what follows it, a single newline stands
         alone; longer runs of white space go to the library."""
-        apart = pc.replace_substring_regex(texts, rf"( ?[{_MARKS}]+|\n)", "\0\\1\0")
-        return pc.split_pattern(pc.replace_substring(apart, " ", "\0 "), "\0")
-
-    def _learn(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, number of ids of each chunk): one library call on all chunks
-        that are letters, which it tells apart again by the tokens that begin
-        (or end) a word, and one on the others."""
+        data, ends = np.frombuffer(texts.buffers()[2], np.uint8), np.frombuffer(texts.buffers()[1], np.int64)[:len(texts) + 1]
+        kind = _KIND[data[:ends[-1]]]
+        border = np.append(True, (kind[1:] != kind[:-1]) & (kind[:-1] != _SPACE))
+        border[ends[:-1]] = True
+        cuts = np.append(np.flatnonzero(border), ends[-1])
+        chunks = pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts), texts.buffers()[2])
+        return pa.LargeListArray.from_arrays(np.searchsorted(cuts, ends), chunks)
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each) of chunks that are letters."""
+        if not words:
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        if self._lead:
+            # the pre-tokenizer keeps such a chunk whole and names its bytes
+            raw = np.frombuffer("\n".join(words).encode(), np.uint8)
+            tokenize, found, size = self.library.model.tokenize, [], np.empty(len(words), np.int64)
+            for k, word in enumerate(_BYTE_NAMES[raw].tobytes().decode("utf-16-le").split("\n")):
+                tokens = tokenize(word)
+                size[k] = len(tokens)
+                found += [t.id for t in tokens]
+            return np.array(found, "<u4"), size
+        # one call on all, told apart again by the tokens that end a word
+        ids = np.array(self.library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        cuts = np.append(0, np.flatnonzero(self._border[ids]) + 1)
+        if len(cuts) != len(words) + 1:
+            raise AssertionError("the vocabulary does not mark its words")
+        return ids, np.diff(cuts)
+
+    def _learn(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each chunk): those that are letters by
+        themselves, the others in one library call."""
         self.learned += len(chunks)
-        letters = pc.match_substring_regex(chunks, f"^{' ' if self._lead else ''}{_LETTERS}+$")
+        letters = pc.match_substring_regex(pa.array(chunks, pa.large_string()), f"^{' ?' if self._lead else ''}{_LETTERS}+$")
         size = np.zeros(len(chunks), np.int64)
         is_word = letters.to_numpy(zero_copy_only=False)
-        ids = np.zeros(0, "<u4")
-        words = chunks.filter(letters)
-        if len(words):
-            text = ("" if self._lead else " ").join(words.to_numpy(zero_copy_only=False))
-            ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-            border = np.flatnonzero(self._border[ids])
-            cuts = np.append(border, len(ids)) if self._lead else np.append(0, border + 1)
-            if len(cuts) != len(words) + 1:
-                raise AssertionError("the vocabulary does not mark its words")
-            size[is_word] = np.diff(cuts)
-        others = chunks.filter(pc.invert(letters)).to_pylist()
+        ids, size[is_word] = self._words(list(compress(chunks, is_word)))
+        others = list(compress(chunks, ~is_word))
         if others:
             got = self.library.encode(others, is_pretokenized=True, add_special_tokens=False)
             size[~is_word] = np.bincount(np.array(got.word_ids, np.int64), minlength=len(others)) if got.ids else 0
@@ -163,16 +192,16 @@ class ChunkEncoder:
     def _look_up(self, chunks: pa.Array) -> np.ndarray:
         """Places of distinct chunks among the known ones, learned if need be."""
         self.looked_up += len(chunks)
-        at = pc.index_in(chunks, value_set=self.words)
-        unseen = pc.is_null(at)
-        new = chunks.filter(unseen)
-        place = pc.fill_null(at, 0).to_numpy().astype(np.int64)
-        is_new = unseen.to_numpy(zero_copy_only=False)
+        names = chunks.to_numpy(zero_copy_only=False).tolist()
+        place = np.fromiter(map(self.words.get, names, repeat(-1)), np.int64, len(names))
+        is_new = place < 0
         self.used[place[~is_new]] = True
-        if len(new):
+        if is_new.any():
+            new, known = list(compress(names, is_new)), len(self.words)
             ids, size = self._learn(new)
-            place[is_new] = len(self.words) + np.arange(len(new))
-            self.words, self.flat = pa.concat_arrays([self.words, new]), np.concatenate([self.flat, ids])
+            place[is_new] = known + np.arange(len(new))
+            self.words.update(zip(new, range(known, known + len(new))))
+            self.flat = np.concatenate([self.flat, ids])
             self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(size)])
             self.used = np.concatenate([self.used, np.zeros(len(new), bool)])
         return place
@@ -181,7 +210,9 @@ class ChunkEncoder:
         keep = np.flatnonzero(self.used)[-(self.limit // 2):] if self.limit > 1 else np.zeros(0, np.int64)
         size = np.diff(self.ends)[keep]
         self.flat = self.flat[_spread(self.ends[keep], size)]
-        self.words, self.ends, self.used = self.words.take(pa.array(keep)), np.append(0, np.cumsum(size)), np.zeros(len(keep), bool)
+        words = list(self.words)
+        self.words = {words[k]: place for place, k in enumerate(keep.tolist())}
+        self.ends, self.used = np.append(0, np.cumsum(size)), np.zeros(len(keep), bool)
         self.turns += 1
 
     def _encode_plain(self, texts: list[str]) -> list[bytes]:

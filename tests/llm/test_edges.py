@@ -288,6 +288,41 @@ def test_packing_finds_neighbours_of_the_whole_table(spark):
     assert sum(same) / len(same) > 0.4
 
 
+def test_bm25_scores_of_open_documents_stay_as_postings_are_dropped():
+    rng = np.random.default_rng(5)
+    docs = [np.append(rng.integers(0, 400, n), 0).astype("<u4") for n in [0, *rng.integers(1, 300, 79)]]
+    whole, index, left = packing.Bm25Index(docs), packing.Bm25Index(docs), np.ones(len(docs), bool)
+    for i in rng.permutation(len(docs))[:70].tolist():
+        left[i] = False
+        index.close(left)
+        seed = int(np.flatnonzero(left)[0])
+        assert (index.scores(seed)[left] == whole.scores(seed)[left]).all()
+    assert len(index.doc) < len(whole.doc) / 4
+
+
+def test_packing_computes_a_dealing_key_once(spark):
+    """Ranges are told from some keys before all rows are dealt: a range
+    exchange would run the step before it over all rows to sample them."""
+    rows = spark.createDataFrame([(i, f"text {i % 50} of {i}") for i in range(400)], "doc_id bigint, text string")
+    got = packing.pack(rows, "byte_bpe_50k.json", 0, shard_docs=40)
+    assert "rangepartitioning" not in got._jdf.queryExecution().toString().lower()
+    of = {}
+    for r in got.collect():
+        of.setdefault(r.sequence_id >> 32, set()).add(r.doc_id)
+    # equal shares of the documents, each in one range
+    assert sum(map(len, of.values())) == 400 == len(set().union(*of.values()))
+    assert len(of) > 1 and max(map(len, of.values())) < 3 * 400 / len(of)
+
+
+def test_chunk_encoder_names_every_letter():
+    from tokenizers import Tokenizer
+    letters = [chr(c) for c in range(0x250) if chr(c).isalpha()]
+    texts = ["".join(letters), " ".join(letters), *(f"a{c}{c} {c}b x{c},{c}" for c in letters)]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        library, e = Tokenizer.from_file(tokenizer_path(name)), ChunkEncoder(name)
+        assert e.encode(texts) == [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
 def test_packing_counts_terms_over_all_documents(spark, monkeypatch):
     """Rarity is that of the whole table, not of some of its documents."""
     seen, counts = [], packing._document_counts
