@@ -241,3 +241,21 @@ def test_pages_without_an_article(spark):
     assert {r.repeated_words for r in got if r.page_id < 20} == {len(line.split()) + 13}
     assert host_boilerplate.main_text(df.limit(0)).count() == 0
     assert entities.unescape("&amp;") == "&"
+
+
+def test_repeats_in_main_parts(spark):
+    rng = random.Random(7)
+    text = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    line, copied, footing = text(10), text(60), text(10)
+    # a line of every main part goes, outside it all goes; in an article it stays
+    rows = [(i, f"<p>outside {i}</p><main><h1>Head {i}</h1><p>{(t := text(40))}</p><nav>menu</nav><div>{line}</div></main><footer>{line}</footer>", f"Head {i}\n\n{t}", 21) for i in range(9)]
+    rows += [(20 + i, f"<div role=main><p>{(t := text(40))}</p><div>{line}</div></div>", t, 10) for i in range(3)]
+    rows += [(30, f"<main><article><p>{(t := text(40))}</p><div>{line}</div></article><div>{footing}</div></main>", f"{t}\n\n{line}", 10)]
+    # what lies outside an article tells of pages without one
+    rows += [(31, f"<p>{(t := text(40))}</p><div>{footing}</div>", t, 10)]
+    # copies keep all, whatever lies around them
+    rows += [(40 + i, f"<main><p>{copied}</p><div>{line}</div></main><nav>{text(300)}</nav>", f"{copied}\n\n{line}", 0) for i in range(3)]
+    pages = [(i, "http://x.org/", h) for i, h, *_ in rows] + [(90, "http://other.org/", f"<main><p>alone</p><div>{line}</div></main>")]
+    got = host_boilerplate.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    want = [(i, t, n) for i, _, t, n in rows] + [(90, f"alone\n\n{line}", 0)]
+    assert sorted((r.page_id, r.text, r.repeated_words) for r in got) == want
