@@ -259,3 +259,20 @@ def test_repeats_in_main_parts(spark):
     got = host_boilerplate.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
     want = [(i, t, n) for i, _, t, n in rows] + [(90, f"alone\n\n{line}", 0)]
     assert sorted((r.page_id, r.text, r.repeated_words) for r in got) == want
+
+
+def test_articles_are_in_the_streams(spark):
+    rng = random.Random(8)
+    text = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    told, teaser, news = text(30), text(12), text(12)
+    found = blocks(f"<p>out</p><article><p>{told}</p><nav>menu</nav></article>")
+    assert len(host_boilerplate.stream(found)[0]) == 1 + 1 + 1 + 30 + 1 + 1  # block starts and words, the article's too
+    rows = [(1, f"<div>{text(9)}</div><article><p>{told}</p><p>{teaser}</p></article>", f"{told}\n\n{teaser}", 0),  # stays whole, though repeated
+            (2, f"<p>{(t := text(40))}</p><div>{teaser}</div>", t, 12),  # a page without an article that quotes one
+            (3, f"<main><p>{(t := text(40))}</p><div>{teaser}</div></main>", t, 12),
+            (4, f"<aside>{teaser}</aside><article><p>{(t := text(40))}</p></article>", t, 12),  # what lies around an article
+            (5, f"<p>{told}</p>", told, 0),  # a copy of what an article says keeps it
+            (6, f"<p>{(t := text(40))}</p><div>{news}</div>", f"{t}\n\n{news}", 0)]
+    pages = [(i, "http://x.org/", h) for i, h, *_ in rows] + [(9, "http://y.org/", f"<article>{news}</article>")]
+    got = host_boilerplate.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert sorted((r.page_id, r.text, r.repeated_words) for r in got) == [(i, t, n) for i, _, t, n in rows] + [(9, news, 0)]
