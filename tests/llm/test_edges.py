@@ -192,6 +192,53 @@ def test_repeats_at_hot_anchors(spark):
         assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept) for r in got if r.doc_id is not None} == want
 
 
+def test_contexts_of_many_shards_share_transforms(monkeypatch):
+    """However many shards an owner's contexts come from, their transforms are
+    as many as their symbols need, and the rounds of the merge drop what is alone."""
+    rng = random.Random(4)
+    base = "".join(rng.choices("abc", k=3000)).encode()
+    begin = [rng.randrange(2900) for _ in range(2000)]
+    sizes = np.array([rng.randrange(50, 85) for _ in begin])
+    texts = [bytearray(base[b:b + n]) for b, n in zip(begin, sizes)]
+    for t in texts:
+        t[rng.randrange(len(t))] = ord("x")
+    named = np.array([rng.randrange(300) for _ in begin])
+    rows = np.array([list(t.ljust(84, b"\0")) for t in texts], np.uint8)
+    first = {}
+    for t, d in zip(texts, named.tolist()):
+        for i in range(len(t) - 49):
+            s = bytes(t[i:i + 50])
+            first[s] = min(first.get(s, d), d)
+    want = [sum(1 << i for i in range(len(t) - 49) if first[bytes(t[i:i + 50])] < d) for t, d in zip(texts, named.tolist())]
+    calls, plain = [], suffix_dedup.transform
+    monkeypatch.setattr(suffix_dedup, "transform", lambda *a: (calls.append(1), plain(*a))[1])
+    assert suffix_dedup.repeated(rows, sizes, named, 50).tolist() == want and sum(map(bool, want)) > 100
+    assert len(calls) <= -(-sum(sizes + 1) // ((1 << 16) - 85))
+
+
+def test_strings_of_hot_contexts(monkeypatch):
+    """Each distinct string around an anchor once, with its least document, a
+    bounded number at a time."""
+    rng = random.Random(5)
+    passage = "".join(rng.choices("abcdefgh", k=60))
+    texts = ["".join(rng.choices("ab", k=rng.randrange(34))) + passage + "".join(rng.choices("ab", k=60)) for _ in range(60)]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    place = np.array([data.tobytes().find(passage.encode(), sum(map(len, texts[:i]))) + 9 for i in range(60)])
+    least = np.array([rng.randrange(40) for _ in texts])
+    lo, hi = place - np.array([rng.randrange(35) for _ in texts]), place + 50
+    strings = [(c, i, data[a + i:a + i + 50].tobytes()) for c, (a, b, p) in enumerate(zip(lo, hi, place)) for i in range(max(0, p - a - 34), min(p - a, b - a - 50) + 1)]
+    want = {}
+    for c, _, s in strings:
+        want[s] = min(want.get(s, 99), least[c])
+    monkeypatch.setattr(suffix_dedup, "STRINGS", 200)
+    parts = list(suffix_dedup.hot_strings(data, lo, hi, place, least, 50))
+    got = {(c, i): first[e] for which, at, entry, _, _, first in parts for c, i, e in zip(which.tolist(), at.tolist(), entry.tolist())}
+    assert got == {(c, i): want[s] for c, i, s in strings}
+    assert sum(len(p[-1]) for p in parts) == len(want) < len(strings) and max(len(p[0]) for p in parts) < 260
+    for *_, key, h, first in parts:
+        assert (np.diff(key.astype(np.int64)) >= 0).all() and len(key) == len(h) == len(first)
+
+
 def test_token_files(docs, none):
     assert token_files.read_documents(token_files.write_segments(none, "word_bpe_49k.json", 2)).count() == 0
     got = token_files.read_documents(token_files.write_segments(docs, "word_bpe_49k.json", 2, segment_tokens=64)).collect()
